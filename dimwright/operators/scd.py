@@ -144,9 +144,16 @@ def apply_batch(state: DataFrame | None, batch: DataFrame, spec: DimensionSpec,
 # --------------------------------------------------------------------------
 # full replay
 
-def _null_key_versions(rows: DataFrame, spec: DimensionSpec) -> DataFrame:
-    # a NULL business key never matches the state: each row opens its own version
-    return initial_load(rows.where(_c(spec.business_key).isNull()), spec, F.col("__run"))
+def _entity(spec: DimensionSpec) -> list[Column]:
+    """Partitioning of entities: the business key, and for a NULL key its batch.
+
+    A NULL key never matches the state, so each (NULL, batch) row is its own
+    entity with a single open version -- handled inside the same shuffle,
+    without a second scan of the input.  Evaluated on stamped rows, where
+    ``start_date`` is the batch date.
+    """
+    bk = _c(spec.business_key)
+    return [bk, F.when(bk.isNull(), _c("start_date")).alias("__nb")]
 
 
 def replay(rows: DataFrame, spec: DimensionSpec, run_id: RunId, method: str = "auto") -> DataFrame:
@@ -158,22 +165,20 @@ def replay(rows: DataFrame, spec: DimensionSpec, run_id: RunId, method: str = "a
     if method == "auto":
         method = "window" if (spec.tracked_never_null or not spec.scd2_fields) else "fold"
     rows = rows.withColumn("__run", _run(run_id))
-    keyed = rows.where(_c(spec.business_key).isNotNull())
     if method == "window":
-        out = _replay_window(keyed, spec)
-    elif method == "fold":
-        out = _fold(keyed, spec, seed=None)
-    else:
-        raise ValueError(f"unknown replay method {method!r}")
-    return out.unionByName(_null_key_versions(rows, spec))
+        return _replay_window(rows, spec)
+    if method == "fold":
+        return _fold(rows, spec, seed=None)
+    raise ValueError(f"unknown replay method {method!r}")
 
 
 def _replay_window(rows: DataFrame, spec: DimensionSpec) -> DataFrame:
     bk = spec.business_key
     cols = _internal_columns(spec)
     types = dimension_types(spec)
-    rows = _stamped_with_run(rows, spec)
-    w = Window.partitionBy(_c(bk)).orderBy(_c("start_date"))
+    rows = _stamped_with_run(rows, spec).withColumn("__nb", _entity(spec)[1])
+    ent = [_c(bk), _c("__nb")]
+    w = Window.partitionBy(*ent).orderBy(_c("start_date"))
     chg = F.lag("start_date").over(w).isNull()
     for f in spec.scd2_fields:
         chg = chg | (_c(f).isNotNull() & ~_c(f).eqNullSafe(F.lag(_c(f)).over(w)))
@@ -185,10 +190,10 @@ def _replay_window(rows: DataFrame, spec: DimensionSpec) -> DataFrame:
     aggs = [F.min_by(F.struct(*[_c(c) for c in opening]), _c("start_date")).alias("__o"),
             F.max_by(_c("last_updated_run_id"), _c("start_date")).alias("__last_run")]
     aggs += [F.max_by(_c(s), F.when(_c(s).isNotNull(), _c("start_date"))).alias(s) for s in scd1]
-    g = rows.groupBy(_c(bk), _c("__ver")).agg(*aggs)
-    g = g.select(_c(bk), *[F.col(f"__o.`{c}`").alias(c) for c in opening], *[_c(s) for s in scd1],
-                 _c("__last_run"))
-    w2 = Window.partitionBy(_c(bk)).orderBy(_c("start_date"))
+    g = rows.groupBy(*ent, _c("__ver")).agg(*aggs)
+    g = g.select(_c(bk), _c("__nb"), *[F.col(f"__o.`{c}`").alias(c) for c in opening],
+                 *[_c(s) for s in scd1], _c("__last_run"))
+    w2 = Window.partitionBy(*ent).orderBy(_c("start_date"))
     nxt = F.lead("start_date").over(w2)
     nxt_run = F.lead("last_updated_run_id").over(w2)
     own_run = _c("__last_run") if scd1 else _c("last_updated_run_id")
@@ -223,13 +228,13 @@ def _fold(rows: DataFrame, spec: DimensionSpec, seed: DataFrame | None) -> DataF
     stamped = _stamped_with_run(rows, spec)
     types = {f.name: f.dataType for f in stamped.schema.fields}
     elem = F.struct(*[_c(c) for c in cols])
-    items = stamped.select(_c(bk).alias("__k"),
+    items = stamped.select(F.struct(*_entity(spec)).alias("__k"),
                            F.struct(_c("start_date").alias("o"), F.lit(False).alias("seed"),
                                     elem.alias("e")).alias("x"))
     if seed is not None:
         s = align(seed, cols, types).select(*[_c(c).cast(types[c]).alias(c) for c in cols])
         items = items.unionByName(s.select(
-            _c(bk).alias("__k"),
+            F.struct(_c(bk), F.lit(None).cast("date").alias("__nb")).alias("__k"),
             F.struct(F.lit("0001-01-01").cast("date").alias("o"), F.lit(True).alias("seed"),
                      F.struct(*[_c(c) for c in cols]).alias("e")).alias("x")))
     elem_type = T.StructType([T.StructField(c, types[c], True) for c in cols])
@@ -278,12 +283,10 @@ def apply_batches(state: DataFrame | None, rows: DataFrame, spec: DimensionSpec,
     has_cur = "is_current" in state.columns
     cur = state.where(_c("is_current")) if has_cur else state
     hist = state.where(~_c("is_current")) if has_cur else None
-    keyed = rows.where(_c(bk).isNotNull())
-    touched = keyed.select(bk).distinct()
+    touched = rows.where(_c(bk).isNotNull()).select(bk).distinct()
     seed = cur.join(touched, bk, "left_semi")
     untouched = cur.join(touched, bk, "left_anti")
-    folded = _fold(keyed, spec, seed=seed)
-    out = untouched.unionByName(folded).unionByName(_null_key_versions(rows, spec))
+    out = untouched.unionByName(_fold(rows, spec, seed=seed))
     return out if hist is None else hist.unionByName(out)
 
 

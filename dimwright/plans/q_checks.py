@@ -12,7 +12,7 @@ from dimwright.plans.feeds import ACCOUNT, NATION, ORDER_RULES
 from dimwright.plans.q_dq import INPUTS_SQL
 from dimwright.plans.q_ingest import CLASSIFIED_SQL, FAULTED_SQL, classified, errors_long_sql
 from dimwright.plans.q_scd import NATION_ROWS_SQL, account_replay, batch_rows, nation_rows, run_col
-from dimwright.plans.q_warehouse import FACT_SQL, WH_ACCOUNT_SQL, fact, wh_account
+from dimwright.plans.q_warehouse import FACT_SQL, WH_ACCOUNT_SQL, fact, star, wh_account
 from dimwright.plans.registry import query
 
 K = "o_custkey"
@@ -118,10 +118,11 @@ FROM f JOIN a ON f.account_id = a.account_id JOIN seen ON a.o_custkey = seen.o_c
 WHERE a.o_custkey IN (SELECT o_custkey FROM single)
   AND f.date_id <> CAST(strftime(seen.first_seen, '%Y%m%d') AS INTEGER)""")
 def q_fact_first_seen(spark, sf):
-    f = fact(spark, sf)
+    st = star(spark, sf)
+    f = st["fact"]
     f = f.withColumn("date_id", F.when(F.col("account_id") % 13 == 0, F.col("date_id") + 1)
                      .otherwise(F.col("date_id")))
-    return checks.fact_first_seen(f, wh_account(spark, sf), feeds.account_feed(spark, sf),
+    return checks.fact_first_seen(f, st["dim_account"], feeds.account_feed(spark, sf),
                                   key=K, dim_key="account_id")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dimwright.contract import DedupSpec
 from dimwright.operators import scd
 from dimwright.operators.dedup import dedup_latest
 from dimwright.plans import feeds
@@ -19,7 +20,12 @@ def batch_rows(spark: SparkSession, sf: str, years: list[int] | None = None,
     rows = feeds.account_rows(spark, sf, spec)
     if years is not None:
         rows = rows.where(F.year("source_batch_date").isin(years))
-    return scd.prepare(rows, spec.with_(dedup=spec.dedup.__class__(enabled=False)))
+    return scd.prepare(rows, _no_dedup(spec))
+
+
+def _no_dedup(spec):
+    """The rows are already one per (key, batch)."""
+    return spec.with_(dedup=DedupSpec(enabled=False))
 
 
 def run_col():
@@ -114,8 +120,9 @@ def _segment_rows_sql() -> str:
     return O.dedup_sql(O.account_feed_sql(), "c_mktsegment, source_batch_date")
 
 
-def segment_rows(spark, sf):
-    return scd.prepare(feeds.account_feed(spark, sf), SEGMENT)
+def segment_rows(spark, sf, account_rows=None):
+    rows = account_rows if account_rows is not None else feeds.account_rows(spark, sf)
+    return scd.prepare(feeds.rollup_rows(rows, "c_mktsegment"), _no_dedup(SEGMENT))
 
 
 @query("scd_insert_only", O.replay_sql(_segment_rows_sql(), SEGMENT))
@@ -124,8 +131,9 @@ def q_insert_only(spark, sf):
     return scd.replay(segment_rows(spark, sf), SEGMENT, run_col())
 
 
-def nation_rows(spark, sf):
-    return scd.prepare(feeds.account_feed(spark, sf), NATION)
+def nation_rows(spark, sf, account_rows=None):
+    rows = account_rows if account_rows is not None else feeds.account_rows(spark, sf)
+    return scd.prepare(feeds.rollup_rows(rows, "c_nationkey"), _no_dedup(NATION))
 
 
 NATION_ROWS_SQL = O.dedup_sql(O.account_feed_sql(), "c_nationkey, source_batch_date")

@@ -8,7 +8,7 @@ from dimwright.operators import keys, marts, scd, shape, warehouse
 from dimwright.plans import feeds
 from dimwright.plans import oracle as O
 from dimwright.plans.feeds import ACCOUNT, FACT, NATION, SEGMENT
-from dimwright.plans.q_scd import (NATION_ROWS_SQL, _segment_rows_sql, account_replay, batch_rows,
+from dimwright.plans.q_scd import (NATION_ROWS_SQL, _no_dedup, _segment_rows_sql, account_replay, batch_rows,
                                    nation_rows, run_col, segment_rows)
 from dimwright.plans.registry import query
 
@@ -61,21 +61,29 @@ def q_cast(spark, sf):
 
 # ---------------------------------------------------------------- warehouse dims
 
-def wh_account(spark, sf):
-    return warehouse.warehouse_dimension(account_replay(spark, sf), ACCOUNT)
-
+def star(spark, sf) -> dict:
+    """Warehouse dimensions with surrogate keys, and the fact, built once.
 
-def wh_nation(spark, sf):
-    return warehouse.warehouse_dimension(scd.replay(nation_rows(spark, sf), NATION, run_col()), NATION)
+    The three dimensions share one deduped feed; each key assignment
+    materialises its dimension once (see ``keys.assign_surrogate_keys``).
+    """
+    rows = feeds.account_rows(spark, sf)
+    acc = warehouse.warehouse_dimension(
+        scd.replay(scd.prepare(rows, _no_dedup(ACCOUNT)),
+                   ACCOUNT, run_col()), ACCOUNT)
+    nat = warehouse.warehouse_dimension(scd.replay(nation_rows(spark, sf, rows), NATION, run_col()), NATION)
+    seg = warehouse.warehouse_dimension(scd.replay(segment_rows(spark, sf, rows), SEGMENT, run_col()),
+                                        SEGMENT)
+    f = warehouse.fact_rows(acc, ACCOUNT, FACT, {"dim_nation": nat, "dim_segment": seg})
+    return {"dim_account": acc, "dim_nation": nat, "dim_segment": seg, "fact": f}
 
 
-def wh_segment(spark, sf):
-    return warehouse.warehouse_dimension(scd.replay(segment_rows(spark, sf), SEGMENT, run_col()), SEGMENT)
+def wh_account(spark, sf):
+    return warehouse.warehouse_dimension(account_replay(spark, sf), ACCOUNT)
 
 
 def fact(spark, sf):
-    dims = {"dim_nation": wh_nation(spark, sf), "dim_segment": wh_segment(spark, sf)}
-    return warehouse.fact_rows(wh_account(spark, sf), ACCOUNT, FACT, dims)
+    return star(spark, sf)["fact"]
 
 
 WH_ACCOUNT_SQL = (f"SELECT *, row_number() OVER (ORDER BY o_custkey, start_date) AS account_id "
@@ -177,8 +185,9 @@ GROUP BY s.c_mktsegment"""
 
 @query("mart_active_by_tier", MART_TIER_SQL)
 def q_mart_tier(spark, sf):
+    st = star(spark, sf)
     return marts.active_by_tier(
-        fact(spark, sf), wh_account(spark, sf), wh_segment(spark, sf),
+        st["fact"], st["dim_account"], st["dim_segment"],
         base_key="account_id", entity="o_custkey", tier_key="segment_id", tier_name="c_mktsegment",
         measure="order_amount", status_col="o_orderstatus", active_value="O")
 
@@ -196,8 +205,9 @@ ORDER BY cal.year, cal.month, n.n_name"""
 
 @query("mart_amount_by_month_nation", MART_MONTH_SQL)
 def q_mart_month(spark, sf):
+    st = star(spark, sf)
     return marts.amount_by_month_and(
-        fact(spark, sf), wh_account(spark, sf), wh_nation(spark, sf),
+        st["fact"], st["dim_account"], st["dim_nation"],
         warehouse.calendar(feeds.raw_orders(spark, sf)),
         base_key="account_id", entity="o_custkey", other_key="nation_id", other_name="n_name",
         measure="order_amount")
