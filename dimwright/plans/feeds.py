@@ -88,8 +88,24 @@ ORDER_RULES: tuple[FieldRules, ...] = (
 )
 
 
+_MEMO: dict[tuple, DataFrame] = {}
+
+
+def _memo(spark: SparkSession, *key):
+    """Reuse an immutable DataFrame per session: no repeated footer reads or
+    re-analysis, and identical sub-plans share exchanges inside one query."""
+    def deco(build):
+        k = (spark.sparkContext.applicationId, id(spark), *key)
+        df = _MEMO.get(k)
+        if df is None:
+            df = _MEMO[k] = build()
+        return df
+    return deco
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return _memo(spark, "table", path)(lambda: spark.read.parquet(path))
 
 
 def batch_of(ts: Column) -> Column:
@@ -104,6 +120,10 @@ def scd_run_of(batch: Column) -> Column:
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order records with lineage: batch date and ingestion run id."""
+    return _memo(spark, "raw_orders", sf_dir)(lambda: _raw_orders(spark, sf_dir))
+
+
+def _raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     b = batch_of(F.col("o_orderdate"))
     return o.select(
@@ -125,7 +145,7 @@ def enrich(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def account_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed F, raw: every order enriched."""
-    return enrich(raw_orders(spark, sf_dir), spark, sf_dir)
+    return _memo(spark, "account_feed", sf_dir)(lambda: enrich(raw_orders(spark, sf_dir), spark, sf_dir))
 
 
 def account_rows(spark: SparkSession, sf_dir: str, spec: DimensionSpec = ACCOUNT) -> DataFrame:
@@ -134,9 +154,10 @@ def account_rows(spark: SparkSession, sf_dir: str, spec: DimensionSpec = ACCOUNT
     Dedup combines map-side (a hot customer collapses to one row per batch in
     each task) and the customer join then only sees one row per key and batch.
     """
-    keys = list(spec.dedup.keys) + [spec.batch_column]
-    deduped = dedup_latest(raw_orders(spark, sf_dir), keys, spec.dedup.order)
-    return enrich(deduped, spark, sf_dir)
+    def build():
+        keys = list(spec.dedup.keys) + [spec.batch_column]
+        return enrich(dedup_latest(raw_orders(spark, sf_dir), keys, spec.dedup.order), spark, sf_dir)
+    return _memo(spark, "account_rows", sf_dir, spec.name)(build)
 
 
 def faulted_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
