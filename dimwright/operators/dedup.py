@@ -50,7 +50,9 @@ def dedup_latest(df: DataFrame, keys: Sequence[str],
         return agg.select(*[F.col(f"`{c}`") if c in keys
                             else F.col(f"__w.f{names.index(c)}").alias(c) for c in cols])
     spec = [F.col(f"`{c}`").desc() if d else F.col(f"`{c}`").asc() for c, d in order]
-    spec += [F.col(f"`{c}`").asc() for c in rest
+    # tie-break like the aggregate path: greatest remaining row unless all ascending
+    rest_desc = dirs != {False}
+    spec += [F.col(f"`{c}`").desc() if rest_desc else F.col(f"`{c}`").asc() for c in rest
              if _orderable(df.schema[c].dataType)]
     w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*spec)
     return (df.withColumn("__rn", F.row_number().over(w))

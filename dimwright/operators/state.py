@@ -23,7 +23,9 @@ def upsert_by_key(target: DataFrame, staging: DataFrame, keys: Sequence[str],
     """Replace rows by key; ``keep_first`` columns keep the existing value."""
     keys = list(keys)
     cols = target.columns
-    s = staging.select(*keys, *[F.col(c).alias(f"s__{c}") for c in cols if c not in keys],
+    types = {f.name: f.dataType for f in target.schema.fields}
+    s = staging.select(*[F.col(k).cast(types[k]).alias(k) for k in keys],
+                       *[F.col(c).cast(types[c]).alias(f"s__{c}") for c in cols if c not in keys],
                        F.lit(True).alias("s__hit"))
     j = target.join(s, keys, "full_outer")
     hit = F.col("s__hit").isNotNull()
