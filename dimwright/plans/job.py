@@ -81,8 +81,8 @@ class Pipeline:
             return self.spark.createDataFrame([], schema)
         return df
 
-    def _publish(self, kind: str, name: str, df: DataFrame) -> None:
-        sinks.write_snapshot(df, self._path(kind, name))
+    def _publish(self, kind: str, name: str, df: DataFrame, meta: dict | None = None) -> None:
+        sinks.write_snapshot(df, self._path(kind, name), meta=meta)
 
     def control(self, name: str) -> DataFrame:
         schema = {"etl_ingestion_batches": INGEST_SCHEMA, "etl_scd_batches": SCD_SCHEMA,
@@ -182,8 +182,32 @@ class Pipeline:
             report[spec.name] = self._apply_dimension(spec, all_batches, run_id, now)
         return report
 
+    def _repair(self, spec: DimensionSpec, now: _dt.datetime) -> None:
+        """Roll the control table forward to the published snapshot.
+
+        A crash between publishing a snapshot and marking its batches leaves
+        batches in the snapshot that the control table does not know; they
+        are marked applied (by the run that wrote them) before planning.
+        """
+        meta = sinks.snapshot_meta(self.spark, self._path("dims", spec.name))
+        if not meta or "batches" not in meta:
+            return
+        ctl = self.control("etl_scd_batches")
+        applied = {r["batch_date"].isoformat() for r in
+                   ctl.where(F.col("dimension_name") == spec.name).select("batch_date").collect()}
+        missing = sorted(set(meta["batches"]) - applied)
+        if not missing and not (meta.get("rebuild") and set(meta["batches"]) != applied):
+            return
+        if meta.get("rebuild"):
+            ctl = state.clear_markers(ctl, spec.name)
+        b = self.spark.createDataFrame([(x,) for x in meta["batches"]], "batch_date string")
+        ctl = state.mark_scd_done(ctl, b, spec.name, meta["run_id"], meta["contract_version"],
+                                  F.lit(now).cast("timestamp"))
+        self._publish("control", "etl_scd_batches", ctl)
+
     def _apply_dimension(self, spec: DimensionSpec, all_batches: list[str], run_id: str,
                          now: _dt.datetime) -> dict:
+        self._repair(spec, now)
         ctl = self.control("etl_scd_batches")
         mine = ctl.where(F.col("dimension_name") == spec.name)
         applied = sorted(r["batch_date"].isoformat() for r in mine.select("batch_date").collect())
@@ -202,7 +226,10 @@ class Pipeline:
             new_state = scd.apply_batch(current, rows, spec, run_id)
         else:
             new_state = scd.apply_batches(current, rows, spec, run_id)
-        self._publish("dims", spec.name, new_state)
+        contained = sorted(set(pending) | (set() if rebuild else set(applied)))
+        self._publish("dims", spec.name, new_state,
+                      meta={"batches": contained, "run_id": run_id,
+                            "contract_version": spec.contract_version, "rebuild": rebuild})
         self.fault(f"after_snapshot:{spec.name}")
         if rebuild:
             ctl = state.clear_markers(ctl, spec.name)

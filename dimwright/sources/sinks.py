@@ -66,11 +66,15 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def current_snapshot(spark: SparkSession, root: str) -> str | None:
+def snapshot_meta(spark: SparkSession, root: str) -> dict | None:
+    """The ``_CURRENT`` pointer: version path plus metadata written with it."""
     txt = _read_text(spark, f"{root.rstrip('/')}/_CURRENT")
-    if not txt:
-        return None
-    return json.loads(txt)["path"]
+    return json.loads(txt) if txt else None
+
+
+def current_snapshot(spark: SparkSession, root: str) -> str | None:
+    meta = snapshot_meta(spark, root)
+    return meta["path"] if meta else None
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
@@ -78,13 +82,14 @@ def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(p) if p else None
 
 
-def write_snapshot(df: DataFrame, root: str, partition_by: list[str] | None = None) -> str:
-    """Write a new snapshot version, then repoint ``_CURRENT`` to it."""
+def write_snapshot(df: DataFrame, root: str, partition_by: list[str] | None = None,
+                   meta: dict | None = None) -> str:
+    """Write a new snapshot version, then repoint ``_CURRENT`` to it (with ``meta``)."""
     spark = df.sparkSession
     version = f"{root.rstrip('/')}/v-{uuid.uuid4().hex}"
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(version)
-    _write_text(spark, f"{root.rstrip('/')}/_CURRENT", json.dumps({"path": version}))
+    _write_text(spark, f"{root.rstrip('/')}/_CURRENT", json.dumps({**(meta or {}), "path": version}))
     return version
