@@ -58,6 +58,15 @@ RUNS_SCHEMA = T.StructType([
     T.StructField("error_text", T.StringType())])
 
 
+DQ_SCHEMA = T.StructType([
+    T.StructField("run_id", T.StringType()), T.StructField("measured_at", T.TimestampType()),
+    T.StructField("input_records", T.LongType()), T.StructField("valid_records", T.LongType()),
+    T.StructField("invalid_records", T.LongType()), T.StructField("total_records", T.LongType()),
+    T.StructField("reconciliation_difference", T.LongType()),
+    T.StructField("valid_duplicate_rate", T.DoubleType()), T.StructField("invalid_duplicate_rate", T.DoubleType()),
+    T.StructField("dimension_counts", T.StringType()), T.StructField("fact_rows", T.StringType())])
+
+
 class PipelineError(RuntimeError):
     pass
 
@@ -331,4 +340,17 @@ class Pipeline:
             "invalid_duplicate_rate": idup["duplicate_rate"] if idup else None,
             "dimension_counts": dim_counts, "fact_rows": fact_rows,
         }
+        self._persist_dq(row)
         return row
+
+    def _persist_dq(self, row: dict) -> None:
+        """Upsert the run's metrics row into control/dq_run_metrics (key: run_id)."""
+        import json
+        flat = self.spark.createDataFrame([(
+            row["run_id"], row["measured_at"], row["input_records"], row["valid_records"],
+            row["invalid_records"], row["total_records"], row["reconciliation_difference"],
+            row["valid_duplicate_rate"], row["invalid_duplicate_rate"],
+            json.dumps(row["dimension_counts"], sort_keys=True, default=str),
+            json.dumps(row["fact_rows"], sort_keys=True))], DQ_SCHEMA)
+        old = self._read("control", "dq_run_metrics", DQ_SCHEMA)
+        self._publish("control", "dq_run_metrics", state.upsert_by_key(old, flat, ["run_id"]))

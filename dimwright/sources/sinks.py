@@ -93,3 +93,28 @@ def write_snapshot(df: DataFrame, root: str, partition_by: list[str] | None = No
     w.parquet(version)
     _write_text(spark, f"{root.rstrip('/')}/_CURRENT", json.dumps({**(meta or {}), "path": version}))
     return version
+
+
+def jdbc_options(url: str, user: str | None = None, password: str | None = None,
+                 driver: str | None = None, **extra) -> dict:
+    """Options for the optional JDBC sink (the engine itself needs no database)."""
+    opts = {"url": url, **extra}
+    if user:
+        opts["user"] = user
+    if password:
+        opts["password"] = password
+    if driver:
+        opts["driver"] = driver
+    return opts
+
+
+def write_jdbc(df: DataFrame, table: str, options: dict, mode: str = "append",
+               num_partitions: int | None = None) -> None:
+    """Publish a result table to an external database (optional sink).
+
+    ``num_partitions`` bounds concurrent connections: the frame is coalesced
+    (no shuffle) before the write.
+    """
+    if num_partitions:
+        df = df.coalesce(num_partitions)
+    df.write.format("jdbc").options(**options).option("dbtable", table).mode(mode).save()
