@@ -124,3 +124,23 @@ def per_batch_text(counts: DataFrame, batch_col: str, value_col: str) -> Column:
     _ = counts
     return F.array_join(F.array_sort(F.collect_list(
         F.concat(F.col(batch_col).cast("string"), F.lit(":"), F.col(value_col).cast("string")))), ",")
+
+
+def combine_rows(frames: list[DataFrame]) -> DataFrame:
+    """Collapse one-row aggregates with disjoint columns into one row.
+
+    The frames are aligned (typed NULLs for foreign columns), unioned and
+    reduced with ``first(ignorenulls)``: every source runs exactly once and no
+    join (let alone a cross join) is needed to put the figures side by side.
+    """
+    types: dict = {}
+    for f in frames:
+        for fld in f.schema.fields:
+            types.setdefault(fld.name, fld.dataType)
+    cols = list(types)
+    aligned = [f.select(*[(F.col(f"`{c}`") if c in f.columns else F.lit(None).cast(types[c])).alias(c)
+                          for c in cols]) for f in frames]
+    out = aligned[0]
+    for a in aligned[1:]:
+        out = out.unionByName(a)
+    return out.agg(*[F.first(F.col(f"`{c}`"), ignorenulls=True).alias(c) for c in cols])

@@ -6,6 +6,10 @@ order become fixed), each row's index inside its partition comes from
 ``monotonically_increasing_id`` (partition id << 33 | index), and the per-
 partition row counts -- one row per partition, a proven-small table -- are
 prefix-summed and broadcast back.  Every stage stays fully parallel.
+
+The checkpoint must come after the range exchange: the range partitioner seeds
+its bound sampling with the RDD id, so two evaluations of an un-materialised
+range exchange may cut different ranges.
 """
 
 from __future__ import annotations

@@ -146,51 +146,52 @@ FROM v"""
 
 @query("dq_run_row", RUN_ROW_SQL)
 def q_run_row(spark, sf):
-    """One metrics row per run, assembled from scalar subqueries (no joins of aggregates)."""
-    c = classified(spark, sf)
-    valid = c.where(F.col(STATUS_COL) == "valid")
-    invalid = c.where(F.col(STATUS_COL) == "invalid")
-    inputs = feeds.account_feed(spark, sf).groupBy("source_batch_date").agg(
-        F.count(F.lit(1)).alias("input_record_count"))
-    counts = c.groupBy("source_batch_date").agg(
-        F.count_if(F.col(STATUS_COL) == "valid").alias("vn"),
-        F.count_if(F.col(STATUS_COL) == "invalid").alias("ivn"))
-    dims = dq.dimension_counts(_dims(spark, sf))
-    vdup = dq.duplicate_rate(valid, ["o_custkey"])
-    ivdup = dq.duplicate_rate(invalid, ["o_custkey"])
-    eb = dq.error_breakdown(invalid.drop(STATUS_COL))
-
-    def s(df, expr):
-        return df.select(expr).scalar()
-
-    vn = s(counts, F.coalesce(F.sum("vn"), F.lit(0)).cast("long"))
-    ivn = s(counts, F.coalesce(F.sum("ivn"), F.lit(0)).cast("long"))
-    inp = s(inputs, F.sum("input_record_count").cast("long"))
-    from dimwright.functions.money import rounded_pct
+    """One metrics row per run.
 
-    def dim(name, col):
-        return s(dims.where(F.col("dimension_name") == name), F.first(col))
+    Each source (classified feed, inputs, error breakdown, dimensions, fact)
+    is aggregated once into a one-row frame; ``dq.combine_rows`` puts them
+    side by side and the rates are derived from the combined row.
+    """
+    from dimwright.functions.money import rounded_pct
+    from dimwright.plans.q_warehouse import star
 
-    return spark.range(1).select(
-        F.lit("dq-run").alias("run_id"),
-        inp.alias("input_records"),
-        vn.alias("valid_records"), ivn.alias("invalid_records"),
+    c = classified(spark, sf)
+    status = F.col(STATUS_COL)
+    per_batch = c.groupBy("source_batch_date").agg(
+        F.count_if(status == "valid").alias("vn"), F.count_if(status == "invalid").alias("ivn"))
+    counts = per_batch.agg(
+        F.coalesce(F.sum("vn"), F.lit(0)).cast("long").alias("valid_records"),
+        F.coalesce(F.sum("ivn"), F.lit(0)).cast("long").alias("invalid_records"),
+        dq.per_batch_text(per_batch, "source_batch_date", "vn").alias("per_batch_valid"),
+        dq.per_batch_text(per_batch, "source_batch_date", "ivn").alias("per_batch_invalid"))
+    inputs = (feeds.account_feed(spark, sf).groupBy("source_batch_date").agg(F.count(F.lit(1)).alias("n"))
+              .agg(F.sum("n").cast("long").alias("input_records"), F.count(F.lit(1)).alias("batch_count")))
+    # duplicate rates of both sets from one per-(status, key) pre-aggregate
+    keyed = c.groupBy(STATUS_COL, "o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    dups = keyed.agg(*[
+        rounded_pct(F.sum(F.when(status == st, F.col("n"))) - F.count_if(status == st),
+                    F.sum(F.when(status == st, F.col("n")))).alias(f"{st}_duplicate_rate")
+        for st in ("valid", "invalid")])
+    eb = dq.error_breakdown(c.where(status == "invalid").drop(STATUS_COL)).agg(
+        F.array_join(F.array_sort(F.collect_list(F.concat(
+            "field", F.lit("/"), "code", F.lit("="), F.col("error_count").cast("string")))), ";")
+        .alias("error_breakdown"))
+    st_ = star(spark, sf)
+    acc = st_["dim_account"].agg(F.count(F.lit(1)).alias("dim_account_total_rows"),
+                                 F.count_if(F.col("is_current")).alias("dim_account_current_rows"),
+                                 F.count_if(~F.col("is_current")).alias("dim_account_historical_rows"))
+    nat = st_["dim_nation"].agg(F.count(F.lit(1)).alias("dim_nation_total_rows"))
+    seg = st_["dim_segment"].agg(F.count(F.lit(1)).alias("dim_segment_total_rows"))
+    fct = st_["fact"].agg(F.count(F.lit(1)).alias("fact_rows"))
+    row = dq.combine_rows([counts, inputs, dups, eb, acc, nat, seg, fct])
+    vn, ivn = F.col("valid_records"), F.col("invalid_records")
+    return row.select(
+        F.lit("dq-run").alias("run_id"), "input_records", "valid_records", "invalid_records",
         (vn + ivn).alias("total_records"),
         rounded_pct(vn, vn + ivn).alias("valid_rate"),
         rounded_pct(ivn, vn + ivn).alias("invalid_rate"),
-        (inp - (vn + ivn)).alias("reconciliation_difference"),
-        s(inputs, F.count(F.lit(1))).alias("batch_count"),
-        s(counts, dq.per_batch_text(counts, "source_batch_date", "vn")).alias("per_batch_valid"),
-        s(counts, dq.per_batch_text(counts, "source_batch_date", "ivn")).alias("per_batch_invalid"),
-        s(vdup, F.first("duplicate_rate")).alias("valid_duplicate_rate"),
-        s(ivdup, F.first("duplicate_rate")).alias("invalid_duplicate_rate"),
-        s(eb, F.array_join(F.array_sort(F.collect_list(F.concat(
-            "field", F.lit("/"), "code", F.lit("="), F.col("error_count").cast("string")))), ";"))
-        .alias("error_breakdown"),
-        dim("dim_account", "total_rows").alias("dim_account_total_rows"),
-        dim("dim_account", "current_rows").alias("dim_account_current_rows"),
-        dim("dim_account", "historical_rows").alias("dim_account_historical_rows"),
-        dim("dim_nation", "total_rows").alias("dim_nation_total_rows"),
-        dim("dim_segment", "total_rows").alias("dim_segment_total_rows"),
-        s(fact(spark, sf), F.count(F.lit(1))).alias("fact_rows"),
-    )
+        (F.col("input_records") - (vn + ivn)).alias("reconciliation_difference"),
+        "batch_count", "per_batch_valid", "per_batch_invalid", "valid_duplicate_rate",
+        "invalid_duplicate_rate", "error_breakdown", "dim_account_total_rows",
+        "dim_account_current_rows", "dim_account_historical_rows", "dim_nation_total_rows",
+        "dim_segment_total_rows", "fact_rows")

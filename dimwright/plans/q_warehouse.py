@@ -11,6 +11,7 @@ from dimwright.plans.feeds import ACCOUNT, FACT, NATION, SEGMENT
 from dimwright.plans.q_scd import (NATION_ROWS_SQL, _no_dedup, _segment_rows_sql, account_replay, batch_rows,
                                    nation_rows, run_col, segment_rows)
 from dimwright.plans.registry import query
+from dimwright.session import ensure_checkpoint_dir
 
 # ---------------------------------------------------------------- shaping (part)
 
@@ -64,10 +65,12 @@ def q_cast(spark, sf):
 def star(spark, sf) -> dict:
     """Warehouse dimensions with surrogate keys, and the fact, built once.
 
-    The three dimensions share one deduped feed; each key assignment
-    materialises its dimension once (see ``keys.assign_surrogate_keys``).
+    The three dimensions share one deduped feed, materialised once (reliable
+    checkpoint) instead of being re-derived from the raw scan per dimension;
+    each key assignment materialises its dimension once.
     """
-    rows = feeds.account_rows(spark, sf)
+    ensure_checkpoint_dir(spark)
+    rows = feeds.account_rows(spark, sf).checkpoint(eager=True)
     acc = warehouse.warehouse_dimension(
         scd.replay(scd.prepare(rows, _no_dedup(ACCOUNT)),
                    ACCOUNT, run_col()), ACCOUNT)
