@@ -51,7 +51,7 @@ def duplicate_rate_by_batch(df: DataFrame, keys: Sequence[str], batch_col: str)
 
 
 def error_breakdown(invalid: DataFrame) -> DataFrame:
-    """(field, code, error_count) over the error maps of an invalid set."""
+    """(field, code, error_count) over the error maps (classified or invalid rows)."""
     return (invalid.select(F.explode(ERRORS_COL).alias("field", "codes"))
             .select("field", F.explode("codes").alias("code"))
             .groupBy("field", "code").agg(F.count(F.lit(1)).alias("error_count")))

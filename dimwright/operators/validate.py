@@ -1,8 +1,14 @@
 """Declarative validation: per-field error arrays, error map, valid/invalid split.
 
-One projection annotates every row (all rules of all fields in one pass), so
-the source is scanned once; valid and invalid outputs are two filters of that
-projection, or one partitioned write (see ``sources.sinks.write_split``).
+All rules of all fields are evaluated in one pass over the rows, so the source
+is scanned once; valid and invalid outputs are two filters of that result, or
+one partitioned write (see ``sources.sinks.write_split``).
+
+Plan shape: a first projection evaluates every rule condition exactly once
+into a boolean column; the arrays, the error map and the status are then
+assembled from those columns by reference with ``concat`` / ``map_from_entries``
+of guarded one-element arrays (no lambda functions, so the projection stays in
+whole-stage code generation and no rule expression is inlined twice).
 """
 
 from __future__ import annotations
@@ -14,40 +20,81 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimwright.contract import FieldRules
-from dimwright.functions.rules import CODE_FIELD_MISSING, rule_column
+from dimwright.functions.rules import CODE_FIELD_MISSING, rule_parts
 
 ERR_PREFIX = "__err_"
 ERRORS_COL = "validation_errors"
 STATUS_COL = "record_status"
 ERROR_MAP_TYPE = T.MapType(T.StringType(), T.ArrayType(T.StringType()))
+_CODES_TYPE = T.ArrayType(T.StringType())
+_ENTRY_TYPE = T.ArrayType(T.StructType([T.StructField("key", T.StringType(), False),
+                                        T.StructField("value", _CODES_TYPE, True)]))
+
+
+def _guarded(value: Column, present: Column, empty_type: T.DataType) -> Column:
+    """array(value) when ``present`` else an empty array."""
+    return F.when(present, F.array(value)).otherwise(F.array().cast(empty_type))
+
+
+def _codes_from_flags(flags: list[tuple[Column, Column]]) -> Column:
+    """Array of the codes whose flag is set; NULL when none is."""
+    if not flags:
+        return F.lit(None).cast(_CODES_TYPE)
+    any_bad = F.lit(False)
+    for bad, _ in flags:
+        any_bad = any_bad | bad
+    parts = [_guarded(code, bad, _CODES_TYPE) for bad, code in flags]
+    return F.when(any_bad, F.concat(*parts) if len(parts) > 1 else parts[0])
 
 
 def field_error_column(field: str, rules: Iterable, present: bool) -> Column:
     """array<string> of failing codes for one field, NULL when every rule passes."""
     if not present:
         return F.array(F.lit(CODE_FIELD_MISSING))
-    conds = [rule_column(field, r.name, r.param) for r in rules]
-    if not conds:
-        return F.lit(None).cast(T.ArrayType(T.StringType()))
-    arr = F.array_compact(F.array(*conds))
-    return F.when(F.size(arr) > 0, arr)
+    return _codes_from_flags([rule_parts(field, r.name, r.param) for r in rules])
 
 
-def annotate(df: DataFrame, validations: Iterable[FieldRules]) -> DataFrame:
-    """Add one ``__err_<field>`` column per validated field."""
+def _flagged(df: DataFrame, validations: list[FieldRules]):
+    """df + one boolean column per rule; plan of (field, [(flag column, code)] or None)."""
     cols = set(df.columns)
-    exprs = [field_error_column(v.field, v.rules, v.field in cols).alias(ERR_PREFIX + v.field)
-             for v in validations]
-    return df.select("*", *exprs)
+    flags: list[Column] = []
+    plan: list[tuple[str, list[tuple[str, Column]] | None]] = []
+    for v in validations:
+        if v.field not in cols:
+            plan.append((v.field, None))
+            continue
+        entries = []
+        for r in v.rules:
+            cond, code = rule_parts(v.field, r.name, r.param)
+            name = f"__bad{len(flags)}"
+            flags.append(cond.alias(name))
+            entries.append((name, code))
+        plan.append((v.field, entries))
+    return df.select("*", *flags), plan
+
+
+def annotate(df: DataFrame, validations: Iterable[FieldRules]) -> DataFrame:
+    """Original columns + one ``__err_<field>`` array column per validated field."""
+    vs = list(validations)
+    flagged, plan = _flagged(df, vs)
+    out = []
+    for fld, entries in plan:
+        col = (F.array(F.lit(CODE_FIELD_MISSING)) if entries is None
+               else _codes_from_flags([(F.col(n), code) for n, code in entries]))
+        out.append(col.alias(ERR_PREFIX + fld))
+    return flagged.select(*[F.col(f"`{c}`") for c in df.columns], *out)
 
 
 def _error_map(validations: list[FieldRules]) -> Column:
+    """map field -> codes, failing fields only."""
     if not validations:
         return F.lit(None).cast(ERROR_MAP_TYPE)
-    entries = []
+    parts = []
     for v in validations:
-        entries += [F.lit(v.field), F.col(f"`{ERR_PREFIX}{v.field}`")]
-    return F.map_filter(F.create_map(*entries), lambda _k, val: val.isNotNull())
+        err = F.col(f"`{ERR_PREFIX}{v.field}`")
+        parts.append(_guarded(F.struct(F.lit(v.field).alias("key"), err.alias("value")),
+                              err.isNotNull(), _ENTRY_TYPE))
+    return F.map_from_entries(F.concat(*parts) if len(parts) > 1 else parts[0])
 
 
 def _has_error(validations: list[FieldRules]) -> Column:
@@ -61,8 +108,8 @@ def classify(df: DataFrame, validations: Iterable[FieldRules]) -> DataFrame:
     """Original columns + ``validation_errors`` (NULL for valid rows) + ``record_status``."""
     vs = list(validations)
     original = [f"`{c}`" for c in df.columns]
-    ann = annotate(df, vs)
-    bad = _has_error(vs)
+    ann = annotate(df, vs).select("*", _has_error(vs).alias("__bad"))
+    bad = F.col("__bad")
     return ann.select(
         *original,
         F.when(bad, _error_map(vs)).alias(ERRORS_COL),
@@ -80,8 +127,12 @@ def split_valid_invalid(df: DataFrame, validations: Iterable[FieldRules]) -> tup
     return valid, invalid
 
 
-def error_rows(invalid: DataFrame, key_cols: list[str]) -> DataFrame:
-    """Long form: one row per (key..., field, code) of an invalid set."""
-    return (invalid
+def error_rows(classified: DataFrame, key_cols: list[str]) -> DataFrame:
+    """Long form: one row per (key..., field, code).
+
+    Valid rows carry no map, so a classified frame can be passed directly
+    (no status filter, whose pushdown would re-evaluate every rule).
+    """
+    return (classified
             .select(*key_cols, F.explode(ERRORS_COL).alias("field", "codes"))
             .select(*key_cols, "field", F.explode("codes").alias("code")))

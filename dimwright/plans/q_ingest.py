@@ -134,8 +134,7 @@ def q_pending_scan(spark, sf):
 
 @query("validate_rules", errors_long_sql(FAULTED_SQL, "o_orderkey", ORDER_RULES))
 def q_rules(spark, sf):
-    _, invalid = validate.split_valid_invalid(feeds.faulted_orders(spark, sf), ORDER_RULES)
-    return validate.error_rows(invalid, ["o_orderkey"])
+    return validate.error_rows(classified(spark, sf), ["o_orderkey"])
 
 
 SUPPLIER_RULES = (
