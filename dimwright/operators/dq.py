@@ -57,6 +57,11 @@ def error_breakdown(invalid: DataFrame) -> DataFrame:
             .groupBy("field", "code").agg(F.count(F.lit(1)).alias("error_count")))
 
 
+def breakdown_from_violations(violations: DataFrame) -> DataFrame:
+    """(field, code, error_count) from a long-form violation list."""
+    return violations.groupBy("field", "code").agg(F.count(F.lit(1)).alias("error_count"))
+
+
 def nested_breakdown(breakdown: DataFrame) -> DataFrame:
     """One row: map field -> map code -> count, both levels sorted by key."""
     inner = breakdown.groupBy("field").agg(F.map_from_entries(F.array_sort(

@@ -136,3 +136,28 @@ def error_rows(classified: DataFrame, key_cols: list[str]) -> DataFrame:
     return (classified
             .select(*key_cols, F.explode(ERRORS_COL).alias("field", "codes"))
             .select(*key_cols, "field", F.explode("codes").alias("code")))
+
+
+def violations(df: DataFrame, validations: Iterable[FieldRules], key_cols: list[str]) -> DataFrame:
+    """Long form straight from the rule flags: one row per (key..., field, code).
+
+    One generator over an array of (field, code) structs built from the
+    boolean flags -- no map is built and exploded -- so this is the cheap path
+    when only the violations are needed (breakdowns, error listings).
+    """
+    vs = list(validations)
+    flagged, plan = _flagged(df, vs)
+    entry = T.ArrayType(T.StructType([T.StructField("field", T.StringType(), False),
+                                      T.StructField("code", T.StringType(), True)]))
+    parts = []
+    for fld, entries in plan:
+        if entries is None:
+            parts.append(F.array(F.struct(F.lit(fld).alias("field"), F.lit(CODE_FIELD_MISSING).alias("code"))))
+            continue
+        for n, code in entries:
+            parts.append(_guarded(F.struct(F.lit(fld).alias("field"), code.alias("code")), F.col(n), entry))
+    if not parts:
+        return flagged.select(*key_cols, F.lit(None).cast("string").alias("field"),
+                              F.lit(None).cast("string").alias("code")).limit(0)
+    arr = F.concat(*parts) if len(parts) > 1 else parts[0]
+    return flagged.select(*[F.col(f"`{k}`") for k in key_cols], F.inline(arr))

@@ -59,7 +59,8 @@ def q_dup_rate_batch(spark, sf):
 @query("dq_error_breakdown", f"""SELECT field, code, count(*) AS error_count
 FROM ({errors_long_sql(FAULTED_SQL, "o_orderkey", ORDER_RULES)}) __e GROUP BY field, code""")
 def q_breakdown(spark, sf):
-    return dq.error_breakdown(classified(spark, sf))
+    return dq.breakdown_from_violations(
+        validate.violations(feeds.faulted_orders(spark, sf), ORDER_RULES, []))
 
 
 INPUTS_SQL = (f"SELECT source_batch_date, count(*) AS input_record_count FROM ({O.account_feed_sql()}) __i "
@@ -171,7 +172,8 @@ def q_run_row(spark, sf):
         rounded_pct(F.sum(F.when(status == st, F.col("n"))) - F.count_if(status == st),
                     F.sum(F.when(status == st, F.col("n")))).alias(f"{st}_duplicate_rate")
         for st in ("valid", "invalid")])
-    eb = dq.error_breakdown(c).agg(
+    eb = dq.breakdown_from_violations(
+        validate.violations(feeds.faulted_orders(spark, sf), ORDER_RULES, [])).agg(
         F.array_join(F.array_sort(F.collect_list(F.concat(
             "field", F.lit("/"), "code", F.lit("="), F.col("error_count").cast("string")))), ";")
         .alias("error_breakdown"))

@@ -134,7 +134,7 @@ def q_pending_scan(spark, sf):
 
 @query("validate_rules", errors_long_sql(FAULTED_SQL, "o_orderkey", ORDER_RULES))
 def q_rules(spark, sf):
-    return validate.error_rows(classified(spark, sf), ["o_orderkey"])
+    return validate.violations(feeds.faulted_orders(spark, sf), ORDER_RULES, ["o_orderkey"])
 
 
 SUPPLIER_RULES = (
@@ -148,8 +148,7 @@ SUPPLIER_RULES = (
                                                  present={"s_name", "s_acctbal"}))
 def q_field_missing(spark, sf):
     """A rule on an absent column flags every row 'fieldMissing'."""
-    _, invalid = validate.split_valid_invalid(feeds.table(spark, sf, "supplier"), SUPPLIER_RULES)
-    return validate.error_rows(invalid, ["s_suppkey"])
+    return validate.violations(feeds.table(spark, sf, "supplier"), SUPPLIER_RULES, ["s_suppkey"])
 
 
 @query("validate_valid", f"SELECT * FROM ({FAULTED_SQL}) __f WHERE {any_error_sql(ORDER_RULES)} IS NULL")
