@@ -24,7 +24,8 @@ Three evaluation strategies produce the same dimension:
                   when tracked fields are never NULL, else a per-key fold with
                   the built-in ``aggregate`` higher-order function.
 ``apply_batches`` many pending batches onto an existing snapshot in one
-                  shuffle: the fold seeded with each key's open version.
+                  shuffle: the window (or fold) path seeded with each touched
+                  key's open version.
 """
 
 from __future__ import annotations
@@ -172,11 +173,22 @@ def replay(rows: DataFrame, spec: DimensionSpec, run_id: RunId, method: str = "a
     raise ValueError(f"unknown replay method {method!r}")
 
 
-def _replay_window(rows: DataFrame, spec: DimensionSpec) -> DataFrame:
+def _replay_window(rows: DataFrame, spec: DimensionSpec, seed: DataFrame | None = None) -> DataFrame:
+    """Window formulation; exact when tracked fields are never NULL.
+
+    With ``seed`` (open versions of the touched keys), each seed row is simply
+    the first row of its version group: its start, lineage and run are kept,
+    type-1 values continue from it, and a tracked change closes it.
+    """
     bk = spec.business_key
     cols = _internal_columns(spec)
     types = dimension_types(spec)
-    rows = _stamped_with_run(rows, spec).withColumn("__nb", _entity(spec)[1])
+    stamped = _stamped_with_run(rows, spec)
+    if seed is not None:
+        st = {f.name: f.dataType for f in stamped.schema.fields}
+        stamped = stamped.unionByName(align(seed, cols, types).select(
+            *[_c(c).cast(st[c]).alias(c) for c in cols]))
+    rows = stamped.withColumn("__nb", _entity(spec)[1])
     ent = [_c(bk), _c("__nb")]
     w = Window.partitionBy(*ent).orderBy(_c("start_date"))
     chg = F.lag("start_date").over(w).isNull()
@@ -286,7 +298,11 @@ def apply_batches(state: DataFrame | None, rows: DataFrame, spec: DimensionSpec,
     touched = rows.where(_c(bk).isNotNull()).select(bk).distinct()
     seed = cur.join(touched, bk, "left_semi")
     untouched = cur.join(touched, bk, "left_anti")
-    out = untouched.unionByName(_fold(rows, spec, seed=seed))
+    if spec.tracked_never_null or not spec.scd2_fields:
+        versions = _replay_window(rows, spec, seed=seed)
+    else:
+        versions = _fold(rows, spec, seed=seed)
+    out = untouched.unionByName(versions)
     return out if hist is None else hist.unionByName(out)
 
 

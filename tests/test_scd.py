@@ -193,3 +193,14 @@ def test_window_replay_differs_with_null_tracked(spark):
     rows2 = rows[:2] + [("1", "r3", D3, "a", 1.0, None, "n")]
     w = as_dicts(scd.replay(df(spark, rows2), SPEC, run_of(F.col("batch")), method="window"))
     assert len(w) != len(model(rows2))
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_apply_batches_window_path_matches_model(spark, seed):
+    rows = random_rows(seed, null_rate=0.0)
+    spec = SPEC.with_(tracked_never_null=True)
+    bs = sorted({r[2] for r in rows})
+    run = run_of(F.col("batch"))
+    first = scd.replay(df(spark, [r for r in rows if r[2] < bs[2]]), spec, run)
+    rest = df(spark, [r for r in rows if r[2] >= bs[2]])
+    assert as_dicts(scd.apply_batches(first, rest, spec, run)) == model(rows, spec)
