@@ -19,6 +19,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dimwright.operators.plan_utils import sized_broadcast
 from dimwright.session import ensure_checkpoint_dir
 
 _LOW33 = (1 << 33) - 1
@@ -67,7 +68,9 @@ def merge_upsert(target: DataFrame, staging: DataFrame, nk: Sequence[str], key_c
     s = staging.select(*[F.col(f"`{c}`") for c in nk],
                        *[F.col(f"`{c}`").alias(f"s__{c}") for c in value_cols],
                        F.lit(True).alias("s__present"))
-    kept = target.join(s, nk, "left_outer")
+    # a small staging set (the usual incremental load) is broadcast after a
+    # size check, so the large target is not shuffled
+    kept = target.join(sized_broadcast(s), nk, "left_outer")
     present = F.col("s__present").isNotNull()
 
     def pick(c: str) -> Column:

@@ -38,6 +38,7 @@ from pyspark.sql import types as T
 
 from dimwright.contract import SCD2_METADATA, DimensionSpec
 from dimwright.operators.dedup import dedup_latest
+from dimwright.operators.plan_utils import sized_broadcast
 from dimwright.operators.shape import align, align_dimension, derive, dimension_types, rename
 
 RunId = str | Column
@@ -105,7 +106,11 @@ def changed_keys(state: DataFrame, batch: DataFrame, spec: DimensionSpec) -> Dat
 
 def apply_batch(state: DataFrame | None, batch: DataFrame, spec: DimensionSpec,
                 run_id: RunId) -> DataFrame:
-    """Apply ONE prepared batch (one row per business key) to a snapshot."""
+    """Apply ONE prepared batch (one row per business key) to a snapshot.
+
+    ``state`` should be materialised (a snapshot read, or ``checkpoint()``):
+    the plan reads it three ways (history, touched and untouched current rows).
+    """
     if state is None:
         return initial_load(batch, spec, run_id)
     state = align_dimension(state, spec)
@@ -115,6 +120,12 @@ def apply_batch(state: DataFrame | None, batch: DataFrame, spec: DimensionSpec,
     has_cur = "is_current" in cols
     cur = state.where(_c("is_current")) if has_cur else state
     hist = state.where(~_c("is_current")) if has_cur else None
+    # Only current rows whose key is in the batch can change: split them off
+    # with a semi/anti join on the batch keys (broadcast when the key list is
+    # small), so a small batch never shuffles the whole state.
+    batch_keys = sized_broadcast(batch.where(_c(bk).isNotNull()).select(bk).distinct())
+    untouched = cur.join(batch_keys, bk, "left_anti")
+    cur = cur.join(batch_keys, bk, "left_semi")
 
     opened = align_dimension(stamp_open(batch, spec, run_id), spec)
     n_struct = F.struct(*[_c(c).cast(types[c]).alias(c) for c in cols])
@@ -137,8 +148,9 @@ def apply_batch(state: DataFrame | None, batch: DataFrame, spec: DimensionSpec,
              .when(n.isNull(), c)
              .when(changed, closed))
     first = first.when(F.lit(bool(refresh_fields)), refreshed).otherwise(c)
-    second = F.when(c.isNotNull() & n.isNotNull() & changed, n)
-    out = j.select(F.explode(F.array_compact(F.array(first, second))).alias("r")).select("r.*")
+    both = F.when(c.isNotNull() & n.isNotNull() & changed, F.array(first, n)).otherwise(F.array(first))
+    out = j.select(F.explode(both).alias("r")).select("r.*")
+    out = untouched.unionByName(out)
     return out if hist is None else hist.unionByName(out)
 
 
@@ -295,7 +307,7 @@ def apply_batches(state: DataFrame | None, rows: DataFrame, spec: DimensionSpec,
     has_cur = "is_current" in state.columns
     cur = state.where(_c("is_current")) if has_cur else state
     hist = state.where(~_c("is_current")) if has_cur else None
-    touched = rows.where(_c(bk).isNotNull()).select(bk).distinct()
+    touched = sized_broadcast(rows.where(_c(bk).isNotNull()).select(bk).distinct())
     seed = cur.join(touched, bk, "left_semi")
     untouched = cur.join(touched, bk, "left_anti")
     if spec.tracked_never_null or not spec.scd2_fields:

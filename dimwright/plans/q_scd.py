@@ -12,6 +12,7 @@ from dimwright.plans import feeds
 from dimwright.plans import oracle as O
 from dimwright.plans.feeds import ACCOUNT, ACCOUNT_NULLABLE, NATION, SEGMENT
 from dimwright.plans.registry import query
+from dimwright.session import ensure_checkpoint_dir
 
 
 def batch_rows(spark: SparkSession, sf: str, years: list[int] | None = None,
@@ -65,10 +66,17 @@ def q_changed_keys(spark, sf):
 
 @query("scd2_incremental", O.replay_sql(O.account_rows_sql(O.year_filter(1995, 1997)), ACCOUNT))
 def q_scd2_incremental(spark, sf):
-    """Batches 1995 -> 1996 -> 1997 applied one at a time with the join step."""
+    """Batches 1995 -> 1996 -> 1997 applied one at a time with the join step.
+
+    Each step's state is materialised (reliable checkpoint), as each run of the
+    job publishes a snapshot that the next run reads.
+    """
+    ensure_checkpoint_dir(spark)
     state = None
     for y in (1995, 1996, 1997):
         state = scd.apply_batch(state, batch_rows(spark, sf, [y]), ACCOUNT, f"scd-{y}")
+        if y != 1997:
+            state = state.checkpoint(eager=True)
     return state
 
 
