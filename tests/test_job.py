@@ -148,3 +148,20 @@ def test_incremental_late_batch_and_restart(spark, tmpdir_path, contract):
     # the dimensions that did not crash were applied by run-a and loaded once
     nat = q.table("dim_nation")
     assert nat.count() == nat.select("c_nationkey").distinct().count()
+
+
+def test_cli_runs_the_pipeline(spark, tmpdir_path):
+    import json as _json
+    from dimwright import cli
+    inp = f"{tmpdir_path}/input"
+    os.makedirs(inp)
+    write_batch(spark, inp, 1995)
+    path = f"{tmpdir_path}/contract.json"
+    with open(path, "w") as fh:
+        _json.dump(META, fh)
+    out = cli.main(["ingest", "--contract", path, "--input", inp, "--root", f"{tmpdir_path}/out",
+                    "--run-id", "cli-1"])
+    assert out["pending"] == ["1995-01-01"]
+    out = cli.main(["dimensions", "--contract", path, "--input", inp, "--root", f"{tmpdir_path}/out",
+                    "--run-id", "cli-1"])
+    assert out["dim_account"]["status"] == "success"
