@@ -155,3 +155,21 @@ def q_nation(spark, sf):
 @query("view_current", f"SELECT * FROM ({O.ACCOUNT_REPLAY}) WHERE is_current")
 def q_view_current(spark, sf):
     return scd.current_view(account_replay(spark, sf))
+
+
+HOT_ROWS_SQL = O.enrich_sql(O.dedup_sql(f"""SELECT * REPLACE (
+  CASE WHEN o_orderkey % 3 = 0 THEN CAST(0 AS BIGINT) ELSE o_custkey END AS o_custkey) FROM ({O.RAW_ORDERS}) __h"""))
+
+
+@query("scd2_replay_hot_key", O.replay_sql(HOT_ROWS_SQL, ACCOUNT))
+def q_hot_key(spark, sf):
+    """Skew: a third of all orders belong to one customer.
+
+    The per-(customer, batch) dedup combines map-side, so the hot customer
+    reaches the shuffle as at most one row per batch and task; the entity
+    window then sees one row per batch for it.
+    """
+    raw = feeds.raw_orders(spark, sf).withColumn(
+        "o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(0).cast("long")).otherwise(F.col("o_custkey")))
+    rows = feeds.enrich(dedup_latest(raw, ["o_custkey", "source_batch_date"], ACCOUNT.dedup.order), spark, sf)
+    return scd.replay(scd.prepare(rows, _no_dedup(ACCOUNT)), ACCOUNT, run_col())

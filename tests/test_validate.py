@@ -106,3 +106,17 @@ def test_reconciliation_difference(spark):
     rec = dq.reconciliation(inputs, out, "source_batch_date").where("is_total").first()
     assert rec["difference"] == 1 and rec["output_total"] == 2
     assert not math.isnan(rec["input_records"])
+
+
+def test_split_write_as_json_and_read_back(spark, tmpdir_path):
+    from dimwright.sources import sinks
+    df = spark.createDataFrame([("a", "2024-01-01"), (None, "2024-01-01"), ("b", "2024-01-02")],
+                               "name string, d string").withColumn("source_batch_date", F.col("d").cast("date"))
+    c = validate.classify(df.drop("d"), [FieldRules("name", (Rule("notNull"),))])
+    sinks.write_split(c, f"{tmpdir_path}/out", fmt="json")
+    back = spark.read.json(f"{tmpdir_path}/out")
+    assert back.where("record_status = 'invalid'").count() == 1
+    assert back.where("record_status = 'valid'").count() == 2
+    # re-running one batch replaces only its partitions
+    sinks.write_split(c.where("source_batch_date = '2024-01-02'"), f"{tmpdir_path}/out", fmt="json")
+    assert spark.read.json(f"{tmpdir_path}/out").count() == 3
