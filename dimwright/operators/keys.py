@@ -30,9 +30,11 @@ def assign_surrogate_keys(df: DataFrame, nk: Sequence[str], key_col: str,
     """Add ``key_col`` = base + 1, 2, ... in natural-key order (dense, deterministic)."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(f"`{c}`") for c in nk]
-    ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols).checkpoint(eager=True)
+    # without an explicit count AQE may coalesce small ranges; the checkpoint
+    # fixes whatever layout results before it is counted and numbered
+    ranged = (df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols))
+    ranged = ranged.sortWithinPartitions(*cols).checkpoint(eager=True)
     tagged = ranged.select("*", F.spark_partition_id().alias("__pid"),
                            F.monotonically_increasing_id().alias("__mid"))
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
