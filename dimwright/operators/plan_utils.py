@@ -27,27 +27,3 @@ def sized_broadcast(df: DataFrame, limit_bytes: int = DEFAULT_BROADCAST_BYTES) -
         return F.broadcast(df)
     return df
 
-
-def spread(df: DataFrame, min_bytes_per_task: int = 256 * 1024) -> DataFrame:
-    """Spread a scan that arrives in too few splits (e.g. one unsplittable file).
-
-    Byte-range splits of a file with one row group are empty but one, so the
-    test is the number of input files: with fewer files than the cluster's
-    parallelism and enough bytes to matter, hash-partition on the first
-    column (deterministic, no sort) so the per-row work before the first
-    shuffle runs in parallel.  A large table has many files and is returned
-    unchanged.
-    """
-    spark = df.sparkSession
-    parallelism = spark.sparkContext.defaultParallelism
-    try:
-        parts = len(df.inputFiles())
-    except Exception:  # noqa: BLE001 - not a file scan
-        return df
-    if parts >= parallelism:
-        return df
-    size = planned_size_bytes(df) or 0
-    want = min(parallelism, size // min_bytes_per_task)
-    if want <= parts:
-        return df
-    return df.repartition(int(want), F.col(f"`{df.columns[0]}`"))

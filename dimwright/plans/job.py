@@ -179,9 +179,10 @@ class Pipeline:
 
     def run_dimensions(self, run_id: str, now: _dt.datetime) -> dict:
         ingested = self.control("etl_ingestion_batches").select("batch_date")
-        feed_batches = (self.spark.read.parquet(self._path("feed")).select(
-            F.col("source_batch_date").alias("batch_date")).distinct()
-            if paths.path_exists(self.spark, self._path("feed")) else ingested.limit(0))
+        # batches present in the feed, from its partition directories (metadata only)
+        listed = sinks.partition_values(self.spark, self._path("feed"), "source_batch_date")
+        feed_batches = self.spark.createDataFrame([(d,) for d in listed], "b string").select(
+            F.col("b").cast("date").alias("batch_date"))
         missing = [r["batch_date"] for r in state.missing_ingestion_state(feed_batches, ingested).collect()]
         if missing:
             raise PipelineError(f"valid batches missing ingestion state: {missing}")

@@ -39,6 +39,13 @@ def read_split(spark: SparkSession, path: str, status: str, batch_dates: list[st
     return df.drop(ERRORS_COL) if status == "valid" else df
 
 
+def partition_values(spark: SparkSession, path: str, col: str) -> list[str]:
+    """Values of a partition column, from the directory listing (no file is opened)."""
+    from dimwright.sources.paths import list_names
+    prefix = f"{col}="
+    return sorted(n[len(prefix):] for n in list_names(spark, path) if n.startswith(prefix))
+
+
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
     fs, p = _fs_and_path(spark, path)
     out = fs.create(p, True)
