@@ -148,9 +148,11 @@ class Pipeline:
         if feed.enforce_schema and feed.schema is not None:
             reader = reader.schema(feed.schema)
         existing = [p for p in batch_paths if paths.path_exists(self.spark, p)]
-        if len(existing) < len(batch_paths) and feed.required:
-            missing = sorted(set(batch_paths) - set(existing))
+        missing = sorted(set(batch_paths) - set(existing))
+        if missing and feed.required:
             raise PipelineError(f"required input missing: {missing}")
+        if not existing:  # optional source without files: nothing to ingest
+            return {"pending": [], "skipped": missing}
         raw = reader.load(existing)
         batch = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), r"batch-(\d{4}-\d{2}-\d{2})", 1))
         stamped = raw.withColumns({"source_batch_date": batch, "processed_run_id": F.lit(run_id)})

@@ -165,3 +165,21 @@ def test_cli_runs_the_pipeline(spark, tmpdir_path):
     out = cli.main(["dimensions", "--contract", path, "--input", inp, "--root", f"{tmpdir_path}/out",
                     "--run-id", "cli-1"])
     assert out["dim_account"]["status"] == "success"
+
+
+def test_contract_version_change_replays_all_batches(spark, tmpdir_path):
+    inp = f"{tmpdir_path}/input"
+    os.makedirs(inp)
+    for y in (1995, 1996):
+        write_batch(spark, inp, y)
+    p = Pipeline(spark, contract_from_dict(META), inp, f"{tmpdir_path}/out")
+    p.run("v1", dt.datetime(2025, 1, 1))
+    meta2 = {**META, "dimension_defaults": {**META["dimension_defaults"], "contract_version": "2.0"}}
+    p2 = Pipeline(spark, contract_from_dict(meta2), inp, f"{tmpdir_path}/out")
+    out = p2.run_dimensions("v2", dt.datetime(2025, 1, 2))
+    assert out["dim_account"]["rebuild"] and out["dim_account"]["pending"] == ["1995-01-01", "1996-01-01"]
+    versions = {r["contract_version"] for r in p2.control("etl_scd_batches").collect()}
+    assert versions == {"2.0"}
+    # nothing pending any more for the new version
+    again = p2.run_dimensions("v3", dt.datetime(2025, 1, 3))
+    assert again["dim_account"]["status"] == "skipped"
