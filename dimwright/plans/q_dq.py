@@ -196,3 +196,37 @@ def q_run_row(spark, sf):
         "invalid_duplicate_rate", "error_breakdown", "dim_account_total_rows",
         "dim_account_current_rows", "dim_account_historical_rows", "dim_nation_total_rows",
         "dim_segment_total_rows", "fact_rows")
+
+
+@query("dq_error_breakdown_by_batch", f"""SELECT source_batch_date AS batch, field, code, count(*) AS error_count
+FROM ({errors_long_sql(FAULTED_SQL, "o_orderkey, source_batch_date", ORDER_RULES)}) __e
+GROUP BY source_batch_date, field, code""")
+def q_breakdown_batch(spark, sf):
+    """Error breakdown per batch (the per-batch section of the metrics row)."""
+    v = validate.violations(feeds.faulted_orders(spark, sf), ORDER_RULES, ["source_batch_date"])
+    return v.groupBy(F.col("source_batch_date").alias("batch"), "field", "code").agg(
+        F.count(F.lit(1)).alias("error_count"))
+
+
+@query("dq_feed_duplicate_rate_by_batch", f"""WITH c AS ({CLASSIFIED_SQL}),
+p AS (SELECT record_status, source_batch_date AS b, count(*) AS total_records,
+  count(DISTINCT o_custkey) + max(CASE WHEN o_custkey IS NULL THEN 1 ELSE 0 END) AS distinct_keys
+  FROM c GROUP BY record_status, source_batch_date),
+t AS (SELECT record_status, CAST(NULL AS DATE) AS b, count(*) AS total_records,
+  count(DISTINCT o_custkey) + max(CASE WHEN o_custkey IS NULL THEN 1 ELSE 0 END) AS distinct_keys
+  FROM c GROUP BY record_status)
+SELECT record_status, b AS batch, b IS NULL AS is_total, total_records, distinct_keys,
+  {_pct_sql('total_records - distinct_keys', 'total_records')} AS duplicate_rate
+FROM (SELECT * FROM p UNION ALL SELECT * FROM t) __u""")
+def q_feed_dup_batch(spark, sf):
+    """Duplicate rate of the valid and of the invalid set, per batch and over all batches.
+
+    The uniqueness key is the customer; a customer seen in several batches is a
+    duplicate in the all-batch row; a NULL key counts as one value.
+    """
+    c = classified(spark, sf)
+    parts = []
+    for st in ("valid", "invalid"):
+        d = dq.duplicate_rate_by_batch(c.where(F.col(STATUS_COL) == st), ["o_custkey"], "source_batch_date")
+        parts.append(d.select(F.lit(st).alias("record_status"), "*"))
+    return parts[0].unionByName(parts[1])
