@@ -66,8 +66,11 @@ def nested_breakdown(breakdown: DataFrame) -> DataFrame:
     """One row: map field -> map code -> count, both levels sorted by key."""
     inner = breakdown.groupBy("field").agg(F.map_from_entries(F.array_sort(
         F.collect_list(F.struct("code", "error_count")))).alias("codes"))
-    return inner.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "codes"))))
-                     .alias("error_breakdown"))
+    # entries hold a map (not orderable): sort them by field name explicitly
+    by_field = F.array_sort(F.collect_list(F.struct("field", "codes")),
+                            lambda a, b: F.when(a["field"] < b["field"], -1)
+                            .when(a["field"] > b["field"], 1).otherwise(0))
+    return inner.agg(F.map_from_entries(by_field).alias("error_breakdown"))
 
 
 def batch_counts(classified: DataFrame, batch_col: str, status_col: str) -> DataFrame:
@@ -124,11 +127,15 @@ def dimension_counts(dims: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def per_batch_text(counts: DataFrame, batch_col: str, value_col: str) -> Column:
-    """Aggregate expression 'date:n,date:n' in batch order (a JSON-able map as text)."""
-    _ = counts
-    return F.array_join(F.array_sort(F.collect_list(
-        F.concat(F.col(batch_col).cast("string"), F.lit(":"), F.col(value_col).cast("string")))), ",")
+def per_batch_json(batch_col: str, value_col: str) -> Column:
+    """Aggregate expression: JSON object {batch: value} with keys in batch order."""
+    return F.to_json(F.map_from_entries(F.array_sort(F.collect_list(
+        F.struct(F.col(batch_col).cast("string").alias("k"), F.col(value_col).alias("v"))))))
+
+
+def breakdown_json(breakdown: DataFrame) -> DataFrame:
+    """One row: the nested breakdown {field: {code: count}} as a JSON object, keys sorted."""
+    return nested_breakdown(breakdown).select(F.to_json("error_breakdown").alias("error_breakdown"))
 
 
 def combine_rows(frames: list[DataFrame]) -> DataFrame:

@@ -127,14 +127,15 @@ SELECT 'dq-run' AS run_id,
   {_pct_sql('v.ivn', 'v.vn + v.ivn')} AS invalid_rate,
   (SELECT CAST(sum(input_record_count) AS BIGINT) FROM i) - (v.vn + v.ivn) AS reconciliation_difference,
   (SELECT count(*) FROM i) AS batch_count,
-  (SELECT string_agg(CAST(source_batch_date AS VARCHAR) || ':' || CAST(vn AS VARCHAR), ','
-     ORDER BY source_batch_date) FROM pb) AS per_batch_valid,
-  (SELECT string_agg(CAST(source_batch_date AS VARCHAR) || ':' || CAST(ivn AS VARCHAR), ','
-     ORDER BY source_batch_date) FROM pb) AS per_batch_invalid,
+  (SELECT '{{' || string_agg('"' || CAST(source_batch_date AS VARCHAR) || '":' || CAST(vn AS VARCHAR), ','
+     ORDER BY source_batch_date) || '}}' FROM pb) AS per_batch_valid,
+  (SELECT '{{' || string_agg('"' || CAST(source_batch_date AS VARCHAR) || '":' || CAST(ivn AS VARCHAR), ','
+     ORDER BY source_batch_date) || '}}' FROM pb) AS per_batch_invalid,
   {_pct_sql('v.vn - (SELECT n FROM vd)', 'v.vn')} AS valid_duplicate_rate,
   {_pct_sql('v.ivn - (SELECT n FROM ivd)', 'v.ivn')} AS invalid_duplicate_rate,
-  (SELECT string_agg(field || '/' || code || '=' || CAST(n AS VARCHAR), ';' ORDER BY field || '/' || code || '=' || CAST(n AS VARCHAR))
-     FROM eb) AS error_breakdown,
+  (SELECT '{{' || string_agg('"' || field || '":' || inner_json, ',' ORDER BY field) || '}}'
+     FROM (SELECT field, '{{' || string_agg('"' || code || '":' || CAST(n AS VARCHAR), ',' ORDER BY code) || '}}'
+           AS inner_json FROM eb GROUP BY field) __f) AS error_breakdown,
   (SELECT total_rows FROM d WHERE dimension_name = 'dim_account') AS dim_account_total_rows,
   (SELECT current_rows FROM d WHERE dimension_name = 'dim_account') AS dim_account_current_rows,
   (SELECT historical_rows FROM d WHERE dimension_name = 'dim_account') AS dim_account_historical_rows,
@@ -162,8 +163,8 @@ def q_run_row(spark, sf):
     counts = per_batch.agg(
         F.coalesce(F.sum("vn"), F.lit(0)).cast("long").alias("valid_records"),
         F.coalesce(F.sum("ivn"), F.lit(0)).cast("long").alias("invalid_records"),
-        dq.per_batch_text(per_batch, "source_batch_date", "vn").alias("per_batch_valid"),
-        dq.per_batch_text(per_batch, "source_batch_date", "ivn").alias("per_batch_invalid"))
+        dq.per_batch_json("source_batch_date", "vn").alias("per_batch_valid"),
+        dq.per_batch_json("source_batch_date", "ivn").alias("per_batch_invalid"))
     inputs = (feeds.account_feed(spark, sf).groupBy("source_batch_date").agg(F.count(F.lit(1)).alias("n"))
               .agg(F.sum("n").cast("long").alias("input_records"), F.count(F.lit(1)).alias("batch_count")))
     # duplicate rates of both sets from one per-(status, key) pre-aggregate
@@ -172,11 +173,8 @@ def q_run_row(spark, sf):
         rounded_pct(F.sum(F.when(status == st, F.col("n"))) - F.count_if(status == st),
                     F.sum(F.when(status == st, F.col("n")))).alias(f"{st}_duplicate_rate")
         for st in ("valid", "invalid")])
-    eb = dq.breakdown_from_violations(
-        validate.violations(feeds.faulted_orders(spark, sf), ORDER_RULES, [])).agg(
-        F.array_join(F.array_sort(F.collect_list(F.concat(
-            "field", F.lit("/"), "code", F.lit("="), F.col("error_count").cast("string")))), ";")
-        .alias("error_breakdown"))
+    eb = dq.breakdown_json(dq.breakdown_from_violations(
+        validate.violations(feeds.faulted_orders(spark, sf), ORDER_RULES, [])))
     st_ = star(spark, sf)
     acc = st_["dim_account"].agg(F.count(F.lit(1)).alias("dim_account_total_rows"),
                                  F.count_if(F.col("is_current")).alias("dim_account_current_rows"),
