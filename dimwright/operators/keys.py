@@ -9,7 +9,9 @@ prefix-summed and broadcast back.  Every stage stays fully parallel.
 
 The checkpoint must come after the range exchange: the range partitioner seeds
 its bound sampling with the RDD id, so two evaluations of an un-materialised
-range exchange may cut different ranges.
+range exchange may cut different ranges.  The input is materialised before it
+as well, because the bound sampling is a job of its own that would otherwise
+run the whole upstream plan a second time.
 """
 
 from __future__ import annotations
@@ -31,9 +33,12 @@ def assign_surrogate_keys(df: DataFrame, nk: Sequence[str], key_col: str,
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     cols = [F.col(f"`{c}`") for c in nk]
+    # The range partitioner samples its input in a job of its own: materialise
+    # the input first so an expensive upstream plan (e.g. a replay) runs once.
+    fixed = df.checkpoint(eager=True)
     # without an explicit count AQE may coalesce small ranges; the checkpoint
     # fixes whatever layout results before it is counted and numbered
-    ranged = (df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols))
+    ranged = (fixed.repartitionByRange(partitions, *cols) if partitions else fixed.repartitionByRange(*cols))
     ranged = ranged.sortWithinPartitions(*cols).checkpoint(eager=True)
     tagged = ranged.select("*", F.spark_partition_id().alias("__pid"),
                            F.monotonically_increasing_id().alias("__mid"))
