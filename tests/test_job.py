@@ -183,3 +183,19 @@ def test_contract_version_change_replays_all_batches(spark, tmpdir_path):
     # nothing pending any more for the new version
     again = p2.run_dimensions("v3", dt.datetime(2025, 1, 3))
     assert again["dim_account"]["status"] == "skipped"
+
+
+def test_rerun_without_new_batches_changes_nothing(spark, tmpdir_path):
+    inp = f"{tmpdir_path}/input"
+    os.makedirs(inp)
+    write_batch(spark, inp, 1995)
+    p = Pipeline(spark, contract_from_dict(META), inp, f"{tmpdir_path}/out")
+    p.run("r1", dt.datetime(2025, 1, 1))
+    before = {n: table_rows(p.table(n)) for n in ("dim_account", "dim_nation", "dim_segment",
+                                                  "fact_account", "dim_date")}
+    snap = table_rows(p.dimension("dim_account"))
+    out = p.run("r2", dt.datetime(2025, 1, 2))
+    assert out["ingestion"]["pending"] == []
+    assert all(v["status"] == "skipped" for v in out["dimensions"].values())
+    assert table_rows(p.dimension("dim_account")) == snap
+    assert {n: table_rows(p.table(n)) for n in before} == before
