@@ -117,3 +117,15 @@ def missing_ingestion_state(valid_batches: DataFrame, ingested: DataFrame, col:
     """Valid-output batches that have no ingestion marker (must not be applied)."""
     return (valid_batches.select(col).distinct()
             .join(ingested.select(col).distinct(), col, "left_anti").orderBy(col))
+
+
+def latest_row(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The row with the greatest ``order`` tuple (e.g. the latest DQ run).
+
+    One aggregate -- ``max_by`` of the whole row over a struct of the order
+    columns -- instead of a global sort and a limit.
+    """
+    cols = df.columns
+    picked = df.agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in cols]),
+                             F.struct(*[F.col(f"`{c}`") for c in order])).alias("__r"))
+    return picked.where(F.col("__r").isNotNull()).select("__r.*")

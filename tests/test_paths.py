@@ -30,3 +30,13 @@ def test_snapshots_are_versioned(spark, tmpdir_path):
     assert v1 != v2 and sinks.read_snapshot(spark, root).count() == 2
     assert spark.read.parquet(v1).count() == 3  # the version a plan read is never overwritten
     assert sinks.snapshot_meta(spark, root)["path"] == v2
+
+
+def test_latest_row_without_sort(spark):
+    import datetime as dt
+    from dimwright.operators import state
+    runs = spark.createDataFrame([("r1", dt.datetime(2025, 1, 1), 0), ("r3", dt.datetime(2025, 3, 1), 1),
+                                  ("r2", dt.datetime(2025, 2, 1), 0)],
+                                 "run_id string, measured_at timestamp, difference long")
+    assert state.latest_row(runs, ["measured_at"]).first()["run_id"] == "r3"
+    assert state.latest_row(runs.limit(0), ["measured_at"]).count() == 0
