@@ -112,15 +112,22 @@ def invalid_structure(invalid: DataFrame, declared: Sequence[str], key: str) ->
 
 
 def dq_consistent(reconciliation: DataFrame) -> DataFrame:
-    """Reconciliation rows with a non-zero difference, and per-batch sums != totals."""
-    per = reconciliation.where(~F.col("is_total"))
-    tot = reconciliation.where(F.col("is_total"))
-    sums = per.agg(F.sum("input_records").alias("s_in"), F.sum("valid_records").alias("s_v"),
-                   F.sum("invalid_records").alias("s_iv"))
-    mism = tot.select(F.lit("per_batch_sum").alias("issue"), "batch",
-                      (F.col("input_records") - sums.select("s_in").scalar()).alias("delta")) \
-        .unionByName(tot.select(F.lit("per_batch_valid_sum").alias("issue"), "batch",
-                                (F.col("valid_records") - sums.select("s_v").scalar()).alias("delta")))
+    """Reconciliation rows with a non-zero difference, and per-batch sums != totals.
+
+    The totals and the per-batch sums come from one aggregate in the same plan
+    as the difference rows (identical exchanges are reused), rather than from
+    scalar subqueries that would each re-run the reconciliation.
+    """
+    tot, per = F.col("is_total"), ~F.col("is_total")
+    agg = reconciliation.agg(
+        (F.max(F.when(tot, F.col("input_records"))) - F.sum(F.when(per, F.col("input_records"))))
+        .alias("d_in"),
+        (F.max(F.when(tot, F.col("valid_records"))) - F.sum(F.when(per, F.col("valid_records"))))
+        .alias("d_valid"))
+    mism = agg.select(F.explode(F.array(
+        F.struct(F.lit("per_batch_sum").alias("issue"), F.col("d_in").alias("delta")),
+        F.struct(F.lit("per_batch_valid_sum").alias("issue"), F.col("d_valid").alias("delta")))).alias("m")) \
+        .select("m.issue", F.lit(None).cast("date").alias("batch"), "m.delta")
     diff = reconciliation.where(F.col("difference") != 0).select(
         F.lit("difference").alias("issue"), "batch", F.col("difference").alias("delta"))
     return diff.unionByName(mism.where(F.col("delta") != 0))
