@@ -156,3 +156,17 @@ def combine_rows(frames: list[DataFrame]) -> DataFrame:
     for a in aligned[1:]:
         out = out.unionByName(a)
     return out.agg(*[F.first(F.col(f"`{c}`"), ignorenulls=True).alias(c) for c in cols])
+
+
+def duplicate_rates_by_status(classified: DataFrame, keys: Sequence[str],
+                              status_col: str = "record_status") -> DataFrame:
+    """Duplicate rate of every status set (valid, invalid) from ONE pre-aggregate.
+
+    One row per status: total, distinct key tuples (NULL counts as a value), rate %.
+    """
+    per_key = classified.groupBy(status_col, *keys).agg(F.count(F.lit(1)).alias("__n"))
+    g = per_key.groupBy(status_col).agg(F.sum("__n").cast("long").alias("total_records"),
+                                        F.count(F.lit(1)).alias("distinct_keys"))
+    return g.select(status_col, "total_records", "distinct_keys",
+                    rounded_pct(F.col("total_records") - F.col("distinct_keys"),
+                                F.col("total_records")).alias("duplicate_rate"))

@@ -323,10 +323,9 @@ class Pipeline:
         inputs = self.control("etl_ingestion_batches").select(
             F.col("batch_date").alias("source_batch_date"), "input_record_count")
         rec = dq.reconciliation(inputs, feed, "source_batch_date").where("is_total").first()
-        valid = feed.where(F.col(STATUS_COL) == "valid")
-        invalid = feed.where(F.col(STATUS_COL) == "invalid")
-        vdup = dq.duplicate_rate(valid, keys_).first() if keys_ else None
-        idup = dq.duplicate_rate(invalid, keys_).first() if keys_ else None
+        rates = ({r[STATUS_COL]: r for r in dq.duplicate_rates_by_status(feed, keys_).collect()}
+                 if keys_ else {})  # at most one row per status
+        vdup, idup = rates.get("valid"), rates.get("invalid")
         dims = {d.name: self.dimension(d.name) for d in self.contract.dimensions
                 if self.dimension(d.name) is not None}
         dim_counts = {r["dimension_name"]: r.asDict() for r in dq.dimension_counts(dims).collect()} \

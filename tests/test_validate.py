@@ -120,3 +120,13 @@ def test_split_write_as_json_and_read_back(spark, tmpdir_path):
     # re-running one batch replaces only its partitions
     sinks.write_split(c.where("source_batch_date = '2024-01-02'"), f"{tmpdir_path}/out", fmt="json")
     assert spark.read.json(f"{tmpdir_path}/out").count() == 3
+
+
+def test_duplicate_rates_by_status_match_per_set(spark):
+    df = spark.createDataFrame([("1", "valid"), ("1", "valid"), (None, "valid"), ("2", "invalid"),
+                                ("2", "invalid"), ("2", "invalid"), (None, "invalid")],
+                               "k string, record_status string")
+    both = {r["record_status"]: r["duplicate_rate"] for r in dq.duplicate_rates_by_status(df, ["k"]).collect()}
+    for st in ("valid", "invalid"):
+        assert both[st] == dq.duplicate_rate(df.where(F.col("record_status") == st), ["k"]).first()["duplicate_rate"]
+    assert both == {"valid": 33.33, "invalid": 50.0}
