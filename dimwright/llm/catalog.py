@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from dimwright.llm.pii import op2_personal_data
+from dimwright.llm.secret_scan import op5_secret_scan
 from dimwright.llm.tokens import op6_token_counts
 
 QUERIES = {
+    "op2_personal_data": op2_personal_data,
+    "op5_secret_scan": op5_secret_scan,
     "op6_token_counts": op6_token_counts,
 }
 
