@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+from dimwright.llm import contamination
+from dimwright.llm.contamination import op4_decontamination
+from dimwright.llm.langid import op10_language_id
 from dimwright.llm.pii import op2_personal_data
 from dimwright.llm.secret_scan import op5_secret_scan
 from dimwright.llm.tokens import op6_token_counts
 
 QUERIES = {
     "op2_personal_data": op2_personal_data,
+    "op4_decontamination": op4_decontamination,
     "op5_secret_scan": op5_secret_scan,
     "op6_token_counts": op6_token_counts,
+    "op10_language_id": op10_language_id,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_decontamination": contamination.ORACLE,
+}
