@@ -5,18 +5,23 @@ from __future__ import annotations
 from dimwright.llm import contamination
 from dimwright.llm.contamination import op4_decontamination
 from dimwright.llm.langid import op10_language_id
+from dimwright.llm.licenses import op3_license_scan
+from dimwright.llm.minhash import op9_near_duplicates
 from dimwright.llm.pii import op2_personal_data
 from dimwright.llm.secret_scan import op5_secret_scan
 from dimwright.llm.tokens import op6_token_counts
 
 QUERIES = {
     "op2_personal_data": op2_personal_data,
+    "op3_license_scan": op3_license_scan,
     "op4_decontamination": op4_decontamination,
     "op5_secret_scan": op5_secret_scan,
     "op6_token_counts": op6_token_counts,
+    "op9_near_duplicates": op9_near_duplicates,
     "op10_language_id": op10_language_id,
 }
 
 ORACLES: dict[str, str] = {
+    "op3_license_scan": op3_license_scan,
     "op4_decontamination": contamination.ORACLE,
 }
