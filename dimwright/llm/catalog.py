@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from dimwright.llm import contamination
+from dimwright.llm import contamination, embeddings
 from dimwright.llm.contamination import op4_decontamination
+from dimwright.llm.embeddings import op1_embedding_links
+from dimwright.llm.html_text import op7_html_main_text
 from dimwright.llm.langid import op10_language_id
 from dimwright.llm.licenses import op3_license_scan
 from dimwright.llm.minhash import op9_near_duplicates
@@ -12,16 +14,19 @@ from dimwright.llm.secret_scan import op5_secret_scan
 from dimwright.llm.tokens import op6_token_counts
 
 QUERIES = {
+    "op1_embedding_links": op1_embedding_links,
     "op2_personal_data": op2_personal_data,
     "op3_license_scan": op3_license_scan,
     "op4_decontamination": op4_decontamination,
     "op5_secret_scan": op5_secret_scan,
     "op6_token_counts": op6_token_counts,
+    "op7_html_main_text": op7_html_main_text,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_language_id": op10_language_id,
 }
 
 ORACLES: dict[str, str] = {
     "op3_license_scan": op3_license_scan,
+    "op1_embedding_links": embeddings.ORACLE,
     "op4_decontamination": contamination.ORACLE,
 }
