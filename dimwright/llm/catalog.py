@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from dimwright.llm import contamination, embeddings
+from dimwright.llm import contamination, embeddings, mixing
 from dimwright.llm.contamination import op4_decontamination
 from dimwright.llm.embeddings import op1_embedding_links
 from dimwright.llm.html_text import op7_html_main_text
 from dimwright.llm.langid import op10_language_id
 from dimwright.llm.licenses import op3_license_scan
 from dimwright.llm.minhash import op9_near_duplicates
+from dimwright.llm.mixing import op8_source_mix
 from dimwright.llm.pii import op2_personal_data
 from dimwright.llm.secret_scan import op5_secret_scan
 from dimwright.llm.tokens import op6_token_counts
@@ -21,6 +22,7 @@ QUERIES = {
     "op5_secret_scan": op5_secret_scan,
     "op6_token_counts": op6_token_counts,
     "op7_html_main_text": op7_html_main_text,
+    "op8_source_mix": op8_source_mix,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_language_id": op10_language_id,
 }
@@ -29,4 +31,5 @@ ORACLES: dict[str, str] = {
     "op3_license_scan": op3_license_scan,
     "op1_embedding_links": embeddings.ORACLE,
     "op4_decontamination": contamination.ORACLE,
+    "op8_source_mix": mixing.ORACLE,
 }

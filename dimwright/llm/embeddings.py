@@ -257,10 +257,10 @@ def op1_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE = """
-WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
     WHERE embedding IS NOT NULL AND len(embedding) > 0),
-ok AS (SELECT vec_id, e FROM v WHERE len(list_filter(e, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
-    AND len(list_filter(e, x -> x <> 0)) > 0),
+ok AS (SELECT vec_id, e FROM v WHERE len([x FOR x IN e IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
+    AND len([x FOR x IN e IF x <> 0]) > 0),
 link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b
     ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
 reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b),
