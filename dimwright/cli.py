@@ -13,14 +13,19 @@ import argparse
 import datetime as dt
 import json
 
+from pyspark.sql import SparkSession
+
 from dimwright.contract import contract_from_dict
 from dimwright.plans.job import Pipeline
 from dimwright.session import build_session
 
 
-def load_contract(path: str):
-    with open(path, encoding="utf-8") as fh:
-        return contract_from_dict(json.load(fh))
+def load_contract(spark: SparkSession, path: str):
+    """Read through Spark: the contract may lie on any filesystem the cluster knows."""
+    text = spark.read.text(path, wholetext=True).first()
+    if text is None:
+        raise ValueError(f"empty contract: {path}")
+    return contract_from_dict(json.loads(text["value"]))
 
 
 def main(argv: list[str] | None = None) -> dict:
@@ -35,7 +40,7 @@ def main(argv: list[str] | None = None) -> dict:
     spark = build_session(a.master, app="dimwright")
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     run_id = a.run_id or now.strftime("run-%Y%m%dT%H%M%S")
-    p = Pipeline(spark, load_contract(a.contract), a.input, a.root)
+    p = Pipeline(spark, load_contract(spark, a.contract), a.input, a.root)
     stage = {"run": lambda: p.run(run_id, now),
              "ingest": lambda: p.run_ingestion(run_id, now),
              "dimensions": lambda: p.run_dimensions(run_id, now),

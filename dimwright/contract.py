@@ -70,10 +70,10 @@ class FeedSpec:
 
 @dataclass(frozen=True)
 class DedupSpec:
-    """Keep one row per key: the greatest by ``order`` (pairs column, descending)."""
+    """Keep one row per key (default: the business key): the greatest by ``order`` (pairs column, descending)."""
 
     enabled: bool = True
-    keys: tuple[str, ...] = ("policy_number",)
+    keys: tuple[str, ...] = ()
     order: tuple[tuple[str, bool], ...] = (("ingestion_dt", True), ("processed_run_id", True))
 
 
@@ -94,10 +94,18 @@ class DimensionSpec:
     open_end_date: str = DEFAULT_OPEN_END_DATE
     contract_version: str = "1.0"
     target_table: str | None = None
+    # warehouse types of columns, applied when the dimension is loaded
+    load_types: tuple[tuple[str, str], ...] = ()
     # True when every tracked field is guaranteed non-null (e.g. a notNull rule):
     # the cheap window replay is then exact; otherwise the fold replay is used.
     tracked_never_null: bool = False
 
+    @property
+    def dedup_keys(self) -> tuple[str, ...]:
+        """Source columns of the deduplication key."""
+        back = {new: old for old, new in self.field_renames}
+        return tuple(self.dedup.keys) or (back.get(self.business_key, self.business_key),)
+
     @property
     def is_scd2(self) -> bool:
         return bool(self.scd2_fields)
@@ -213,7 +221,7 @@ def contract_from_dict(meta: Mapping[str, Any]) -> Contract:
         options=dict(src.get("options", {})),
         validations=parse_rules(ing.get("validations", [])),
         uniqueness_keys=tuple(meta.get("dq", {}).get("uniqueness", {}).get(
-            "key_columns", ["policy_number"])),
+            "key_columns", [])),
     )
     not_null = feed.not_null_fields()
     defaults = dict(meta.get("dimension_defaults", {}))
@@ -239,13 +247,14 @@ def contract_from_dict(meta: Mapping[str, Any]) -> Contract:
             derived_fields=tuple((d["name"], d["expression"]) for d in cfg.get("derived_fields", [])),
             dedup=DedupSpec(
                 enabled=bool(dd.get("enabled", False)),
-                keys=(dd.get("key_column", "policy_number"),),
+                keys=(dd["key_column"],) if dd.get("key_column") else (),
                 order=(("ingestion_dt", True), ("processed_run_id", True)),
             ),
             batch_column=cfg.get("batch_order_column", "source_batch_date"),
             open_end_date=sentinel,
             contract_version=str(cfg.get("contract_version", "1.0")),
             target_table=cfg.get("target_table"),
+            load_types=tuple(cfg.get("load_types", {}).items()),
             tracked_never_null=all(back.get(f, f) in not_null for f in scd2),
         ))
     facts = []
@@ -278,11 +287,16 @@ def validate_contract(c: Contract) -> None:
                     raise ContractError(
                         f"unsupported validation rule for field {fr.field!r}: {r.name!r}; "
                         f"supported: {sorted(RULES)}")
-            # a rule on an absent field is allowed: it yields 'fieldMissing' at run time
-            _ = names
+            # a rule on a field that a record lacks yields 'fieldMissing' at run time, but the
+            # declared schema has to know the field
+            if c.feed.enforce_schema and fr.field not in names:
+                raise ContractError(f"rules name the field {fr.field!r}, which the schema does not declare")
     for d in c.dimensions:
         if not d.business_key:
             raise ContractError(f"{d.name}: business_key is required")
+        lost = [k for k in d.nk_columns if k not in d.columns()]
+        if lost:
+            raise ContractError(f"{d.name}: natural key columns {lost} are no columns of the dimension")
     dims = {d.name: d for d in c.dimensions}
     for f in c.facts:
         if f.base not in dims:

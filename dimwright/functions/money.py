@@ -24,8 +24,9 @@ def int_div(a: Column, b: Column) -> Column:
 
 
 def half_up_div(num: Column, den: Column) -> Column:
-    """round(num / den) HALF_UP for num >= 0 and den > 0, exact."""
-    return int_div(num.cast("long") * 2 + den.cast("long"), den.cast("long") * 2)
+    """round(num / den) HALF_UP (halves away from zero) for den > 0, exact."""
+    n, d = num.cast("long"), den.cast("long")
+    return F.signum(n).cast("long") * int_div(F.abs(n) * 2 + d, d * 2)
 
 
 def rounded_pct(part: Column, total: Column) -> Column:
@@ -35,5 +36,5 @@ def rounded_pct(part: Column, total: Column) -> Column:
 
 
 def avg_amount(sum_cents: Column, n: Column) -> Column:
-    """Average amount rounded HALF_UP to cents (non-negative sums)."""
+    """Average amount rounded HALF_UP to cents (halves away from zero)."""
     return F.when(n > 0, cents_to_amount(half_up_div(sum_cents, n)))

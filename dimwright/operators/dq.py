@@ -40,11 +40,11 @@ def duplicate_rate_by_batch(df: DataFrame, keys: Sequence[str], batch_col: str)
                .agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("total_records"),
                     F.count(F.lit(1)).alias("distinct_keys"))
                .select(F.lit(None).cast(df.schema[batch_col].dataType).alias(batch_col),
-                       "total_records", "distinct_keys"))
-    both = per_batch.select(batch_col, "total_records", "distinct_keys").unionByName(overall)
+                       F.lit(True).alias("is_total"), "total_records", "distinct_keys"))
+    both = per_batch.select(batch_col, F.lit(False).alias("is_total"), "total_records", "distinct_keys").unionByName(overall)
     return both.select(
         F.col(batch_col).alias("batch"),
-        F.col(batch_col).isNull().alias("is_total"),
+        "is_total",
         "total_records", "distinct_keys",
         rounded_pct(F.col("total_records") - F.col("distinct_keys"), F.col("total_records"))
         .alias("duplicate_rate"))

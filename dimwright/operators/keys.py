@@ -62,6 +62,7 @@ def merge_upsert(target: DataFrame, staging: DataFrame, nk: Sequence[str], key_c
                  audit: dict[str, Column] | None = None) -> DataFrame:
     """INSERT ... ON CONFLICT (nk) DO UPDATE.
 
+    NULL key parts match each other, so a repeated load adds no second row.
     Matched rows take the staging values and keep the target's surrogate key;
     new rows get ``max(key) + dense offset``; untouched target rows pass through.
     ``audit`` columns (e.g. ``updated_at``) are stamped on inserted/updated rows.
@@ -77,7 +78,9 @@ def merge_upsert(target: DataFrame, staging: DataFrame, nk: Sequence[str], key_c
                        F.lit(True).alias("s__present"))
     # a small staging set (the usual incremental load) is broadcast after a
     # size check, so the large target is not shuffled
-    kept = target.join(sized_broadcast(s), nk, "left_outer")
+    same = [F.col(f"t.`{c}`").eqNullSafe(F.col(f"s.`{c}`")) for c in nk]
+    kept = target.alias("t").join(sized_broadcast(s).alias("s"), same, "left_outer").select("t.*", *[
+        F.col(f"s.`{c}`") for c in s.columns if c not in nk])
     present = F.col("s__present").isNotNull()
 
     def pick(c: str) -> Column:
@@ -88,7 +91,7 @@ def merge_upsert(target: DataFrame, staging: DataFrame, nk: Sequence[str], key_c
         return F.col(f"`{c}`")
 
     updated = kept.select(*[pick(c).alias(c) for c in out_cols])
-    new_rows = staging.join(target.select(*nk), nk, "left_anti")
+    new_rows = _missing(staging, target, nk)
     staged_new = new_rows.select(*[
         (audit[c] if c in audit else F.col(f"`{c}`") if c in staging.columns
          else F.lit(None).cast(target.schema[c].dataType)).alias(c)
@@ -97,7 +100,13 @@ def merge_upsert(target: DataFrame, staging: DataFrame, nk: Sequence[str], key_c
     return updated.unionByName(inserted.select(*out_cols))
 
 
+def _missing(staging: DataFrame, target: DataFrame, nk: Sequence[str]) -> DataFrame:
+    """Staging rows whose key the target lacks; NULL key parts match each other."""
+    keys = target.select(*[F.col(f"`{c}`") for c in nk])
+    return staging.alias("s").join(keys.alias("t"), [F.col(f"s.`{c}`").eqNullSafe(F.col(f"t.`{c}`")) for c in nk], "left_anti")
+
+
 def merge_append_missing(target: DataFrame, staging: DataFrame, nk: Sequence[str]) -> DataFrame:
     """INSERT ... ON CONFLICT DO NOTHING: append staging rows whose key is absent."""
-    missing = staging.join(target.select(*nk), list(nk), "left_anti")
+    missing = _missing(staging, target, nk)
     return target.unionByName(missing.select(*target.columns))

@@ -9,11 +9,24 @@ DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def planned_size_bytes(df: DataFrame) -> int | None:
-    """Optimizer's size estimate of ``df`` (file sizes for scans), no action."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001 - estimate unavailable (e.g. Spark Connect)
+    """Optimizer's size estimate of ``df`` (file sizes for scans), no action.
+
+    Estimates multiply at joins, so size a side from a table that was read or
+    materialised, not from a long plan.  None where there is no local plan to ask
+    (a remote session).
+    """
+    if not hasattr(df, "_jdf"):
         return None
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def counted_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """Broadcast a materialised ``df`` (a table or a checkpoint) if it has at most ``max_rows`` rows.
+
+    For sides whose estimate says nothing (checkpoints after joins): counting
+    stops as soon as the limit is passed.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
 def sized_broadcast(df: DataFrame, limit_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:

@@ -58,7 +58,7 @@ def _c(name: str) -> Column:
 def prepare(rows: DataFrame, spec: DimensionSpec, per_batch: bool = True) -> DataFrame:
     """Dedup (per batch), rename source fields, add derived fields."""
     if spec.dedup.enabled:
-        keys = list(spec.dedup.keys)
+        keys = list(spec.dedup_keys)
         if per_batch and spec.batch_column not in keys:
             keys.append(spec.batch_column)
         rows = dedup_latest(rows, keys, spec.dedup.order)
@@ -188,22 +188,25 @@ def replay(rows: DataFrame, spec: DimensionSpec, run_id: RunId, method: str = "a
 def _replay_window(rows: DataFrame, spec: DimensionSpec, seed: DataFrame | None = None) -> DataFrame:
     """Window formulation; exact when tracked fields are never NULL.
 
-    With ``seed`` (open versions of the touched keys), each seed row is simply
-    the first row of its version group: its start, lineage and run are kept,
-    type-1 values continue from it, and a tracked change closes it.
+    With ``seed`` (open versions of the touched keys), each seed row is the
+    first row of its entity by a flag of its own (a type-1 or insert-only state
+    has no start date to order by): its start, lineage and run are kept, type-1
+    values continue from it, and a tracked change closes it.  Rows of one key
+    and batch (deduplication off) follow each other by a hash of their values.
     """
     bk = spec.business_key
     cols = _internal_columns(spec)
     types = dimension_types(spec)
-    stamped = _stamped_with_run(rows, spec)
+    stamped = _stamped_with_run(rows, spec).withColumns({"__nb": _entity(spec)[1], "__new": F.lit(True)})
     if seed is not None:
         st = {f.name: f.dataType for f in stamped.schema.fields}
         stamped = stamped.unionByName(align(seed, cols, types).select(
-            *[_c(c).cast(st[c]).alias(c) for c in cols]))
-    rows = stamped.withColumn("__nb", _entity(spec)[1])
+            *[_c(c).cast(st[c]).alias(c) for c in cols],
+            F.lit(None).cast(st["__nb"]).alias("__nb"), F.lit(False).alias("__new")))
+    rows = stamped.withColumn("__at", F.struct("__new", "start_date", F.xxhash64(*[_c(c) for c in cols])))
     ent = [_c(bk), _c("__nb")]
-    w = Window.partitionBy(*ent).orderBy(_c("start_date"))
-    chg = F.lag("start_date").over(w).isNull()
+    w = Window.partitionBy(*ent).orderBy("__at")
+    chg = F.row_number().over(w) == 1
     for f in spec.scd2_fields:
         chg = chg | (_c(f).isNotNull() & ~_c(f).eqNullSafe(F.lag(_c(f)).over(w)))
     rows = rows.withColumn("__chg", chg.cast("int"))
@@ -211,14 +214,14 @@ def _replay_window(rows: DataFrame, spec: DimensionSpec, seed: DataFrame | None
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     scd1 = [f for f in spec.scd1_fields if f in cols]
     opening = [c for c in cols if c not in scd1 and c != bk]
-    aggs = [F.min_by(F.struct(*[_c(c) for c in opening]), _c("start_date")).alias("__o"),
-            F.max_by(_c("last_updated_run_id"), _c("start_date")).alias("__last_run")]
-    aggs += [F.max_by(_c(s), F.when(_c(s).isNotNull(), _c("start_date"))).alias(s) for s in scd1]
+    aggs = [F.min_by(F.struct(*[_c(c) for c in opening]), _c("__at")).alias("__o"),
+            F.max_by(_c("last_updated_run_id"), _c("__at")).alias("__last_run")]
+    aggs += [F.max_by(_c(s), F.when(_c(s).isNotNull(), _c("__at"))).alias(s) for s in scd1]
     g = rows.groupBy(*ent, _c("__ver")).agg(*aggs)
-    g = g.select(_c(bk), _c("__nb"), *[F.col(f"__o.`{c}`").alias(c) for c in opening],
+    g = g.select(_c(bk), _c("__nb"), _c("__ver"), *[F.col(f"__o.`{c}`").alias(c) for c in opening],
                  *[_c(s) for s in scd1], _c("__last_run"))
-    w2 = Window.partitionBy(*ent).orderBy(_c("start_date"))
-    nxt = F.lead("start_date").over(w2)
+    w2 = Window.partitionBy(*ent).orderBy("__ver")
+    nxt = F.lead("start_date").over(w2)  # a later version always has a start: only seeds may lack one
     nxt_run = F.lead("last_updated_run_id").over(w2)
     own_run = _c("__last_run") if scd1 else _c("last_updated_run_id")
     g = g.withColumns({

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from dimwright.contract import DimensionSpec, FactSpec
 from dimwright.functions.dates import date_id, day_of_week_sun0, quarter_end
 from dimwright.operators.keys import assign_surrogate_keys
-from dimwright.operators.plan_utils import sized_broadcast
+from dimwright.operators.plan_utils import counted_broadcast
 
 CALENDAR_COLUMNS = ["date_id", "date", "year", "quarter", "month", "month_name", "day",
                     "day_of_week", "day_name", "week_of_year", "is_weekend", "is_month_start",
@@ -64,7 +64,9 @@ def fact_rows(base: DataFrame, base_spec: DimensionSpec, fact: FactSpec,
 
     FK resolution is an inner join per dimension (rows without a match are
     dropped, as a warehouse FK would reject them; ``checks.fk_orphans`` lists
-    them).  Dimensions are broadcast only when their planned size is small.
+    them).  Dimensions are stored or checkpointed tables; those with few rows are
+    counted and broadcast, so the fact is not shuffled on a handful of keys.
+    ``batch_dates`` has one row per batch.
     """
     base_key = surrogate_key_name(base_spec.name)
     rows = base
@@ -76,7 +78,7 @@ def fact_rows(base: DataFrame, base_spec: DimensionSpec, fact: FactSpec,
     for fk, dim_name, src, bk in fact.foreign_keys:
         d = dims[dim_name]
         key = surrogate_key_name(dim_name)
-        side = sized_broadcast(d.select(F.col(bk).alias(f"__nk_{fk}"), F.col(key).alias(fk)))
+        side = counted_broadcast(d.select(F.col(bk).alias(f"__nk_{fk}"), F.col(key).alias(fk)))
         rows = rows.join(side, F.col(src) == F.col(f"__nk_{fk}"), "inner")
         out.append(F.col(fk))
     out.append(date_id(F.col(fact.date_source).cast("date")).alias("date_id"))

@@ -3,10 +3,13 @@
 Storage layout under one root (any Hadoop filesystem):
 
     <root>/feed/            classified records, parquet, partitioned by
-                            source_batch_date / record_status (valid | invalid)
+                            source_batch_date; record_status is valid | invalid
     <root>/dims/<name>/     versioned dimension snapshots (_CURRENT pointer)
     <root>/warehouse/<t>/   versioned warehouse tables (dims with surrogate
-                            keys, dim_date, facts)
+                            keys, dim_date, facts); dimensions carry updated_at,
+                            facts loaded_at
+    <root>/violations/<t>/  what the last load of a table found: duplicate
+                            natural keys, orphans, NULL measures
     <root>/control/<t>/     versioned control tables: etl_runs,
                             etl_ingestion_batches, etl_scd_batches, dq_run_metrics
 
@@ -30,15 +33,17 @@ replays every batch.
 from __future__ import annotations
 
 import datetime as _dt
+import json
+import time
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimwright.contract import Contract, DimensionSpec
-from dimwright.operators import checks, dq, keys, scd, state, validate, warehouse
+from dimwright.operators import checks, dq, keys, scd, shape, state, validate, warehouse
 from dimwright.operators.validate import STATUS_COL
 from dimwright.session import ensure_checkpoint_dir
 from dimwright.sources import jsonl, paths, sinks
@@ -63,10 +68,19 @@ DQ_SCHEMA = T.StructType([
     T.StructField("input_records", T.LongType()), T.StructField("valid_records", T.LongType()),
     T.StructField("invalid_records", T.LongType()), T.StructField("total_records", T.LongType()),
     T.StructField("reconciliation_difference", T.LongType()),
+    T.StructField("valid_rate", T.DoubleType()), T.StructField("invalid_rate", T.DoubleType()),
+    T.StructField("batch_count", T.LongType()),
+    T.StructField("per_batch_valid", T.StringType()), T.StructField("per_batch_invalid", T.StringType()),
+    T.StructField("invalid_error_breakdown", T.StringType()),
     T.StructField("valid_duplicate_rate", T.DoubleType()), T.StructField("invalid_duplicate_rate", T.DoubleType()),
     T.StructField("dimension_counts", T.StringType()), T.StructField("fact_rows", T.StringType())])
 
 
+def _percent(part: int | None, total: int) -> float:
+    """HALF_UP to two decimals; 0 without records."""
+    return ((part or 0) * 20000 + total) // (2 * total) / 100.0 if total else 0.0
+
+
 class PipelineError(RuntimeError):
     pass
 
@@ -105,26 +119,30 @@ class Pipeline:
         return self._read("warehouse", name)
 
     # ------------------------------------------------------------ run bookkeeping
-    def _run_row(self, run_id: str, status: str, ts, error: str | None = None) -> None:
+    def _run_row(self, run_id: str, status: str, started, completed=None, error: str | None = None) -> None:
         runs = self.control("etl_runs")
-        row = self.spark.createDataFrame([(run_id, ts, ts if status != "running" else None, status,
-                                           (error or "")[:4000] or None)], RUNS_SCHEMA)
+        row = self.spark.createDataFrame([(run_id, started, completed, status, (error or "")[:4000] or None)], RUNS_SCHEMA)
         self._publish("control", "etl_runs",
                       state.upsert_by_key(runs, row, ["run_id"], keep_first=["started_at"]))
 
     def run(self, run_id: str, now: _dt.datetime | None = None) -> dict:
         now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         ensure_checkpoint_dir(self.spark)
+        begun = time.monotonic()
         self._run_row(run_id, "running", now)
+
+        def end() -> _dt.datetime:
+            return now + _dt.timedelta(seconds=time.monotonic() - begun)
+
         try:
             out = {"ingestion": self.run_ingestion(run_id, now)}
             out["dimensions"] = self.run_dimensions(run_id, now)
             out["warehouse"] = self.run_warehouse(run_id, now)
             out["dq"] = self.run_dq(run_id, now)
         except Exception as e:
-            self._run_row(run_id, "failed", now, f"{type(e).__name__}: {e}")
+            self._run_row(run_id, "failed", now, end(), f"{type(e).__name__}: {e}")
             raise
-        self._run_row(run_id, "success", now)
+        self._run_row(run_id, "success", now, end())
         return out
 
     # ------------------------------------------------------------ A: ingestion
@@ -151,25 +169,24 @@ class Pipeline:
         missing = sorted(set(batch_paths) - set(existing))
         if missing and feed.required:
             raise PipelineError(f"required input missing: {missing}")
-        if not existing:  # optional source without files: nothing to ingest
-            return {"pending": [], "skipped": missing}
-        raw = reader.load(existing)
-        batch = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), r"batch-(\d{4}-\d{2}-\d{2})", 1))
-        stamped = raw.withColumns({"source_batch_date": batch, "processed_run_id": F.lit(run_id)})
-        classified = validate.classify(stamped, feed.validations) \
-            .withColumn("ingestion_dt", F.lit(now).cast("timestamp"))
-        sinks.write_split(classified, self._path("feed"))
+        read: dict[str, int] = {}
+        if existing:  # a batch of an optional source without files is marked with 0 records
+            raw = reader.load(existing)
+            batch = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), r"batch-(\d{4}-\d{2}-\d{2})", 1))
+            stamped = raw.withColumns({"source_batch_date": batch, "processed_run_id": F.lit(run_id)})
+            # records as the source delivers them, counted while they pass by
+            counter = Observation("source records")
+            stamped = stamped.observe(counter, *[F.count_if(F.col("source_batch_date") == F.lit(d).cast("date")).alias(d)
+                                                 for d in pending])
+            classified = validate.classify(stamped, feed.validations) \
+                .withColumn("ingestion_dt", F.lit(now).cast("timestamp"))
+            sinks.write_split(classified, self._path("feed"), batches=pending)
+            read = dict(counter.get)
         self.fault("after_feed_write")
-        written = (self.spark.read.parquet(self._path("feed"))
-                   .where(F.col("source_batch_date").isin([F.lit(d).cast("date") for d in pending]))
-                   .groupBy("source_batch_date").agg(F.count(F.lit(1)).alias("input_record_count")))
-        marks = (self.spark.createDataFrame([(d,) for d in pending], "d string")
-                 .select(F.col("d").cast("date").alias("batch_date"))
-                 .join(written.withColumnRenamed("source_batch_date", "batch_date"), "batch_date", "left")
-                 .select("batch_date", F.lit(run_id).alias("run_id"),
+        marks = (self.spark.createDataFrame([(d, int(read.get(d) or 0)) for d in pending], "d string, n long")
+                 .select(F.col("d").cast("date").alias("batch_date"), F.lit(run_id).alias("run_id"),
                          F.lit(now).cast("timestamp").alias("first_processed_at"),
-                         F.lit(now).cast("timestamp").alias("processed_at"),
-                         F.coalesce("input_record_count", F.lit(0)).cast("long").alias("input_record_count")))
+                         F.lit(now).cast("timestamp").alias("processed_at"), F.col("n").alias("input_record_count")))
         self._publish("control", "etl_ingestion_batches",
                       state.upsert_by_key(self.control("etl_ingestion_batches"), marks, ["batch_date"],
                                           keep_first=["first_processed_at"]))
@@ -231,6 +248,8 @@ class Pipeline:
         if not pending:
             return {"status": "skipped", "pending": []}
         current = None if rebuild else self.dimension(spec.name)
+        if applied and current is None and not rebuild:
+            raise PipelineError(f"{spec.name}: batches up to {max(applied)} are marked applied, but there is no snapshot")
         rows = scd.prepare(self.valid_rows(pending), spec)
         if current is None:
             new_state = scd.replay(rows, spec, run_id)
@@ -252,7 +271,7 @@ class Pipeline:
         return {"status": "success", "pending": pending, "rebuild": rebuild}
 
     # ------------------------------------------------------------ C: warehouse
-    def _load_dimension(self, spec: DimensionSpec, run_id: str) -> list[str]:
+    def _load_dimension(self, spec: DimensionSpec, run_id: str, now: _dt.datetime) -> list[str]:
         ctl = self.control("etl_scd_batches")
         pend = state.pending_star(ctl, spec.name)
         pending = [r["batch_date"].isoformat() for r in pend.collect()]
@@ -261,17 +280,22 @@ class Pipeline:
         snap = self.dimension(spec.name)
         runs = state.pending_run_ids(ctl, spec.name, pend)
         staging = state.rows_of_runs(snap, runs)
-        dups = checks.natural_key_dups(staging, list(spec.nk_columns)).limit(1).collect()
-        if dups:
-            raise PipelineError(f"{spec.name}: duplicate natural key {dups[0].asDict()}")
+        dups = checks.natural_key_dups(staging, list(spec.nk_columns))
+        n_dups = dups.count()
+        if n_dups:
+            self._publish("violations", spec.name, dups)
+            raise PipelineError(f"{spec.name}: duplicate natural key: {n_dups} of them, listed in violations/{spec.name}; "
+                                f"the first is {dups.first().asDict()}")
         key = warehouse.surrogate_key_name(spec.name)
         target = self.table(spec.table)
+        stamp = F.lit(now).cast("timestamp")
+        staging = shape.cast_to(staging, dict(spec.load_types)).withColumn("updated_at", stamp)
         if target is None:
             loaded = warehouse.warehouse_dimension(staging, spec)
         else:
             # a rebuild may have removed versions: keep only natural keys still present
             target = target.join(snap.select(*spec.nk_columns), list(spec.nk_columns), "left_semi")
-            loaded = keys.merge_upsert(target, staging, list(spec.nk_columns), key)
+            loaded = keys.merge_upsert(target, staging, list(spec.nk_columns), key, audit={"updated_at": stamp})
         self._publish("warehouse", spec.table, loaded)
         return pending
 
@@ -279,7 +303,7 @@ class Pipeline:
         base_names = {f.base for f in self.contract.facts}
         loaded: dict[str, list[str]] = {}
         for spec in self.contract.dimensions:
-            loaded[spec.name] = self._load_dimension(spec, run_id)
+            loaded[spec.name] = self._load_dimension(spec, run_id, now)
             if spec.name not in base_names and loaded[spec.name]:
                 self._mark_loaded(spec.name, loaded[spec.name], now)
         # calendar covering every ingested batch
@@ -298,7 +322,8 @@ class Pipeline:
             base = self.table(base_spec.table)
             batch_df = self.spark.createDataFrame([(b,) for b in pending], "d string").select(
                 F.col("d").cast("date").alias(fact.date_source))
-            rows = warehouse.fact_rows(base, base_spec, fact, dims, batch_df)
+            rows = warehouse.fact_rows(base, base_spec, fact, dims, batch_df).withColumn("loaded_at", F.lit(now).cast("timestamp"))
+            self._publish("violations", fact.name, self._fact_violations(fact, base_spec, base, dims, run_id))
             old = self.table(fact.name)
             key = warehouse.surrogate_key_name(base_spec.name)
             if old is None:
@@ -310,6 +335,19 @@ class Pipeline:
             self._mark_loaded(fact.base, pending, now)
         return {k: v for k, v in loaded.items()}
 
+    def _fact_violations(self, fact, base_spec: DimensionSpec, base: DataFrame, dims: dict, run_id: str) -> DataFrame:
+        """What the fact load leaves out or cannot trust: orphaned foreign keys and NULL measures, counted per check."""
+        key = warehouse.surrogate_key_name(base_spec.name)
+        parts = [checks.fk_orphans(base, dims[d], src, bk, [key]).agg(F.count(F.lit(1)).alias("violations"))
+                 .select(F.lit("orphan").alias("check"), F.lit(fk).alias("column_name"), "violations")
+                 for fk, d, src, bk in fact.foreign_keys]
+        parts.append(checks.not_null(base, [src for _, src in fact.measures]).select(
+            F.lit("null_measure").alias("check"), "column_name", F.col("null_count").alias("violations")))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out.withColumn("run_id", F.lit(run_id))
+
     def _mark_loaded(self, dim: str, batches: list[str], now) -> None:
         ctl = self.control("etl_scd_batches")
         b = self.spark.createDataFrame([(x,) for x in batches], "batch_date string")
@@ -322,7 +360,10 @@ class Pipeline:
         keys_ = list(self.contract.feed.uniqueness_keys)
         inputs = self.control("etl_ingestion_batches").select(
             F.col("batch_date").alias("source_batch_date"), "input_record_count")
-        rec = dq.reconciliation(inputs, feed, "source_batch_date").where("is_total").first()
+        recs = dq.reconciliation(inputs, feed, "source_batch_date").collect()  # a row per batch and a total
+        rec = next(r for r in recs if r["is_total"])
+        batches = sorted((r for r in recs if not r["is_total"]), key=lambda r: str(r["batch"]))
+        broken = dq.breakdown_json(dq.error_breakdown(feed.where(F.col(STATUS_COL) == "invalid"))).first()
         rates = ({r[STATUS_COL]: r for r in dq.duplicate_rates_by_status(feed, keys_).collect()}
                  if keys_ else {})  # at most one row per status
         vdup, idup = rates.get("valid"), rates.get("invalid")
@@ -338,6 +379,11 @@ class Pipeline:
             "input_records": rec["input_records"], "valid_records": rec["valid_records"],
             "invalid_records": rec["invalid_records"], "total_records": total,
             "reconciliation_difference": rec["difference"],
+            "valid_rate": _percent(rec["valid_records"], total), "invalid_rate": _percent(rec["invalid_records"], total),
+            "batch_count": len(batches),
+            "per_batch_valid": {str(r["batch"]): r["valid_records"] for r in batches},
+            "per_batch_invalid": {str(r["batch"]): r["invalid_records"] for r in batches},
+            "invalid_error_breakdown": json.loads(broken["error_breakdown"] or "{}"),
             "valid_duplicate_rate": vdup["duplicate_rate"] if vdup else None,
             "invalid_duplicate_rate": idup["duplicate_rate"] if idup else None,
             "dimension_counts": dim_counts, "fact_rows": fact_rows,
@@ -347,12 +393,8 @@ class Pipeline:
 
     def _persist_dq(self, row: dict) -> None:
         """Upsert the run's metrics row into control/dq_run_metrics (key: run_id)."""
-        import json
-        flat = self.spark.createDataFrame([(
-            row["run_id"], row["measured_at"], row["input_records"], row["valid_records"],
-            row["invalid_records"], row["total_records"], row["reconciliation_difference"],
-            row["valid_duplicate_rate"], row["invalid_duplicate_rate"],
-            json.dumps(row["dimension_counts"], sort_keys=True, default=str),
-            json.dumps(row["fact_rows"], sort_keys=True))], DQ_SCHEMA)
+        flat = self.spark.createDataFrame([tuple(
+            json.dumps(row[c], sort_keys=True, default=str) if isinstance(row[c], dict) else row[c]
+            for c in DQ_SCHEMA.names)], DQ_SCHEMA)
         old = self._read("control", "dq_run_metrics", DQ_SCHEMA)
         self._publish("control", "dq_run_metrics", state.upsert_by_key(old, flat, ["run_id"]))

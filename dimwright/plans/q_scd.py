@@ -49,33 +49,39 @@ def q_dedup_hot(spark, sf):
                         [("o_orderdate", True), ("o_orderkey", True)])
 
 
-@query("scd_initial", O.initial_sql(O.account_rows_sql(O.year_filter(1995, 1995)), ACCOUNT, "'scd-1995'"))
+YEARS = list(range(1995, 2002))  # the batches of feed F
+
+
+@query("scd_initial", O.initial_sql(O.enrich_sql(O.dedup_sql(O.RAW_ORDERS, "o_custkey")), ACCOUNT, "'scd-all'"))
 def q_scd_initial(spark, sf):
-    return scd.initial_load(batch_rows(spark, sf, [1995]), ACCOUNT, "scd-1995")
+    """The whole feed as one first load: the latest row per customer over all batches."""
+    latest = dedup_latest(feeds.raw_orders(spark, sf), ["o_custkey"], ACCOUNT.dedup.order)
+    return scd.initial_load(scd.prepare(feeds.enrich(latest, spark, sf), _no_dedup(ACCOUNT)), ACCOUNT, "scd-all")
 
 
 @query("scd2_changed_keys", f"""
-WITH s AS ({O.initial_sql(O.account_rows_sql(O.year_filter(1995, 1995)), ACCOUNT, "'scd-1995'")}),
-b AS ({O.account_rows_sql(O.year_filter(1996, 1996))})
+WITH s AS ({O.replay_sql(O.account_rows_sql(O.year_filter(1995, 2000)), ACCOUNT)}),
+b AS ({O.account_rows_sql(O.year_filter(2001, 2001))})
 SELECT DISTINCT b.o_custkey FROM b JOIN s ON b.o_custkey = s.o_custkey
 WHERE s.is_current AND b.o_orderstatus IS NOT NULL AND b.o_orderstatus IS DISTINCT FROM s.o_orderstatus""")
 def q_changed_keys(spark, sf):
-    state = scd.initial_load(batch_rows(spark, sf, [1995]), ACCOUNT, "scd-1995")
-    return scd.changed_keys(state, batch_rows(spark, sf, [1996]), ACCOUNT)
+    """Customers whose version the last batch changes, against the state after all batches before it."""
+    state = scd.replay(batch_rows(spark, sf, YEARS[:-1]), ACCOUNT, run_col())
+    return scd.changed_keys(state, batch_rows(spark, sf, YEARS[-1:]), ACCOUNT)
 
 
-@query("scd2_incremental", O.replay_sql(O.account_rows_sql(O.year_filter(1995, 1997)), ACCOUNT))
+@query("scd2_incremental", O.ACCOUNT_REPLAY)
 def q_scd2_incremental(spark, sf):
-    """Batches 1995 -> 1996 -> 1997 applied one at a time with the join step.
+    """Every batch, 1995 to 2001, applied one at a time with the join step.
 
     Each step's state is materialised (reliable checkpoint), as each run of the
     job publishes a snapshot that the next run reads.
     """
     ensure_checkpoint_dir(spark)
     state = None
-    for y in (1995, 1996, 1997):
+    for y in YEARS:
         state = scd.apply_batch(state, batch_rows(spark, sf, [y]), ACCOUNT, f"scd-{y}")
-        if y != 1997:
+        if y != YEARS[-1]:
             state = state.checkpoint(eager=True)
     return state
 
@@ -115,13 +121,21 @@ def q_scd2_fold(spark, sf):
     return scd.replay(nullable_rows(spark, sf), ACCOUNT_NULLABLE, run_col(), method="fold")
 
 
-@query("scd1_refresh", O.replay_sql(O.account_rows_sql(O.year_filter(1995, 1996)),
-                                    ACCOUNT.with_(name="dim_account_t1", scd2_fields=())))
+ACCOUNT_T1 = ACCOUNT.with_(name="dim_account_t1", scd2_fields=())
+
+
+@query("scd1_refresh", O.replay_sql(O.ACCOUNT_ROWS_ALL, ACCOUNT_T1))
 def q_scd1_refresh(spark, sf):
-    """Type-1 only: batch 1996 refreshes priority/price of 1995 rows in place."""
-    spec = ACCOUNT.with_(name="dim_account_t1", scd2_fields=())
-    state = scd.initial_load(batch_rows(spark, sf, [1995]), spec, "scd-1995")
-    return scd.apply_batch(state, batch_rows(spark, sf, [1996]), spec, "scd-1996")
+    """Type-1 only: the last batch refreshes priority and price in the state of all batches before it."""
+    state = scd.replay(batch_rows(spark, sf, YEARS[:-1]), ACCOUNT_T1, run_col())
+    return scd.apply_batch(state, batch_rows(spark, sf, YEARS[-1:]), ACCOUNT_T1, f"scd-{YEARS[-1]}")
+
+
+@query("scd1_apply_pending", O.replay_sql(O.ACCOUNT_ROWS_ALL, ACCOUNT_T1))
+def q_scd1_apply_pending(spark, sf):
+    """Type-1: state after three batches, the four pending ones in one fold."""
+    state = scd.replay(batch_rows(spark, sf, YEARS[:3]), ACCOUNT_T1, run_col())
+    return scd.apply_batches(state, batch_rows(spark, sf, YEARS[3:]), ACCOUNT_T1, run_col())
 
 
 def _segment_rows_sql() -> str:
@@ -139,6 +153,14 @@ def q_insert_only(spark, sf):
     return scd.replay(segment_rows(spark, sf), SEGMENT, run_col())
 
 
+@query("scd_insert_only_apply_pending", O.replay_sql(_segment_rows_sql(), SEGMENT))
+def q_insert_only_apply_pending(spark, sf):
+    """Insert-only: state after three batches, the four pending ones in one fold."""
+    rows = segment_rows(spark, sf)
+    early = F.year("source_batch_date").isin(YEARS[:3])
+    return scd.apply_batches(scd.replay(rows.where(early), SEGMENT, run_col()), rows.where(~early), SEGMENT, run_col())
+
+
 def nation_rows(spark, sf, account_rows=None):
     rows = account_rows if account_rows is not None else feeds.account_rows(spark, sf)
     return scd.prepare(feeds.rollup_rows(rows, "c_nationkey"), _no_dedup(NATION))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -10,7 +9,11 @@ from pyspark.sql import SparkSession
 
 def build_session(master: str | None = None, app: str = "dimwright",
                   shuffle_partitions: int | None = None) -> SparkSession:
-    """Local/test session.  On a cluster, spark-submit supplies master and sizing."""
+    """Session with the settings every job relies on.
+
+    On a cluster, spark-submit supplies master and sizing: without
+    ``shuffle_partitions`` the session's own ``spark.sql.shuffle.partitions`` stays.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -23,8 +26,11 @@ def build_session(master: str | None = None, app: str = "dimwright",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # partitionBy(...).mode("overwrite") replaces only the partitions written
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions or 8),
+        # checkpoint files go when nothing refers to them any more
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -36,8 +42,9 @@ def build_session(master: str | None = None, app: str = "dimwright",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory of the session.
 
-    The cluster names a shared folder in ``spark.checkpoint.dir``; we only
-    fall back to a private temp folder when nothing is configured (tests).
+    The cluster names a shared folder in ``spark.checkpoint.dir``.  Only a local
+    master, whose executors are threads of this process, may do without: it
+    gets a private temp folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -45,12 +52,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not _one_machine(sc.master):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="dimwright-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for intermediate tables next to the checkpoint folder (shared storage)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/dimwright-tables/{name}-{os.getpid()}"
+
+def _one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")

@@ -18,13 +18,13 @@ def _fs_and_path(spark: SparkSession, path: str):
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` (globs allowed) matches at least one file or directory."""
-    try:
-        fs, p = _fs_and_path(spark, path)
-        matches = fs.globStatus(p)
-        return matches is not None and len(matches) > 0
-    except Exception:  # noqa: BLE001 - unreachable filesystem counts as missing
-        return False
+    """True when ``path`` (globs allowed) matches at least one file or directory.
+
+    Only a path that is not there is False; a filesystem that cannot be asked raises.
+    """
+    fs, p = _fs_and_path(spark, path)
+    matches = fs.globStatus(p)
+    return matches is not None and len(matches) > 0
 
 
 def list_names(spark: SparkSession, root: str) -> list[str]:
@@ -36,13 +36,13 @@ def list_names(spark: SparkSession, root: str) -> list[str]:
 
 
 def discover_batch_dates(spark: SparkSession, root: str) -> list[str]:
-    """Sorted distinct ``batch-YYYY-MM-DD`` dates under ``root``; unparsable names ignored.
+    """Sorted distinct ``batch-YYYY-MM-DD`` dates under ``root``; other names ignored.
 
     A directory listing: its size is the number of batches, not of records.
     """
     out = set()
     for name in list_names(spark, root):
-        m = BATCH_DIR.fullmatch(name) or BATCH_DIR.match(name)
+        m = BATCH_DIR.fullmatch(name)
         if not m:
             continue
         try:

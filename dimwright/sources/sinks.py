@@ -1,9 +1,11 @@
 """Writers.  Outputs are idempotent per batch; snapshots are versioned.
 
-* ``write_split`` writes the classified feed once, partitioned by batch date
-  and record status: valid and invalid sets are partitions of one dataset,
-  so the source is parsed once, and a re-run of a batch replaces only its
-  partitions (dynamic partition overwrite).
+* ``write_split`` writes the classified feed once, partitioned by batch date,
+  with the record status as a column: the source is parsed once, and a re-run
+  replaces a batch as one unit (dynamic partition overwrite), so a row that
+  changed its status is not left in the other set.  A stream adds a level
+  below the batch, one partition per micro-batch: a retry replaces its own
+  rows only, and later files of the same batch add to it.
 * ``write_snapshot`` never overwrites a path the plan may be reading: each
   commit goes to a new version directory and a small pointer file names the
   current one (write new data first, then repoint).
@@ -21,21 +23,37 @@ from dimwright.operators.validate import ERRORS_COL, STATUS_COL
 from dimwright.sources.paths import _fs_and_path, path_exists
 
 
-def write_split(classified: DataFrame, path: str, batch_col: str = "source_batch_date",
-                fmt: str = "parquet") -> None:
+#: partition level below the batch that streams write
+PART_COL = "ingest_part"
+
+
+def write_split(classified: DataFrame, path: str, batch_col: str = "source_batch_date", fmt: str = "parquet",
+                batches: list[str] | None = None, part: str | None = None) -> None:
+    """Replace the batches (or, with ``part``, that part of them) that ``classified`` holds.
+
+    ``batches`` names batches to clear first, so that one without any row left
+    leaves nothing behind.
+    """
+    spark = classified.sparkSession
+    for b in batches or ():
+        fs, p = _fs_and_path(spark, f"{path.rstrip('/')}/{batch_col}={b}")
+        fs.delete(p, True)
+    levels = [batch_col]
+    if part is not None:
+        classified, levels = classified.withColumn(PART_COL, F.lit(part)), [batch_col, PART_COL]
     (classified.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(batch_col, STATUS_COL)
+     .partitionBy(*levels)
      .format(fmt).save(path))
 
 
 def read_split(spark: SparkSession, path: str, status: str, batch_dates: list[str] | None = None,
                batch_col: str = "source_batch_date") -> DataFrame:
-    """Valid or invalid rows; partition pruning on status and (optionally) batches."""
+    """Valid or invalid rows; partition pruning on batches, the status is pushed to the files."""
     df = spark.read.parquet(path).where(F.col(STATUS_COL) == status)
     if batch_dates is not None:
         df = df.where(F.col(batch_col).isin([F.lit(d).cast("date") for d in batch_dates]))
-    df = df.drop(STATUS_COL)
+    df = df.drop(STATUS_COL, PART_COL)
     return df.drop(ERRORS_COL) if status == "valid" else df
 
 
@@ -47,12 +65,20 @@ def partition_values(spark: SparkSession, path: str, col: str) -> list[str]:
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, p = _fs_and_path(spark, path)
+    """Write beside ``path``, then rename over it: a reader sees the old text or the new one."""
+    beside = f"{path}.{uuid.uuid4().hex}"
+    fs, p = _fs_and_path(spark, beside)
     out = fs.create(p, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(p, jvm.org.apache.hadoop.fs.Path(path), options)
 
 
 def _read_text(spark: SparkSession, path: str) -> str | None:
@@ -89,16 +115,30 @@ def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(p) if p else None
 
 
+#: versions of a snapshot on storage, the current one included
+KEPT_VERSIONS = 4
+
+
 def write_snapshot(df: DataFrame, root: str, partition_by: list[str] | None = None,
                    meta: dict | None = None) -> str:
-    """Write a new snapshot version, then repoint ``_CURRENT`` to it (with ``meta``)."""
+    """Write a new snapshot version, then repoint ``_CURRENT`` to it (with ``meta``).
+
+    The versions before it stay readable for plans that still use them; of
+    those, the last ``KEPT_VERSIONS`` are kept.
+    """
     spark = df.sparkSession
+    before = snapshot_meta(spark, root) or {}
     version = f"{root.rstrip('/')}/v-{uuid.uuid4().hex}"
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(version)
-    _write_text(spark, f"{root.rstrip('/')}/_CURRENT", json.dumps({**(meta or {}), "path": version}))
+    versions = [version, *(before.get("versions") or ([before["path"]] if before else []))]
+    _write_text(spark, f"{root.rstrip('/')}/_CURRENT",
+                json.dumps({**(meta or {}), "path": version, "versions": versions[:KEPT_VERSIONS]}))
+    for old in versions[KEPT_VERSIONS:]:
+        fs, p = _fs_and_path(spark, old)
+        fs.delete(p, True)
     return version
 
 

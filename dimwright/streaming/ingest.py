@@ -5,8 +5,9 @@ The file source's checkpoint remembers which files were read, replacing the
 files.  ``trigger(availableNow=True)`` drains everything present and stops,
 which suits a scheduled batch job; a processing-time trigger turns the same
 query into a continuously running ingester.  ``foreachBatch`` applies the
-validation split and the idempotent partitioned write of the batch path, so
-both paths produce identical outputs.
+validation split and the idempotent partitioned write of the batch path; each
+micro-batch owns a partition below its batch, so a retried one replaces itself
+and a second file of the same batch is added.
 """
 
 from __future__ import annotations
@@ -47,7 +48,7 @@ def start_ingestion(spark: SparkSession, feed: FeedSpec, input_root: str, output
             "processed_run_id": F.lit(f"{run_id}-{epoch_id}"),
             "ingestion_dt": F.current_timestamp(),
         })
-        sinks.write_split(validate.classify(stamped, feed.validations), output)
+        sinks.write_split(validate.classify(stamped, feed.validations), output, part=f"epoch-{epoch_id}")
 
     w = src.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     if available_now:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from dimwright.contract import contract_from_dict
 from dimwright.operators import scd
 from dimwright.plans import feeds
-from dimwright.plans.job import Pipeline
+from dimwright.plans.job import Pipeline, PipelineError
+from dimwright.sources import sinks
 
 from conftest import SF001
 
@@ -122,11 +123,18 @@ def test_incremental_late_batch_and_restart(spark, tmpdir_path, contract):
     assert table_rows(dim) == table_rows(expected_dim(p, acc, "run-3"))
     # the warehouse holds exactly the snapshot's versions (no stale current rows)
     wh = p.table("dim_account")
-    assert table_rows(wh, drop=("account_id",)) == table_rows(dim)
+    assert table_rows(wh, drop=("account_id", "updated_at")) == table_rows(dim)
     assert wh.select("account_id").distinct().count() == wh.count()
     fact = p.table("fact_account")
     assert fact.count() == wh.count()
+    # a rebuild restamps; the facts of one load carry its time
+    assert {r["loaded_at"] for r in fact.collect()} <= {dt.datetime(2025, 1, d) for d in (1, 2, 3)}
+    assert {r["violations"] for r in sinks.read_snapshot(spark, f"{tmpdir_path}/out/violations/fact_account").collect()} == {0}
     assert out["dq"]["reconciliation_difference"] == 0
+    assert out["dq"]["batch_count"] == 4 and sum(out["dq"]["per_batch_invalid"].values()) == out["dq"]["invalid_records"]
+    assert round(out["dq"]["valid_rate"] + out["dq"]["invalid_rate"], 2) == 100.0
+    assert sum(sum(c.values()) for c in out["dq"]["invalid_error_breakdown"].values()) >= out["dq"]["invalid_records"]
+    assert all(r["completed_at"] > r["started_at"] for r in p.control("etl_runs").collect())
     assert out["dq"]["invalid_records"] > 0
     runs = {r["run_id"]: r["status"] for r in p.control("etl_runs").collect()}
     assert runs == {"run-1": "success", "run-2": "success", "run-3": "success"}
@@ -199,3 +207,57 @@ def test_rerun_without_new_batches_changes_nothing(spark, tmpdir_path):
     assert all(v["status"] == "skipped" for v in out["dimensions"].values())
     assert table_rows(p.dimension("dim_account")) == snap
     assert {n: table_rows(p.table(n)) for n in before} == before
+
+
+def test_two_new_batches_in_one_run(spark, tmpdir_path, contract):
+    """Type-1 and insert-only dimensions take several pending batches as one by one."""
+    for name, groups in (("one", [[1995], [1996], [1997], [1998]]), ("many", [[1995], [1996, 1997], [1998]])):
+        inp = f"{tmpdir_path}/{name}-input"
+        os.makedirs(inp)
+        p = Pipeline(spark, contract, inp, f"{tmpdir_path}/{name}")
+        for i, years in enumerate(groups):
+            for y in years:
+                write_batch(spark, inp, y)
+            p.run(f"run-{max(years)}", dt.datetime(2025, 1, 1 + i))
+    one, many = (Pipeline(spark, contract, "", f"{tmpdir_path}/{n}") for n in ("one", "many"))
+    for d in contract.dimensions:
+        drop = ("last_updated_run_id", "processed_run_id", "ingestion_dt")
+        assert table_rows(many.dimension(d.name), drop) == table_rows(one.dimension(d.name), drop), d.name
+
+
+def test_lost_rows_show_in_the_reconciliation(spark, tmpdir_path, contract):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    inp = f"{tmpdir_path}/input"
+    os.makedirs(inp)
+    write_batch(spark, inp, 1995)
+    p = Pipeline(spark, contract, inp, f"{tmpdir_path}/out")
+    p.run_ingestion("r", dt.datetime(2025, 1, 1))
+    n = spark.read.json(f"{inp}/batch-1995-01-01").count()
+    assert p.control("etl_ingestion_batches").first()["input_record_count"] == n
+    feed = spark.read.parquet(f"{tmpdir_path}/out/feed")
+    assert feed.count() == n
+    part = sorted(glob.glob(f"{tmpdir_path}/out/feed/source_batch_date=*/*.parquet"))[0]
+    rows = pq.read_table(part)
+    os.remove(os.path.join(os.path.dirname(part), f".{os.path.basename(part)}.crc"))
+    pq.write_table(rows.slice(3), part)  # three rows go missing behind the job's back
+    spark.catalog.refreshByPath(f"{tmpdir_path}/out/feed")
+    p.run_dimensions("r", dt.datetime(2025, 1, 1))
+    p.run_warehouse("r", dt.datetime(2025, 1, 1))
+    assert p.run_dq("r", dt.datetime(2025, 1, 1))["reconciliation_difference"] == 3
+
+
+def test_missing_snapshot_raises(spark, tmpdir_path, contract):
+    inp = f"{tmpdir_path}/input"
+    os.makedirs(inp)
+    write_batch(spark, inp, 1995)
+    p = Pipeline(spark, contract, inp, f"{tmpdir_path}/out")
+    p.run_ingestion("r", dt.datetime(2025, 1, 1))
+    p.run_dimensions("r", dt.datetime(2025, 1, 1))
+    os.remove(f"{tmpdir_path}/out/dims/dim_account/_CURRENT")
+    write_batch(spark, inp, 1996)
+    p.run_ingestion("s", dt.datetime(2025, 1, 2))
+    with pytest.raises(PipelineError, match="no snapshot"):
+        p.run_dimensions("s", dt.datetime(2025, 1, 2))

@@ -6,13 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from dimwright.plans.catalog import ORACLES, QUERIES
 from scripts.check_oracles import TABLES, rows_of
 
 from conftest import SF001
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -26,6 +24,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_entry_smoke(spark):

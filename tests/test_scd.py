@@ -204,3 +204,21 @@ def test_apply_batches_window_path_matches_model(spark, seed):
     first = scd.replay(df(spark, [r for r in rows if r[2] < bs[2]]), spec, run)
     rest = df(spark, [r for r in rows if r[2] >= bs[2]])
     assert as_dicts(scd.apply_batches(first, rest, spec, run)) == model(rows, spec)
+
+
+@pytest.mark.parametrize("seed", [6, 7])
+@pytest.mark.parametrize("kind", ["tracked", "type1", "insert_only"])
+def test_pending_batches_equal_one_by_one(spark, seed, kind):
+    """Several pending batches on a state, for every kind of dimension."""
+    spec = {"tracked": SPEC.with_(tracked_never_null=True), "type1": SPEC.with_(scd2_fields=(), non_tracked_fields=("n1", "t1")),
+            "insert_only": SPEC.with_(scd2_fields=(), scd1_fields=(), non_tracked_fields=("n1", "s1"))}[kind]
+    rows = [r for r in random_rows(seed, null_rate=0.0 if kind == "tracked" else 0.2) if r[0] is not None]
+    bs = sorted({r[2] for r in rows})
+    run = run_of(F.col("batch"))
+    state = scd.replay(df(spark, [r for r in rows if r[2] < bs[2]]), spec, run)
+    one = state
+    for b in bs[2:]:
+        one = scd.apply_batch(one, df(spark, [r for r in rows if r[2] == b]), spec, "scd-" + b.strftime("%Y%m%d"))
+    many = scd.apply_batches(state, df(spark, [r for r in rows if r[2] >= bs[2]]), spec, run)
+    whole = scd.replay(df(spark, rows), spec, run)
+    assert as_dicts(many) == as_dicts(one) == as_dicts(whole)

@@ -30,3 +30,18 @@ def test_available_now_ingestion_is_incremental(spark, tmpdir_path):
     assert per_batch[1996] == spark.read.json(f"{inp}/batch-1996-01-01").count()
     invalid = sinks.read_split(spark, out, "invalid")
     assert invalid.count() > 0 and "validation_errors" in invalid.columns
+
+
+def test_second_file_of_a_batch_is_added(spark, tmpdir_path):
+    contract = contract_from_dict(META)
+    inp, out, ck = (f"{tmpdir_path}/{x}" for x in ("input", "out", "ck"))
+    os.makedirs(inp)
+    write_batch(spark, inp, 1995)
+    start_ingestion(spark, contract.feed, inp, out, ck, "stream").awaitTermination(300)
+    first = spark.read.parquet(out).count()
+    extra = spark.read.json(f"{inp}/batch-1995-01-01").limit(3)
+    extra.coalesce(1).write.mode("append").json(f"{inp}/batch-1995-01-01")
+    start_ingestion(spark, contract.feed, inp, out, ck, "stream").awaitTermination(300)
+    assert spark.read.parquet(out).count() == first + 3
+    rows = sinks.read_split(spark, out, "valid").count() + sinks.read_split(spark, out, "invalid").count()
+    assert rows == first + 3 and "ingest_part" not in sinks.read_split(spark, out, "valid").columns

@@ -117,6 +117,15 @@ def test_split_write_as_json_and_read_back(spark, tmpdir_path):
     back = spark.read.json(f"{tmpdir_path}/out")
     assert back.where("record_status = 'invalid'").count() == 1
     assert back.where("record_status = 'valid'").count() == 2
+    # a row that changes its status leaves the other set
+    fixed = c.where("source_batch_date = '2024-01-01'").withColumn("record_status", F.lit("valid"))
+    sinks.write_split(fixed, f"{tmpdir_path}/out", fmt="json")
+    back = spark.read.json(f"{tmpdir_path}/out")
+    assert (back.count(), back.where("record_status = 'invalid'").count()) == (3, 0)
+    # a batch without rows is cleared when named
+    sinks.write_split(c.limit(0), f"{tmpdir_path}/out", fmt="json", batches=["2024-01-01"])
+    assert spark.read.json(f"{tmpdir_path}/out").count() == 1
+    sinks.write_split(fixed, f"{tmpdir_path}/out", fmt="json")
     # re-running one batch replaces only its partitions
     sinks.write_split(c.where("source_batch_date = '2024-01-02'"), f"{tmpdir_path}/out", fmt="json")
     assert spark.read.json(f"{tmpdir_path}/out").count() == 3
