@@ -111,6 +111,36 @@ def invalid_structure(invalid: DataFrame, declared: Sequence[str], key: str) ->
             .where((F.col("unexpected_fields") != "") | (F.col("error_fields") <= 0)))
 
 
+def valid_structure(valid: DataFrame, rules, key: str, lineage: Sequence[str]) -> DataFrame:
+    """Rows of the valid set that break a rule after all or lack a lineage value: (key, field, code)."""
+    from dimwright.operators.validate import violations
+
+    broken = violations(valid, rules, [key])
+    gaps = F.filter(F.array(*[F.when(_c(c).isNull(), F.lit(c)) for c in lineage]), lambda c: c.isNotNull())
+    missing = valid.select(key, F.explode(gaps).alias("field")).select(key, "field", F.lit("missing").alias("code"))
+    return broken.unionByName(missing)
+
+
+def dq_row_consistent(metrics: DataFrame) -> DataFrame:
+    """Issues inside stored metrics rows: (run_id, issue) where the figures of a run contradict each other."""
+    def per_batch_sum(col: str) -> Column:
+        counts = F.map_values(F.from_json(_c(col), "map<string,bigint>"))
+        return F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)
+
+    issues = {
+        "total": _c("total_records") != _c("valid_records") + _c("invalid_records"),
+        "difference": _c("reconciliation_difference") != _c("input_records") - _c("total_records"),
+        "lost_records": _c("reconciliation_difference") != 0,
+        "per_batch_valid": per_batch_sum("per_batch_valid") != _c("valid_records"),
+        "per_batch_invalid": per_batch_sum("per_batch_invalid") != _c("invalid_records"),
+        "batch_count": F.size(F.json_object_keys(_c("per_batch_valid"))) != _c("batch_count"),
+        "rates": (_c("total_records") > 0) & (F.abs(_c("valid_rate") + _c("invalid_rate") - 100) > 0.011),
+    }
+    found = F.filter(F.array(*[F.when(F.coalesce(bad, F.lit(True)), F.lit(name)) for name, bad in issues.items()]),
+                     lambda c: c.isNotNull())
+    return metrics.select("run_id", F.explode(found).alias("issue"))
+
+
 def dq_consistent(reconciliation: DataFrame) -> DataFrame:
     """Reconciliation rows with a non-zero difference, and per-batch sums != totals.
 
@@ -123,10 +153,13 @@ def dq_consistent(reconciliation: DataFrame) -> DataFrame:
         (F.max(F.when(tot, F.col("input_records"))) - F.sum(F.when(per, F.col("input_records"))))
         .alias("d_in"),
         (F.max(F.when(tot, F.col("valid_records"))) - F.sum(F.when(per, F.col("valid_records"))))
-        .alias("d_valid"))
+        .alias("d_valid"),
+        (F.max(F.when(tot, F.col("invalid_records"))) - F.sum(F.when(per, F.col("invalid_records"))))
+        .alias("d_invalid"))
     mism = agg.select(F.explode(F.array(
         F.struct(F.lit("per_batch_sum").alias("issue"), F.col("d_in").alias("delta")),
-        F.struct(F.lit("per_batch_valid_sum").alias("issue"), F.col("d_valid").alias("delta")))).alias("m")) \
+        F.struct(F.lit("per_batch_valid_sum").alias("issue"), F.col("d_valid").alias("delta")),
+        F.struct(F.lit("per_batch_invalid_sum").alias("issue"), F.col("d_invalid").alias("delta")))).alias("m")) \
         .select("m.issue", F.lit(None).cast("date").alias("batch"), "m.delta")
     diff = reconciliation.where(F.col("difference") != 0).select(
         F.lit("difference").alias("issue"), "batch", F.col("difference").alias("delta"))
@@ -164,16 +197,24 @@ def fact_dates(fact: DataFrame, dim: DataFrame, batch_col: str = "source_batch_d
                          .select("date_id", F.lit("missing_in_dimension").alias("side"))))
 
 
-def input_parseable(raw: DataFrame, group_col: str, order_col: str, text_col: str, schema: str) -> DataFrame:
+def input_parseable(raw: DataFrame, group_col: str, order_col: str, text_col: str, schema: str,
+                    groups: DataFrame | None = None) -> DataFrame:
     """Per input file/group: rows, unparseable rows, whether the first line parses.
 
-    Only groups that fail (empty, or first line unparseable) are returned.
+    Only groups that fail (empty, or first line unparseable) are returned.  An
+    empty file has no rows to group: ``groups`` (``group_col``, say from a directory
+    listing) names the groups there should be.
     """
     ok = _parses(text_col, schema)
     g = raw.groupBy(group_col).agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(~ok).alias("unparseable_rows"),
         F.min_by(ok, F.col(order_col)).alias("first_line_ok"))
+    if groups is not None:
+        g = groups.select(group_col).distinct().join(g, group_col, "left").select(
+            group_col, F.coalesce("row_count", F.lit(0).cast("long")).alias("row_count"),
+            F.coalesce("unparseable_rows", F.lit(0).cast("long")).alias("unparseable_rows"),
+            F.coalesce("first_line_ok", F.lit(False)).alias("first_line_ok"))
     return g.where((F.col("row_count") == 0) | ~F.col("first_line_ok"))
 
 

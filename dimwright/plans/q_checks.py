@@ -170,6 +170,18 @@ def q_invalid_structure(spark, sf):
     return checks.invalid_structure(invalid, DECLARED, "o_orderkey")
 
 
+@query("check_valid_structure", f"""WITH v AS (SELECT * FROM ({CLASSIFIED_SQL}) __c WHERE record_status = 'valid')
+SELECT o_orderkey, 'o_totalprice' AS field, 'minValue: 1000' AS code FROM v WHERE o_orderkey % 17 = 0
+UNION ALL SELECT o_orderkey, 'processed_run_id', 'missing' FROM v WHERE o_orderkey % 19 = 0""")
+def q_valid_structure(spark, sf):
+    """A valid set in which some amounts and run ids were spoilt afterwards."""
+    valid, _ = validate.split_valid_invalid(feeds.faulted_orders(spark, sf), ORDER_RULES)
+    k = F.col("o_orderkey")
+    valid = valid.withColumns({"o_totalprice": F.when(k % 17 == 0, F.lit(-1.0)).otherwise(F.col("o_totalprice")),
+                               "processed_run_id": F.when(k % 19 != 0, F.col("processed_run_id"))})
+    return checks.valid_structure(valid, ORDER_RULES, "o_orderkey", ["source_batch_date", "processed_run_id"])
+
+
 @query("check_dq_consistent", f"""WITH i AS ({INPUTS_SQL}),
 c AS (SELECT * FROM ({CLASSIFIED_SQL}) __c WHERE NOT (record_status = 'invalid'
   AND year(source_batch_date) = 1996 AND o_orderkey % 2 = 0)),

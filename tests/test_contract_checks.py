@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,3 +54,30 @@ def test_history_exists_and_checks_pass_on_clean_replay(spark):
               checks.open_sentinel(d, "o_custkey"), checks.gapless_versions(d, "o_custkey"),
               checks.versions_differ(d, "o_custkey", ["o_orderstatus"])):
         assert v.count() == 0
+
+
+def test_empty_inputs_are_reported(spark):
+    raw = spark.createDataFrame([("f1", 1, '{"k": 1}'), ("f2", 1, "bad"), ("f2", 2, '{"k": 1}')], "f string, i long, t string")
+    files = spark.createDataFrame([("f1",), ("f2",), ("f3",)], "f string")
+    got = {r["f"]: (r["row_count"], r["unparseable_rows"]) for r in checks.input_parseable(raw, "f", "i", "t", "k int", files).collect()}
+    assert got == {"f2": (2, 1), "f3": (0, 0)}
+
+
+def test_stored_metrics_row_is_checked(spark):
+    good = dict(run_id="a", input_records=10, total_records=10, valid_records=7, invalid_records=3, reconciliation_difference=0,
+                per_batch_valid='{"2024-01-01": 7}', per_batch_invalid='{"2024-01-01": 3}', batch_count=1, valid_rate=70.0, invalid_rate=30.0)
+    bad = {**good, "run_id": "b", "invalid_records": 4, "valid_rate": 60.0}
+    lost = {**good, "run_id": "c", "input_records": 12, "reconciliation_difference": 2}
+    got = [(r["run_id"], r["issue"]) for r in checks.dq_row_consistent(spark.createDataFrame([good, bad, lost])).collect()]
+    assert sorted(got) == [("b", "per_batch_invalid"), ("b", "rates"), ("b", "total"), ("c", "lost_records")]
+
+
+def test_contract_rejects_unknown_names():
+    meta = json.loads(json.dumps(META))
+    meta["ingestion"]["validations"].append({"field": "nowhere", "rules": ["notNull"]})
+    with pytest.raises(ContractError, match="nowhere"):
+        contract_from_dict(meta)
+    meta = json.loads(json.dumps(META))
+    meta["dim_nation"]["natural_key_columns"] = ["no_such_column"]
+    with pytest.raises(ContractError, match="no_such_column"):
+        contract_from_dict(meta)
