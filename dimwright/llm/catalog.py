@@ -27,8 +27,8 @@ QUERIES = {
     "op10_language_id": op10_language_id,
 }
 
+#: the others are tested against brute force in tests/llm
 ORACLES: dict[str, str] = {
-    "op3_license_scan": op3_license_scan,
     "op1_embedding_links": embeddings.ORACLE,
     "op4_decontamination": contamination.ORACLE,
     "op8_source_mix": mixing.ORACLE,
