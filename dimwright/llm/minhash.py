@@ -8,10 +8,12 @@ that agree in a band share a bucket.
 
 Documents with equal sets collapse into one node first.  Inside a bucket every node is compared
 with the bucket's first node, which needs as many comparisons as members; links that
-pass the exact comparison of the full sets are united.  Only where a bucket still holds several
-components are further members compared, and finally all its pairs from different
-components, so every pair that shares a bucket is either compared or already in one
-component: the components are those of all links among bucket neighbours.
+pass the exact comparison of the full sets are united.  Where a bucket still holds several components,
+the members outside its largest one are compared with another centre from that.  What is left outside
+then meets the other members in tiles of bounded size: counts of each set's shingles over a few
+hundred bins bound an intersection from above, and only pairs that this bound admits are
+compared in full.  So every pair that shares a bucket is compared, excluded by an exact bound, or already in
+one component: the components are those of all links among bucket neighbours.
 
 Empty and null texts have the empty set and link with nothing.  Rows with the same id are one
 document; a null id takes part through its text, and is kept only if its whole component has no
@@ -22,7 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from dimwright.llm.common import add_columns, save_table, table
 from dimwright.llm.graph import connected_components
@@ -31,6 +33,8 @@ from dimwright.llm.graph import connected_components
 BANDS, ROWS = 32, 6
 #: elements whose permutations are held at a time
 STEP_ELEMENTS = 1 << 16
+#: bins of the shingle counts, and members of a tile
+BINS, TILE = 256, 256
 #: distinct words remembered per worker
 MAX_WORDS = 600_000
 #: texts shingled together
@@ -151,7 +155,29 @@ def set_id(shingles) -> tuple[int, int]:
 
 SIGNATURE = [StructField("n_shingles", LongType()), StructField("s1", LongType()), StructField("s2", LongType()),
              StructField("bands", ArrayType(LongType()))]
-MEMBERS = [StructField("n_shingles", LongType()), StructField("shingles", ArrayType(LongType()))]
+MEMBERS = [StructField("n_shingles", LongType()), StructField("shingles", ArrayType(LongType())),
+           StructField("bins", BinaryType())]
+
+
+def bin_counts(shingles) -> bytes:
+    """How many shingles fall into each bin."""
+    import numpy as np
+
+    return np.bincount((shingles >> np.uint64(56)).astype(np.int64) % BINS, minlength=BINS).astype(np.uint32).tobytes()
+
+
+def admitted(outside, members, num: int, den: int) -> list[tuple[int, int]]:
+    """Pairs of (node, component, size, bins) rows from different components that the bins do not exclude.
+
+    The intersection of two sets is at most the sum over bins of the smaller count."""
+    import numpy as np
+
+    (o_id, o_c, o_n, o_bins), (m_id, m_c, m_n, m_bins), out = outside, members, []
+    for node, c, n, bins in zip(o_id, o_c, o_n, o_bins):
+        most = np.minimum(m_bins, bins).sum(axis=1)
+        hit = (most * den >= (m_n + n - most) * num) & (m_c != c)
+        out += [(min(int(node), int(x)), max(int(node), int(x))) for x in m_id[hit]]
+    return out
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
@@ -193,7 +219,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
         def fn(texts, s1, s2):
             sets = shingle_sets(texts, width, hashes)
-            return [(len(s), s.view("int64").tolist()) if set_id(s) == (a, b) else (0, None) for s, a, b in zip(sets, s1, s2)]
+            return [(len(s), s.view("int64").tolist(), bin_counts(s)) if set_id(s) == (a, b) else (0, None, None)
+                    for s, a, b in zip(sets, s1, s2)]
 
         return fn
 
@@ -220,24 +247,48 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     links = verify(star.select(*ordered("node", "n", "first", "n_first")))
     labels = connected_components(links)
 
-    # buckets that still hold several components: one more round with another centre, then all that is left
-    for last in (False, True):
+    def open_buckets() -> DataFrame:
+        """Members of buckets of more than two that hold several components, with the largest one (``main``) and a
+        member of it (``y``, ``ny``)."""
         placed = members.join(labels, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("c"))
-        open_ = placed.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi")
-        placed = save_table(placed.join(open_, "bucket"), "open-buckets")
-        if placed.isEmpty():
-            break
-        if not last:
-            centre = placed.filter("c = hi").groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("m"))
-            pairs = placed.filter("c != hi").join(centre.select("bucket", F.col("m.node").alias("y"), F.col("m.n").alias("ny")), "bucket")
-            pairs = pairs.select(*ordered("node", "n", "y", "ny"))
-        else:
-            other = placed.select("bucket", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("c").alias("cy"))
-            pairs = placed.join(other, "bucket").filter("node < y and c != cy").select(*ordered("node", "n", "y", "ny"))
-        found = verify(pairs)
+        each = placed.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("k"),
+                                                 F.min(F.struct(F.xxhash64("bucket", "node").alias("h"), "node", "n")).alias("m"))
+        top = each.groupBy("bucket").agg(F.max(F.struct("k", "c", "m")).alias("top"), F.sum("k").alias("k"), F.count(F.lit(1)).alias("parts"))
+        top = top.filter("parts > 1 and k > 2").select("bucket", "k", F.col("top.k").alias("k_main"), F.col("top.c").alias("main"),
+                                                       F.col("top.m.node").alias("y"), F.col("top.m.n").alias("ny"))
+        return save_table(placed.join(top, "bucket"), "open-buckets")
+
+    placed = open_buckets()
+    found = verify(placed.filter("c != main").select(*ordered("node", "n", "y", "ny")))
+    if not found.isEmpty():
         links = links.unionByName(found)
-        if not found.isEmpty():
-            labels = connected_components(links)
+        labels = connected_components(links)
+        placed = open_buckets()
+
+    # what is outside a bucket's largest component against all its members, in tiles
+    bins = full.select("node", "bins").distinct()
+    sides = placed.join(bins, "node").withColumns({
+        "mb": F.ceil(F.col("k") / F.lit(TILE)).cast("int"), "ob": F.ceil((F.col("k") - F.col("k_main")) / F.lit(TILE)).cast("int")})
+    block = lambda n: F.pmod(F.xxhash64("bucket", "node", F.lit(3)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    shape = ["node", "c", "n", "bins"]
+    member = sides.select("bucket", block("mb").alias("m"), every("ob").alias("o"), F.lit(True).alias("member"), *shape)
+    outside = sides.filter("c != main").select("bucket", every("mb").alias("m"), block("ob").alias("o"), F.lit(False).alias("member"), *shape)
+
+    def tile(pdf):
+        import numpy as np
+        import pandas as pd
+
+        groups = [(g["node"].to_numpy(), g["c"].to_numpy(), g["n"].to_numpy(),
+                   np.frombuffer(b"".join(map(bytes, g["bins"])), np.uint32).reshape(len(g), BINS).astype(np.int64))
+                  for g in (pdf[~pdf["member"]], pdf[pdf["member"]])]
+        return pd.DataFrame(admitted(*groups, num, den), columns=["a", "b"]).astype("int64")
+
+    pairs = member.unionByName(outside).groupBy("bucket", "m", "o").applyInPandas(
+        tile, StructType([StructField("a", LongType()), StructField("b", LongType())]))
+    found = verify(pairs.withColumns({"na": F.lit(1), "nb": F.lit(1)}))
+    if not found.isEmpty():
+        labels = connected_components(links.unionByName(found))
 
     # the smallest id of every component, for every document
     placed = nodes.join(labels, "node", "left").select("s1", "s2", "doc_id", F.coalesce("component", "node").alias("component"))
