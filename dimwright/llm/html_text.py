@@ -55,8 +55,12 @@ DROPPED_NAMES = frozenset("ad ads advert adverts advertisement advertising adsen
                           "navigation menu breadcrumb breadcrumbs sidebar sidenav widget widgets related recommended recommendations "
                           "share sharing social comment comments commentlist disqus replies respond pagination pager login search "
                           "skip hidden footer masthead toolbar header".split())
-#: names that in an article mark parts of it
-ARTICLE_NAMES = frozenset(("header", "footer", "banner", "notice"))
+#: names that in an article mark the part with its title
+ARTICLE_NAMES = frozenset(("header",))
+#: names that also stand on wrappers of the whole page ("with-sidebar"): an article or main inside counts all the same
+WRAPPER_NAMES = frozenset("header footer nav navbar navigation menu sidebar sidenav banner masthead toolbar social share sharing search "
+                          "login skip hidden".split())
+KEEP, WEAK, STRONG = 0, 1, 2
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -77,22 +81,27 @@ class Frame:
         self.parts = [tag]
 
 
-def boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
+def boilerplate(tag: str, attributes: str, in_article: bool) -> int:
+    """KEEP, WEAK (a name that wrappers carry too) or STRONG."""
     if tag in DROPPED:
-        return True
+        return STRONG
+    found = KEEP
     if attributes and ("=" in attributes or "hidden" in attributes):
         for name, value in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), value.strip("\"'").lower()
             if name in ("class", "id"):
                 names = DROPPED_NAMES.intersection(_NAME.findall(value))
-                if names - ARTICLE_NAMES if in_article else names:
-                    return True
+                if in_article:
+                    names -= ARTICLE_NAMES
+                if names - WRAPPER_NAMES:
+                    return STRONG
+                found = max(found, WEAK if names and tag not in ("html", "body") else KEEP)
             elif name == "role" and value in DROPPED_ROLES:
-                return True
+                return STRONG
             elif (name == "hidden" or (name == "aria-hidden" and value == "true")
                   or (name == "style" and re.search(r"display\s*:\s*none", value))):
-                return True
-    return False
+                return STRONG
+    return found
 
 
 class Page:
@@ -105,7 +114,7 @@ class Page:
         self.blocks, self.buffer = [], []
         self.subtrees: set[int] = set()
         self.article = self.main = False
-        root = Frame("", False, False, False, 0, False)
+        root = Frame("", KEEP, False, False, 0, False)
         self.stack = [root]
         for m in _TOKEN.finditer(html):
             tag = m.group(3)
@@ -146,11 +155,14 @@ class Page:
         if tag in VOID or attributes.endswith("/") and tag not in BLOCKS:
             top.parts.append(tag)
             return
-        drop, head = top.drop or boilerplate(tag, attributes, top.article), top.head
+        own, head = boilerplate(tag, attributes, top.article), top.head
+        drop = max(top.drop, own)
+        if tag in ("article", "main") and own == KEEP and top.drop == WEAK:
+            drop = KEEP
         if tag == "header" and top.article and not top.drop:
             head = True
         if head and tag in HEADINGS:
-            drop = False
+            drop = KEEP
         frame = Frame(tag, drop, top.article or (tag == "article" and not drop), top.main or (tag == "main" and not drop),
                       len(self.blocks), head)
         self.article |= frame.article

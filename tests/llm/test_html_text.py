@@ -20,7 +20,12 @@ def text_of(html):
     ("<article><header><h1>T</h1><span>date</span></header>t</article>", "T t"), ("<p>a < b > c</p>", "a < b > c"),
     ("<article>a<!-- x > y -->b</article>", "ab"), ("<article title='a > b'>t</article>", "t"), ("<p hidden>a</p><p>b</p>", "b"),
     ("<ul><li class=ad>x<li>y</ul>", "y"), ("<article>cut <a href='x", "cut"), ("<script>never closed", ""), ("&am", "&am"),
-    ("<article><p>a\n\t b</p> <p>c</p></article>", "a b c"), ("<td>a<td>b", "a b"), ("x</div></p>y", "x y"),
+    ("<article><p>a\n\t b</p> <p>c</p></article>", "a b c"), ("<td>a<td>b", "a b"),
+    ("<body class='has-sidebar'><div class='page with-sidebar'><article>t</article></div></body>", "t"),
+    ("<div class='related'><article>teaser</article></div><article>t<div class='notice'>n</div></article>", "t"),
+    ("<article>t</article><section id='comments'><article class='comment'>c</article></section>", "t"),
+    ("<div class='sidebar'><p>s</p></div><p>t</p>", "t"), ("<article><div class='article-header'><h1>T</h1></div>t</article>", "T t"),
+    ("x</div></p>y", "x y"),
 ])
 def test_reader(html, want):
     assert text_of(html) == want
