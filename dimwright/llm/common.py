@@ -12,6 +12,8 @@ from pyspark.sql.types import StructField, StructType
 
 from dimwright.session import ensure_checkpoint_dir
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 #: rows of an Arrow batch that are turned into Python objects at a time
 SLICE_ROWS = 512
 
@@ -20,6 +22,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Put the folder of this package on the Python workers' path, as an environment variable of the context.
+
+    Needed where only the driver's own ``sys.path`` leads to it; harmless where the package is installed.
+    """
+    environment = spark.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _ROOT not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([*known, _ROOT])
+
+
 def add_columns(df: DataFrame, inputs: Sequence[str], fields: Sequence[StructField],
                 make: Callable[[], Callable], keep: Sequence[str] | None = None) -> DataFrame:
     """Append ``fields`` to the ``keep`` columns (default: all) of ``df``, computed in Arrow batches.
@@ -28,6 +41,7 @@ def add_columns(df: DataFrame, inputs: Sequence[str], fields: Sequence[StructFie
     new values per row).  A new column replaces an input column of the same name.  Rows,
     their order and partitioning stay as they are.
     """
+    let_workers_import(df.sparkSession)
     new = [f.name for f in fields]
     lowered = {n.lower() for n in new}
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in lowered]
@@ -75,7 +89,3 @@ def bounded_rows(df: DataFrame, limit: int, what: str) -> list:
     if len(rows) > limit:
         raise ValueError(f"{what}: more than {limit} rows")
     return rows
-
-
-def repo_path(*parts: str) -> str:
-    return os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), *parts)

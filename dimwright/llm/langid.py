@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
-from dimwright.llm.common import add_columns, bounded_rows, table
+from dimwright.llm.common import add_columns, bounded_rows, let_workers_import, table
 
 #: components of a vector; more languages than this are an error
 DIMENSION = 1024
@@ -140,6 +140,7 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict
                                           pa.array([list(v) for v in totals.values()], pa.list_(pa.float64()))],
                                          names=["lang", "total"])
 
+    let_workers_import(df.sparkSession)
     rows = df.select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"))
     rows = rows.filter("lang is not null and text is not null")
     sums = (rows.mapInArrow(run, schema).select("lang", F.posexplode("total").alias("at", "x"))
