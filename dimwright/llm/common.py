@@ -15,7 +15,7 @@ from dimwright.session import ensure_checkpoint_dir
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 #: rows of an Arrow batch that are turned into Python objects at a time
-SLICE_ROWS = 512
+SLICE_ROWS = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -28,8 +28,8 @@ DIMENSION = 1024
 MAX_LANGUAGES = 2000
 #: trigrams whose vectors are held at a time, and characters of text read at a time
 BLOCK_GRAMS = 4096
-STEP_CHARS = 1 << 20
-STEP_TEXTS = 256
+STEP_CHARS = 1 << 19
+STEP_TEXTS = 128
 
 UNKNOWN = "und"
 _SPACE = 32

@@ -36,7 +36,7 @@ STEP_ELEMENTS = 1 << 16
 #: bins of the shingle counts, and members of a tile
 BINS, TILE = 256, 256
 #: distinct words remembered per worker
-MAX_WORDS = 600_000
+MAX_WORDS = 250_000
 #: texts shingled together
 STEP_TEXTS = 64
 
