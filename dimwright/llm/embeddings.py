@@ -1,16 +1,18 @@
 """Embedding near-duplicates over an inverted multi-index.
 
 The two halves of the unit vectors get independent codebooks (k-means on a bounded sample); the
-pair of nearest centroids is a vector's cell in the product grid.  From each vector a
-multi-sequence traversal visits cells in the order of summed half distances.  How many cells it
-visits is set by the target recall: on the sample, whose links are known by brute force, it is
-the number that reaches the home cells of that share of linked partners (and all cells if
-the sample shows too few links).  Every member of a visited cell is compared exactly, in double precision.
-
-Vectors with equal components are one node with a weight, so groups of copies cost nothing.  The work
-of a cell is cut into tiles of at most ``TILE`` members by ``TILE`` visitors, however many a cell
-has.  A tile reports, for each of its vectors with a link, how many it links with and the smallest node
-it is connected with inside the tile; these stars keep every link's connection, so their
+pair of nearest centroids is a vector's cell in the product grid.  Each vector visits every cell that
+can hold a linked partner: a half of a partner lies on its centroid's side of the plane between that centroid and
+any other, so the vector's distance from the farthest such plane bounds the distance of the halves from below, and a
+cell is left out only if the bounds of its two halves add up to more than linked vectors can be apart.
+The bound is exact: no link is lost, whatever the groups of the table, and both ends of a link meet.  Every
+member of a visited cell is compared exactly, in double precision.
+
+Vectors with equal components are one node with a weight, so groups of copies cost nothing.  Small cells
+are packed into blocks, large ones cut into several.  A vector is sent to the tile of its own block
+with each block it visits, and a tile compares its two sides in chunks of ``TILE``, every pair once, for both
+ends.  A tile reports, for each of its vectors with a link, how many it links with, and the smallest nodes it came to
+be connected with inside the tile; these stars keep every link's connection, so their
 components are those of all links.
 
 Null and empty vectors, zero vectors and vectors with null or non-finite components link with nothing; so
@@ -27,17 +29,18 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stru
 from dimwright.llm.common import add_columns, bounded_rows, save_table, table
 from dimwright.llm.graph import connected_components
 
-#: sample for the codebooks and for setting the number of visited cells: rows, and bytes at most
+#: sample for the codebooks: rows, and bytes at most
 SAMPLE_ROWS, SAMPLE_BYTES = 16_000, 1 << 25
-#: sample vectors whose true links are looked up
-SAMPLE_QUERIES = 4_000
 #: nodes in an average cell, and the largest codebook
 CELL_ROWS, MAX_CENTROIDS = 200, 128
-TARGET_RECALL = 0.9995
-#: links of the sample needed to trust it
+#: without effect (no visit depends on a sample's links); set by a test
 MIN_SAMPLE_LINKS = 50
-#: members and visitors of a tile
+#: room for rounding in squared distances
+SLACK = 1e-9
+#: vectors compared with as many others at a time
 TILE = 512
+#: least number of blocks (work for all cores), and bytes of vectors in a block at most
+BLOCKS, BLOCK_BYTES = 6, 1 << 23
 #: different vector lengths in one table
 MAX_LENGTHS = 64
 
@@ -65,9 +68,9 @@ def half_distances(x, centroids):
 
 
 class MultiIndex:
-    """Codebooks of the two halves, and the cells visited."""
+    """Codebooks of the two halves, and the cells that links can reach."""
 
-    def __init__(self, sample, n_nodes: int, threshold: float, recall: float = TARGET_RECALL):
+    def __init__(self, sample, n_nodes: int, threshold: float):
         import numpy as np
 
         d = sample.shape[1]
@@ -76,46 +79,31 @@ class MultiIndex:
         halves = sample[:, :self.cut], sample[:, self.cut:]
         self.books = [kmeans(h, min(k, len(sample))) for h in halves]
         self.cells = len(self.books[0]) * len(self.books[1])
-        self.visits = self.cells
-        if self.cells > 1:
-            self.visits = self._visits(sample, threshold, recall)
+        # a centroid has no plane with itself or an equal one
+        gaps = [np.sqrt(((b[:, None, :] - b[None, :, :]) ** 2).sum(axis=2)) for b in self.books]
+        self.gaps = [np.where(g > 1e-6, 2 * g, np.inf) for g in gaps]
+        #: squared distance of unit vectors at the threshold
+        self.reach = 2 - 2 * threshold + SLACK
 
     def distances(self, x):
         return half_distances(x[:, :self.cut], self.books[0]), half_distances(x[:, self.cut:], self.books[1])
 
-    def order(self, x, n: int):
-        """The first ``n`` cells of each row's traversal: cells by summed half distances, ties by number."""
-        import numpy as np
-
-        a, b = self.distances(x)
-        total = (a[:, :, None] + b[:, None, :]).reshape(len(x), -1)
-        if n >= total.shape[1]:
-            return np.argsort(total, axis=1, kind="stable")
-        some = np.argpartition(total, n - 1, axis=1)[:, :n]
-        return np.take_along_axis(some, np.argsort(np.take_along_axis(total, some, 1), axis=1, kind="stable"), 1)
-
     def home(self, x):
         a, b = self.distances(x)
         return a.argmin(axis=1) * len(self.books[1]) + b.argmin(axis=1)
 
-    def _visits(self, sample, threshold: float, recall: float) -> int:
-        """Cells to visit so that ``recall`` of the sample's linked partners are met."""
+    def place(self, x):
+        """Home cell of each row, and the cells that hold every vector linked with it."""
         import numpy as np
 
-        home, ranks = self.home(sample), []
-        for lo in range(0, min(len(sample), SAMPLE_QUERIES), 256):
-            q = sample[lo:lo + 256]
-            i, j = np.nonzero(q @ sample.T >= threshold)
-            i, j = i[i + lo != j], j[i + lo != j]
-            if len(i):
-                place = np.empty((len(q), self.cells), np.int32)
-                np.put_along_axis(place, self.order(q, self.cells), np.arange(self.cells, dtype=np.int32)[None, :], 1)
-                ranks.append(place[i, home[j]])
-        ranks = np.concatenate(ranks) if ranks else np.array([])
-        if len(ranks) < MIN_SAMPLE_LINKS:
-            return self.cells
-        # a margin for what the sample does not show
-        return int(min(self.cells, 2 * np.ceil(np.quantile(ranks, recall) + 1) + 4))
+        near, least = [], []
+        for dist, gap in zip(self.distances(x), self.gaps):
+            near.append(dist.argmin(axis=1))
+            # of all planes beyond which a centroid's vectors lie, the farthest
+            beyond = ((dist[:, :, None] - dist[:, None, :]) / gap).max(axis=2)
+            least.append(np.maximum(beyond - SLACK, 0) ** 2)
+        open_ = (least[0][:, :, None] + least[1][:, None, :] <= self.reach).reshape(len(x), -1)
+        return near[0] * len(self.books[1]) + near[1], [np.flatnonzero(o) for o in open_]
 
 
 def unpack(blobs):
@@ -124,35 +112,80 @@ def unpack(blobs):
     return np.frombuffer(b"".join(blobs), np.float64).reshape(len(blobs), -1) if len(blobs) else np.zeros((0, 0))
 
 
-def link_tile(members, visitors, threshold: float):
-    """Links between two groups of (node, weight, vector): per node of either side (node, copies it links with as
-    visitor, smallest node connected inside the tile)."""
+class Blocks:
+    """Blocks of the cells: the first block of each cell, and how many blocks start there (a large cell's parts)."""
+
+    def __init__(self, members: dict[int, int], cells: int, rows: int, start: int):
+        import numpy as np
+
+        self.first, self.width = np.empty(cells, np.int64), {}
+        self.end, filled = start, rows + 1
+        for c in range(cells):
+            n = members.get(c, 0)
+            if filled + n > rows:
+                parts = max(1, -(-n // rows))
+                self.width[self.end], self.open = parts, self.end
+                self.end, filled = self.end + parts, rows if parts > 1 else 0
+            self.first[c], filled = self.open, filled + n
+
+    def own(self, cell: int, node: int) -> int:
+        first = int(self.first[cell])
+        return first + (node * 0x9E3779B97F4A7C15 >> 29) % self.width[first]
+
+    def of(self, cells) -> list[int]:
+        """All blocks of some cells."""
+        import numpy as np
+
+        return [b for f in np.unique(self.first[cells]).tolist() for b in range(f, f + self.width[f])]
+
+
+def link_tile(left, right, threshold: float):
+    """Links between two blocks of (node, weight, vector), or inside one (``right`` is None): rows of (node, copies it
+    links with, itself) and (node, 0, smaller node connected inside the tile)."""
     import numpy as np
 
-    (m_id, m_weight, m), (v_id, _, v) = members, visitors
-    hit = (v @ m.T >= threshold) & (v_id[:, None] != m_id[None, :])
-    rows, cols = hit.any(axis=1), hit.any(axis=0)
-    hit, v_id, m_id = hit[rows][:, cols], v_id[rows], m_id[cols]
-    if not len(v_id):
-        return []
-    links = hit @ m_weight[cols]
-    v_least, m_least = v_id.copy(), m_id.copy()
-    big = np.iinfo(np.int64).max
-    while True:
-        new_v = np.minimum(v_least, np.where(hit, m_least[None, :], big).min(axis=1))
-        new_m = np.minimum(m_least, np.where(hit, new_v[:, None], big).min(axis=0))
-        if (new_v == v_least).all() and (new_m == m_least).all():
-            break
-        v_least, m_least = new_v, new_m
-    return (list(zip(v_id.tolist(), links.tolist(), v_least.tolist()))
-            + [(n, 0, r) for n, r in zip(m_id.tolist(), m_least.tolist())])
+    one = right is None
+    l_id, l_weight, l = left
+    r_id, r_weight, r = left if one else right
+    l_least, l_links = l_id.copy(), np.zeros(len(l_id), np.int64)
+    r_least, r_links = (l_least, l_links) if one else (r_id.copy(), np.zeros(len(r_id), np.int64))
+    big, out = np.iinfo(np.int64).max, []
+    for i in range(0, len(l_id), TILE):
+        for j in range(i if one else 0, len(r_id), TILE):
+            hit = l[i:i + TILE] @ r[j:j + TILE].T >= threshold
+            twice = one and i == j  # both ends of a link are among the rows
+            if twice:
+                np.fill_diagonal(hit, False)
+            rows, cols = np.flatnonzero(hit.any(axis=1)), np.flatnonzero(hit.any(axis=0))
+            if not len(rows):
+                continue
+            hit = hit[rows][:, cols]
+            rows, cols = rows + i, cols + j
+            l_links[rows] += hit @ r_weight[cols]
+            if not twice:
+                r_links[cols] += l_weight[rows] @ hit
+            v, m = l_least[rows], r_least[cols]
+            while True:
+                new_v = np.minimum(v, np.where(hit, m[None, :], big).min(axis=1))
+                new_m = np.minimum(m, np.where(hit, new_v[:, None], big).min(axis=0))
+                if (new_v == v).all() and (new_m == m).all():
+                    break
+                v, m = new_v, new_m
+            # every fall of a label is a star's ray: the label before stays connected through its own
+            for at, ids, least, new in ((rows, l_id, l_least, v), (cols, r_id, r_least, m)):
+                fell = new < least[at]
+                out += zip(ids[at[fell]].tolist(), [0] * int(fell.sum()), new[fell].tolist())
+                least[at] = np.minimum(least[at], new)
+    for ids, links in ((l_id, l_links),) if one else ((l_id, l_links), (r_id, r_links)):
+        some = links > 0
+        out += zip(ids[some].tolist(), links[some].tolist(), ids[some].tolist())
+    return out
 
 
 UNIT = [StructField("dim", IntegerType()), StructField("unit", BinaryType())]
 
 
-def link_embeddings(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.9,
-                    recall: float = TARGET_RECALL) -> DataFrame:
+def link_embeddings(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.9) -> DataFrame:
     """``id_col`` (as ``vec_id``), ``n_links``, ``component_id``, ``kept`` per row of ``df``."""
 
     def unit():
@@ -186,58 +219,59 @@ def link_embeddings(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     for dim, n in sizes.items():
         sample = nodes.filter(F.col("dim") == dim).orderBy(F.xxhash64(F.lit(5), "u1", "u2"), "u1", "u2").limit(
             max(1, min(SAMPLE_ROWS, SAMPLE_BYTES // (8 * dim))))
-        index[dim] = MultiIndex(unpack([bytes(r["unit"]) for r in sample.select("unit").collect()]), n, threshold, recall)
-
-    cells = ArrayType(LongType())
-
-    def place():
-        import numpy as np
+        index[dim] = MultiIndex(unpack([bytes(r["unit"]) for r in sample.select("unit").collect()]), n, threshold)
 
+    def home():
         def fn(dims, units):
             out = [None] * len(dims)
             for dim in set(dims):
                 at = [i for i, d in enumerate(dims) if d == dim]
-                ix = index[dim]
-                for lo in range(0, len(at), 128):
-                    part = at[lo:lo + 128]
-                    x = unpack([units[i] for i in part])
-                    base = np.int64(dim) << np.int64(32)
-                    for i, home, visits in zip(part, ix.home(x), ix.order(x, ix.visits)):
-                        out[i] = (int(base + home), (base + visits).tolist())
+                for i, cell in zip(at, index[dim].home(unpack([units[i] for i in at]))):
+                    out[i] = (int(cell),)
             return out
 
         return fn
 
-    placed = save_table(add_columns(nodes, ["dim", "unit"], [StructField("home", LongType()), StructField("visits", cells)], place,
-                                    keep=["node", "weight", "unit"]), "placed-vectors")
-    # tiles: members of a cell in blocks, visitors in blocks; the counts have a row per cell, of a bounded grid
-    n_members = placed.groupBy("home").agg(F.count(F.lit(1)).alias("n_members")).withColumnRenamed("home", "cell")
-    visits = placed.select("node", F.explode("visits").alias("cell"))
-    n_visitors = visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n_visitors"))
-    blocks = lambda n: F.ceil(F.col(n) / F.lit(TILE)).cast("int")
-    grid = save_table(n_members.join(n_visitors, "cell").select("cell", blocks("n_members").alias("mb"), blocks("n_visitors").alias("vb")),
-                      "cells")
+    # members of each cell, of a bounded grid
+    counts = bounded_rows(add_columns(nodes, ["dim", "unit"], [StructField("cell", LongType())], home, keep=["dim"]).groupBy("dim", "cell").count(),
+                          MAX_LENGTHS * MAX_CENTROIDS ** 2, "cells")
+    blocks, end = {}, 0
+    for dim, n in sizes.items():
+        rows_ = max(TILE, min(-(-n // BLOCKS), BLOCK_BYTES // (8 * dim)))
+        blocks[dim] = Blocks({r["cell"]: r["count"] for r in counts if r["dim"] == dim}, index[dim].cells, rows_, end)
+        end = blocks[dim].end
 
-    def block(n: str):
-        return F.pmod(F.xxhash64(F.lit(3), "node"), F.col(n)).cast("int")
+    def place():
+        def fn(ids, dims, units):
+            out = [None] * len(dims)
+            for dim in set(dims):
+                at = [i for i, d in enumerate(dims) if d == dim]
+                for lo in range(0, len(at), 128):
+                    part = at[lo:lo + 128]
+                    for i, cell, visits in zip(part, *index[dim].place(unpack([units[i] for i in part]))):
+                        own = blocks[dim].own(int(cell), ids[i])
+                        out[i] = (own, sorted({own, *blocks[dim].of(visits)}))
+            return out
 
-    def every(n: str):
-        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        return fn
 
-    members = (placed.select("node", "weight", "unit", F.col("home").alias("cell")).join(grid, "cell")
-               .select("cell", block("mb").alias("m"), every("vb").alias("v"), F.lit(True).alias("member"), "node", "weight", "unit"))
-    visitors = (placed.select("node", "weight", "unit", F.explode("visits").alias("cell")).join(grid, "cell")
-                .select("cell", every("mb").alias("m"), block("vb").alias("v"), F.lit(False).alias("member"), "node", "weight", "unit"))
+    placed = add_columns(nodes, ["node", "dim", "unit"], [StructField("own", LongType()), StructField("visits", ArrayType(LongType()))],
+                         place, keep=["node", "weight", "unit"])
+    sides = placed.select("node", "weight", "unit", "own", F.explode("visits").alias("other")).select(
+        F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), (F.col("own") <= F.col("other")).alias("left"),
+        "node", "weight", "unit")
 
     def tile(pdf):
         import pandas as pd
 
-        sides = [(g["node"].to_numpy(), g["weight"].to_numpy(), unpack([bytes(b) for b in g["unit"]]))
-                 for g in (pdf[pdf["member"]], pdf[~pdf["member"]])]
-        found = link_tile(*sides, threshold) if len(sides[0][0]) and len(sides[1][0]) else []
+        pdf = pdf.sort_values("node")
+        left, right = [(g["node"].to_numpy(), g["weight"].to_numpy(), unpack([bytes(b) for b in g["unit"]]))
+                       for g in (pdf[pdf["left"]], pdf[~pdf["left"]])]
+        one = pdf["low"].iloc[0] == pdf["high"].iloc[0]
+        found = link_tile(left, None if one else right, threshold) if one or len(left[0]) and len(right[0]) else []
         return pd.DataFrame(found, columns=["node", "links", "least"]).astype("int64")
 
-    stars = save_table(members.unionByName(visitors).groupBy("cell", "m", "v").applyInPandas(
+    stars = save_table(sides.groupBy("low", "high").applyInPandas(
         tile, StructType([StructField(c, LongType()) for c in ("node", "links", "least")])), "tile-links")
     labels = connected_components(stars.filter("node != least"), "node", "least")
     counts = stars.groupBy("node").agg(F.sum("links").alias("links"))

@@ -79,3 +79,39 @@ def test_workers_get_the_package_path(spark):
     let_workers_import(spark)
     let_workers_import(spark)
     assert spark.sparkContext.environment["PYTHONPATH"].split(":").count(_ROOT) == 1
+
+
+def grouped(seed=4, d=16):
+    """A third of all vectors are tight copies of one; the others are pairs near cosine 0.9."""
+    rng = np.random.default_rng(seed)
+    hot, x = rng.normal(size=d), rng.normal(size=(1200, d))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    u = rng.normal(size=x.shape)
+    u -= (u * x).sum(axis=1)[:, None] * x
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    c = rng.uniform(0.9, 0.92, (len(x), 1))
+    return np.concatenate([hot + rng.normal(size=(1200, d)) * 0.001, x, c * x + np.sqrt(1 - c * c) * u])
+
+
+def test_a_hot_group_does_not_hide_small_groups(spark):
+    """No link of the small groups may be lost for the many links of the hot one."""
+    x = grouped()
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in E.link_embeddings(spark.createDataFrame(
+        [(i, [float(c) for c in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>")).collect()}
+    x = x / np.linalg.norm(x, axis=1)[:, None]
+    hit = x @ x.T >= 0.9
+    comp = components(list(range(len(x))), [(int(a), int(b)) for a, b in zip(*np.nonzero(hit[1200:])) for a in [a + 1200]]
+                      + [(0, i) for i in range(1200)])
+    assert hit[:1200, :1200].all() and hit[1200:].sum() > 3600
+    assert got == {i: (int(n) - 1, comp[i]) for i, n in enumerate(hit.sum(axis=1))}
+
+
+def test_cells_left_out_hold_no_link():
+    x = grouped(5)
+    x = x / np.linalg.norm(x, axis=1)[:, None]
+    index = E.MultiIndex(x[::3], 200_000, 0.9)
+    home, visits = index.place(x)
+    assert sum(map(len, visits)) < 0.7 * len(x) * len(index.books[0]) * len(index.books[1])
+    for lo in range(0, len(x), 600):
+        for a, b in zip(*np.nonzero(x[lo:lo + 600] @ x.T >= 0.9)):
+            assert home[b] in visits[lo + a]
