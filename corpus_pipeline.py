@@ -35,10 +35,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: rows whose id is kept; a null id stays if its group has no id."""
-    found = minhash.near_duplicates(docs, width=SHINGLE_WORDS, similarity=SIMILARITY)
-    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
+    """One document of each group, decided per row: the smallest id; a row without an id only if its group has no id."""
+    return minhash.one_of_each_group(docs, width=SHINGLE_WORDS, similarity=SIMILARITY)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

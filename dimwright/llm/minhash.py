@@ -182,12 +182,45 @@ def admitted(outside, members, num: int, den: int) -> list[tuple[int, int]]:
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
                     similarity: tuple[int, int] = (4, 5), bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``id_col`` (as ``doc_id``), ``n_shingles``, ``component_id``, ``kept`` per row of ``df``.
+    """``id_col`` (as ``doc_id``), ``n_shingles``, ``component_id``, ``kept`` per row of ``df``."""
+    signed, placed = _groups(df, id_col, text_col, width, similarity, bands, rows, [])
+    # the smallest id of every component, for every document
+    least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    of_set = placed.select("s1", "s2", "component").join(least, "component").select("s1", "s2", "component_id")
+    out = signed.select("doc_id", "n_shingles", "s1", "s2").join(of_set, ["s1", "s2"], "left")
+    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"),
+                      component.eqNullSafe(F.col("doc_id")).alias("kept"))
+
+
+def one_of_each_group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
+                      similarity: tuple[int, int] = (4, 5), bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """The rows of ``df`` without their near duplicates, decided per row: of each component the document with the
+    smallest id (then by a hash of its text) stays.  Rows with one id and one text are one document; rows without an
+    id are a document each, and one of them stays only if no row of the component has an id.  Empty texts stay."""
+    signed, placed = _groups(df.withColumn("__columns", F.struct(*[F.col(f"`{c}`") for c in df.columns])), id_col, text_col, width,
+                             similarity, bands, rows, ["__columns"])
+    # numbers are given once, as `signed` was written
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t1", "t2",
+                    F.when(F.col("doc_id").isNull(), F.col("row")).otherwise(F.lit(0)).alias("tie"))
+    component = placed.select("s1", "s2", "component")
+    ranked = signed.withColumn("rank", rank).filter("n_shingles > 0")
+    first = ranked.groupBy("s1", "s2").agg(F.min("rank").alias("first")).join(component, ["s1", "s2"])
+    first = first.groupBy("component").agg(F.min("first").alias("first"))
+    left = ranked.join(first.select(F.col("first").alias("rank")), "rank", "left_semi")
+    return left.select("__columns.*").unionByName(signed.filter("n_shingles = 0").select("__columns.*"))
+
+
+def _groups(df: DataFrame, id_col: str, text_col: str, width: int, similarity: tuple[int, int], bands: int, rows: int,
+            keep: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The signed rows (doc_id, ``keep``, row, text hashes t1 and t2, n_shingles, s1, s2) and the distinct sets (s1, s2,
+    doc_id: smallest, component).
 
     ``similarity`` is a fraction: sets link if ``den * |both| >= num * |either|``.
     """
     num, den = similarity
-    docs = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    docs = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), *keep).withColumns(
+        {"t1": F.xxhash64("text"), "t2": F.xxhash64(F.lit(1), "text")})
 
     def sign():
         hashes = WordHashes()
@@ -199,7 +232,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
         return fn
 
-    signed = save_table(add_columns(docs, ["text"], SIGNATURE, sign, keep=["doc_id"]), "signatures")
+    signed = save_table(add_columns(docs, ["text"], SIGNATURE, sign, keep=["doc_id", *keep, "t1", "t2"])
+                        .withColumn("row", F.monotonically_increasing_id()), "signatures")
     nodes = (signed.filter("n_shingles > 0").groupBy("s1", "s2")
              .agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"), F.min("bands").alias("bands")))
     # numbers are given once, as the rows are written
@@ -290,14 +324,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if not found.isEmpty():
         labels = connected_components(links.unionByName(found))
 
-    # the smallest id of every component, for every document
-    placed = nodes.join(labels, "node", "left").select("s1", "s2", "doc_id", F.coalesce("component", "node").alias("component"))
-    least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    of_set = placed.select("s1", "s2", "component").join(least, "component").select("s1", "s2", "component_id")
-    out = signed.select("doc_id", "n_shingles", "s1", "s2").join(of_set, ["s1", "s2"], "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      component.eqNullSafe(F.col("doc_id")).alias("kept"))
+    return signed, nodes.join(labels, "node", "left").select("s1", "s2", "doc_id", F.coalesce("component", "node").alias("component"))
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

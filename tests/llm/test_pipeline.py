@@ -66,3 +66,17 @@ def test_odd_rows(spark):
     empty = spark.createDataFrame([], schema)
     for name, stage in P.STAGES:
         assert stage(spark, empty, "/root/testdata/sf0.001").count() == 0
+
+
+def test_near_dedup_decides_per_row(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    texts = [" ".join(f"{t}{i}" for i in range(40)) for t in "abcdefg"]
+    a, b, c, d, e, f, g = texts
+    rows = [(1, a), (None, a), (None, b), (None, c), (None, c), (None, c + " end"), (5, d), (4, e), (5, e), (6, f), (6, f), (8, g), (8, g + " end"),
+            (None, ""), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], schema)
+    got = sorted(((r["doc_id"], r["text"]) for r in P.near_dedup(spark, docs, "").collect()), key=repr)
+    # one of the rows without an id that hold c; one of the texts of 8; rows equal in id and text are one document
+    left = [r for r in got if r[1] not in (c, c + " end", g, g + " end")]
+    assert left == sorted([(1, a), (None, b), (5, d), (4, e), (6, f), (6, f), (None, ""), (None, "")], key=repr)
+    assert [r[0] for r in got if r not in left] == [8, None]
