@@ -60,7 +60,9 @@ ARTICLE_NAMES = frozenset(("header",))
 #: names that also stand on wrappers of the whole page ("with-sidebar"): an article or main inside counts all the same
 WRAPPER_NAMES = frozenset("header footer nav navbar navigation menu sidebar sidenav banner masthead toolbar social share sharing search "
                           "login skip hidden".split())
-KEEP, WEAK, STRONG = 0, 1, 2
+KEEP, WEAK, NAMED, STRONG = 0, 1, 2, 3
+#: never dropped for a class or id word
+MAIN_PARTS = frozenset("html body main article".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -82,7 +84,7 @@ class Frame:
 
 
 def boilerplate(tag: str, attributes: str, in_article: bool) -> int:
-    """KEEP, WEAK (a name that wrappers carry too) or STRONG."""
+    """KEEP, WEAK (a name that wrappers carry too), NAMED (another name) or STRONG."""
     if tag in DROPPED:
         return STRONG
     found = KEEP
@@ -93,9 +95,9 @@ def boilerplate(tag: str, attributes: str, in_article: bool) -> int:
                 names = DROPPED_NAMES.intersection(_NAME.findall(value))
                 if in_article:
                     names -= ARTICLE_NAMES
-                if names - WRAPPER_NAMES:
-                    return STRONG
-                found = max(found, WEAK if names and tag not in ("html", "body") else KEEP)
+                # an article inside an article (a comment, say) is a part like others
+                if names and (tag not in MAIN_PARTS or tag == "article" and in_article):
+                    found = max(found, NAMED if names - WRAPPER_NAMES else WEAK)
             elif name == "role" and value in DROPPED_ROLES:
                 return STRONG
             elif (name == "hidden" or (name == "aria-hidden" and value == "true")
@@ -107,13 +109,15 @@ def boilerplate(tag: str, attributes: str, in_article: bool) -> int:
 class Page:
     """Blocks of a page in order: [text, article, main, hashes of the containers around it]; and all subtree hashes."""
 
-    def __init__(self, html: str):
+    def __init__(self, html: str, lift: int = WEAK):
+        """``lift``: how strong a wrapper's drop may be for an article inside to count all the same."""
         from xxhash import xxh3_64_intdigest
 
         self.digest = xxh3_64_intdigest
         self.blocks, self.buffer = [], []
         self.subtrees: set[int] = set()
-        self.article = self.main = False
+        self.article = self.main = self.wrapped = False
+        self.lift = lift
         root = Frame("", KEEP, False, False, 0, False)
         self.stack = [root]
         for m in _TOKEN.finditer(html):
@@ -157,8 +161,9 @@ class Page:
             return
         own, head = boilerplate(tag, attributes, top.article), top.head
         drop = max(top.drop, own)
-        if tag in ("article", "main") and own == KEEP and top.drop == WEAK:
+        if tag in ("article", "main") and own == KEEP and top.drop <= (NAMED if tag == "main" else self.lift):
             drop = KEEP
+        self.wrapped |= tag == "article" and drop == NAMED
         if tag == "header" and top.article and not top.drop:
             head = True
         if head and tag in HEADINGS:
@@ -210,6 +215,11 @@ def read_page(html: str | None, url: str | None):
     m = _HOST.match(url or "")
     host = m.group(1).lower() if m else ""
     page = Page(html or "")
+    if page.wrapped and not page.article:
+        # an article only inside a wrapper with a dropped name: it counts unless there is more text outside
+        other = Page(html, NAMED)
+        if sum(len(b[0]) for b in other.blocks if b[1]) > sum(len(b[0]) for b in page.blocks if b[2] or not page.main):
+            page = other
     place = 1 if page.article else 2 if page.main else 0
     blocks = [b for b in page.blocks if not place or b[place]]
     page_hash = page.digest("\x1f".join(b[0] for b in blocks).encode("utf-8", "surrogatepass")) - (1 << 63)

@@ -69,3 +69,15 @@ def test_query(spark):
         body = unescape(re.sub(r"</?b>", "", re.sub(r"</?(?:p|br|h1)>", " ", body)))
         want = " ".join(body.split())
         assert got[page] == (url, want, len(want))
+
+
+@pytest.mark.parametrize("html,want", [
+    ("<body class='single no-comments'><article>t</article></body>", "t"), ("<html class='no-ads'><p>t</p></html>", "t"),
+    ("<div id='page' class='has-widgets cookie-consent'><article>t<div class='ad'>n</div></article></div>", "t"),
+    ("<div class='cookie-consent'><main>t</main></div>", "t"), ("<main class='has-popup'>t</main>", "t"),
+    ("<article class='post comments-open category-advertising'>t</article>", "t"),
+    ("<div class='related'><article>teaser</article></div><p>the text of the page</p>", "the text of the page"),
+    ("<div class='no-ads' hidden><article>a</article></div><p>t</p>", "t"), ("<article>t<article class='comment'>c</article></article>", "t"),
+])
+def test_class_words_of_wrappers(html, want):
+    assert text_of(html) == want
