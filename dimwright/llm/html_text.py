@@ -66,7 +66,8 @@ MAIN_PARTS = frozenset("html body main article".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<({'|'.join(RAW.split())})\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(?:svg|math)(?:[\s/][^>]*)?/>"
+    rf"|<({'|'.join(RAW.split())})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^<>\"']*+(?:\"[^\"]*\"[^<>\"']*+|'[^']*'[^<>\"']*+)*+)>"
     r"|<[!?/a-zA-Z][^>]*(?:>|\Z)"
     r"|[^<]+|<", re.S | re.I)

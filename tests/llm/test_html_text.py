@@ -81,3 +81,12 @@ def test_query(spark):
 ])
 def test_class_words_of_wrappers(html, want):
     assert text_of(html) == want
+
+
+@pytest.mark.parametrize("html,want", [
+    ("<svg class='icon'/><math/><article>t</article>", "t"), ("<svg/><p>a</p><svg><path d='x'/><text>n</text></svg><p>b</p>", "a b"),
+    ("<title-bar>a</title-bar><object-view>b</object-view><p>c</p>", "ab c"), ("<title>n</title><p>c</p>", "c"),
+    ("<svg\nclass='i' /><p>c</p>", "c"),
+])
+def test_raw_elements_end(html, want):
+    assert text_of(html) == want
