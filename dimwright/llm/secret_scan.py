@@ -4,8 +4,10 @@ Candidate strings are runs of key-like characters.  A window slides over each; i
 counts change by one in and one out per step, and with them the sum of c*log2(c) from
 which the entropy follows.  Every character class (hex, letters and digits, base64) has its own
 alphabet and threshold.  Windows above their threshold are merged into spans of kind
-``entropy`` unless the allow list knows the string (identifiers, runs of the alphabet,
-plain words, documentation samples) or a pattern span already covers it.
+``entropy``.  Pattern spans are cut out of a candidate first, as are its delimited pieces that hold a word of
+documentation samples; what is left counts by itself unless the allow list knows it (identifiers, runs of
+the alphabet, plain words).  A string shorter than a window is one window, its threshold lowered with the
+largest entropy of its length.
 
 Null and empty texts have no spans.  Ties: spans are ordered by start, then kind as listed in
 ``KINDS``.  Repeated rows give repeated results; columns named like a result are replaced.
@@ -27,6 +29,8 @@ KINDS = BASE_KINDS + ("entropy",)
 
 #: characters in a window, and the entropy (bits) from which a window of a class counts
 WINDOW = 24
+#: characters of the shortest candidate
+SHORTEST = 16
 #: class name, its characters, threshold; the first class that holds every character applies
 CLASSES = (
     ("hex", frozenset("0123456789abcdefABCDEF"), 3.0),
@@ -38,7 +42,8 @@ _ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=
 _ASSIGN_HINT = re.compile(r"pass|secret|token|api", re.I)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
-_CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,}")
+_CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+_PIECE = re.compile(r"[A-Za-z0-9]+")
 
 _ALLOWED = re.compile(
     r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"  # identifier in uuid form
@@ -61,22 +66,24 @@ def window_class(counts: dict[str, int]) -> float:
 
 def entropy_spans(text: str) -> list[tuple[int, int]]:
     """Merged windows of high entropy inside one candidate string."""
+    window = max(1, min(WINDOW, len(text)))
+    most, scale = math.log2(window), math.log2(window) / math.log2(WINDOW)
     counts: dict[str, int] = {}
     total, out = 0.0, []
     for i, ch in enumerate(text):
         c = counts.get(ch, 0)
         total += _CLOGC[c + 1] - _CLOGC[c]
         counts[ch] = c + 1
-        if i >= WINDOW:
-            old = text[i - WINDOW]
+        if i >= window:
+            old = text[i - window]
             c = counts[old]
             total += _CLOGC[c - 1] - _CLOGC[c]
             if c == 1:
                 del counts[old]
             else:
                 counts[old] = c - 1
-        if i >= WINDOW - 1 and math.log2(WINDOW) - total / WINDOW >= window_class(counts):
-            start = i - WINDOW + 1
+        if i >= window - 1 and most - total / window >= window_class(counts) * scale:
+            start = i - window + 1
             if out and start <= out[-1][1]:
                 out[-1] = (out[-1][0], i + 1)
             else:
@@ -84,8 +91,22 @@ def entropy_spans(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def allowed(candidate: str) -> bool:
-    return bool(_ALLOWED.fullmatch(candidate) or _SAMPLE.search(candidate))
+def sample_spans(text: str) -> list[tuple[int, int]]:
+    """Delimited pieces that hold a sample's word and less than two windows besides (in more it stands by chance)."""
+    if not _SAMPLE.search(text):
+        return []
+    return [p.span() for p in _PIECE.finditer(text)
+            if (found := _SAMPLE.findall(p.group())) and len(p.group()) - sum(map(len, found)) < 2 * WINDOW]
+
+
+def remainders(start: int, end: int, cuts: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What of a span lies outside all (ordered) cuts."""
+    out = []
+    for a, b in cuts:
+        if a < end and start < b:
+            out.append((start, a))
+            start = b
+    return [(a, b) for a, b in out + [(start, end)] if a < b]
 
 
 def scan(text: str | None) -> list[tuple[str, int, int, bool]]:
@@ -100,12 +121,13 @@ def scan(text: str | None) -> list[tuple[str, int, int, bool]]:
     found += [("hex", *m.span(), True) for m in _HEX.finditer(text)]
     covered = sorted((s, e) for _, s, e, _ in found)
     for m in _CANDIDATE.finditer(text):
-        if allowed(m.group()):
+        if _ALLOWED.fullmatch(m.group()):
             continue
-        for s, e in entropy_spans(m.group()):
-            s, e = s + m.start(), e + m.start()
-            if not any(a < e and s < b for a, b in covered):
-                found.append(("entropy", s, e, False))
+        cuts = sorted(covered + [(s + m.start(), e + m.start()) for s, e in sample_spans(m.group())])
+        for start, end in remainders(*m.span(), cuts):
+            start += len(text[start:end]) - len(text[start:end].lstrip("+/_=-")) if start > m.start() else 0
+            if end - start >= SHORTEST and not _ALLOWED.fullmatch(text, start, end):
+                found += [("entropy", s + start, e + start, False) for s, e in entropy_spans(text[start:end])]
     return sorted(found, key=lambda f: (f[1], KINDS.index(f[0]), f[2]))
 
 

@@ -86,3 +86,16 @@ def test_reliabilities_follow_the_votes():
     assert model["probability"]["card|+++++|2"] > 0.9 > 0.5 > model["probability"]["card|--0-+|2"]
     assert model["reliability"]["card.check"] > 0.9
     assert pii.fit_cells({}) == {"reliability": {}, "probability": {}}
+
+
+def test_entropy_beside_patterns_and_samples():
+    key = "tQ7rP0xV9mZk3LwY8sBn2HcF6dJg4RaEuT5oXi1C"
+    long = "Qm4vZ8kT1xRb7NcY3wLs9HfJ2pGd6V" + "dummy" + "Ke5uAa0XoWi8ZtMq1rBn4SyCh7DlPg"
+    for text, secret in ((f"AKIA{'Q7' * 8}/{key}", key), ("deadbeef" * 5 + "-" + key, key), (f"/sample/{key}", key), (f"see {long} .", long),
+                         ("use k9Xf2LmQ8vRt4ZpW now", "k9Xf2LmQ8vRt4ZpW"), ("use 9f3a1c7e5b2d8064 now", "9f3a1c7e5b2d8064")):
+        spans = [(s, e) for kind, s, e, _ in secret_scan.scan(text) if kind == "entropy"]
+        at = text.index(secret)
+        assert spans == [(at, at + len(secret))], text
+        assert secret not in secret_scan.mask(text)
+    for fine in ("a_name_of_a_variable", "getElementsByTagName", "1234567890123456", "2024/01/15/report1", "mytoken=abcdef12345"):
+        assert not [x for x in secret_scan.scan(f"see {fine} here") if x[0] == "entropy"], fine
