@@ -5,12 +5,12 @@ do, roughly.  Elements that are never main text (menus, headers, footers, forms,
 by tag, role, class or id) are left out at once.  The main text is what the ``article`` elements hold, else
 ``main``, else the body.  Every container element is hashed with all it contains; Spark counts on how
 many different pages of a host each hash occurs, and container subtrees that recur on at least
-``MIN_PAGES`` pages and ``MIN_SHARE`` of a host's pages are template and deleted.  Plain paragraphs
+``MIN_PAGES`` pages are template and deleted; on more of a larger host, namely on ``MIN_SHARE`` of its pages, but
+never more than ``MIN_PAGES`` times the binary logarithm of its pages.  Plain paragraphs
 and headings of an article are never taken for template, and copies of one page count once.
 
-A host has at most (elements of a page / ``MIN_SHARE``) template hashes on average, however many pages it
-has, so they are gathered per host.  Pages without any container in their main part (the usual article) are
-final after the first pass; only the others meet their host's templates.
+Pages without any container in their main part (the usual article) are final after the first pass; the
+hashes of the others are joined with those of their host's templates, in ``SALTS`` parts.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by one
 space.  Null and empty pages have empty text.  Pages without a host share the host ''.  Repeated
@@ -30,6 +30,8 @@ from dimwright.llm.common import add_columns, save_table, table
 
 #: a subtree is template from so many different pages and this share of the host's pages on
 MIN_PAGES, MIN_SHARE = 3, 0.2
+#: parts into which the pages that hold one template are dealt
+SALTS = 32
 
 # Fixed vocabulary of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -238,15 +240,22 @@ def main_text(pages: DataFrame, html_col: str = "html", url_col: str = "url", ke
     """Append ``text`` and ``n_chars`` to the ``keep`` columns of ``pages`` (default: all but the html)."""
     keep = [c for c in (pages.columns if keep is None else keep) if c != html_col and c.lower() not in ("text", "n_chars")]
     parsed = save_table(add_columns(pages, [html_col, url_col], PARSED,
-                                    lambda: lambda html, url: [read_page(h, u) for h, u in zip(html, url)], keep=keep), "pages")
+                                    lambda: lambda html, url: [read_page(h, u) for h, u in zip(html, url)], keep=keep)
+                        .withColumn("__row", F.monotonically_increasing_id()), "pages")
     seen = parsed.select("__host", "__page", F.explode("__subtrees").alias("__subtree")).distinct()
     counts = seen.groupBy("__host", "__subtree").agg(F.count(F.lit(1)).alias("n"))
     hosts = parsed.groupBy("__host").agg(F.count_distinct("__page").alias("pages"))
-    templates = (counts.filter(F.col("n") >= MIN_PAGES).join(hosts, "__host").filter(F.col("n") >= F.col("pages") * MIN_SHARE)
-                 .groupBy("__host").agg(F.collect_set("__subtree").alias("__templates")))
+    needed = F.least(F.col("pages") * MIN_SHARE, F.log2("pages") * MIN_PAGES)
+    templates = counts.filter(F.col("n") >= MIN_PAGES).join(hosts, "__host").filter(F.col("n") >= needed).select(
+        "__host", "__subtree", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
     kept = [F.col(f"`{c}`") for c in keep]
     final = parsed.filter("__blocks is null").select(*kept, F.col("__text").alias("text"))
-    open_ = parsed.filter("__blocks is not null").join(templates, "__host", "left")
+    open_ = parsed.filter("__blocks is not null")
+    inside = open_.select("__row", "__host", F.explode(F.array_distinct(F.flatten("__blocks.inside"))).alias("__subtree"),
+                          F.pmod(F.xxhash64("__row"), F.lit(SALTS)).cast("int").alias("__salt"))
+    # a row per page: the templates of the host that it holds
+    met = inside.join(templates, ["__host", "__subtree", "__salt"]).groupBy("__row").agg(F.collect_set("__subtree").alias("__templates"))
+    open_ = open_.join(met, "__row", "left")
     none = F.array().cast("array<bigint>")
     left = F.filter("__blocks", lambda b: ~F.arrays_overlap(b["inside"], F.coalesce("__templates", none)))
     cleaned = open_.select(*kept, F.array_join(F.transform(left, lambda b: b["text"]), " ").alias("text"))

@@ -90,3 +90,11 @@ def test_class_words_of_wrappers(html, want):
 ])
 def test_raw_elements_end(html, want):
     assert text_of(html) == want
+
+
+def test_section_template_of_a_large_host(spark):
+    """A block on a tenth of a large host's pages goes; a block on three pages of it stays."""
+    rows = [(i, f"https://big.example/{i}", f"<article><p>story {i}</p>" + ("<div>Section promo</div>" if i % 10 == 0 else "")
+             + ("<div>same figure</div>" if i in (1, 2, 3) else "") + "</article>") for i in range(600)]
+    got = {r["page_id"]: r["text"] for r in H.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[0] == "story 0" and got[590] == "story 590" and got[2] == "story 2 same figure" and len(got) == 600
