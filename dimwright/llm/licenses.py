@@ -45,7 +45,7 @@ _BY_HAND = [
      r"(?: and associated documentation files)?"),
     ("mit", "software", TEXT, r"the software is provided as is without warranty of any kind express or implied"),
     ("mit", "mit", VERSIONED, r"(?:released|licensed|distributed|available) under (?:the )?(?:terms of the )?mit(?: licen[cs]e)?"),
-    ("mit", "mit", NAME, r"(?:the )?(?:mit|expat)(?: expat)? licen[cs]e"),
+    ("mit", "mit", NAME, r"(?:the )?mit(?: expat)? licen[cs]e"), ("mit", "expat", NAME, r"(?:the )?expat(?: expat)? licen[cs]e"),
     ("mit-0", "mit", VERSIONED, r"mit no attribution(?: licen[cs]e)?"),
     ("x11", "x11", NAME, r"x11 licen[cs]e"),
     ("isc", "isc", NAME, r"(?:the )?isc licen[cs]e"),
@@ -93,7 +93,8 @@ _BY_HAND = [
     ("w3c", "w3c", NAME, r"w3c(?: software)?(?: notice and)? licen[cs]e"), ("upl-1.0", "permissive", NAME, r"universal permissive licen[cs]e"),
     ("bsl-1.1", "business", NAME, r"business source licen[cs]e"), ("sspl-1.0", "server", NAME, r"server side public licen[cs]e"),
     ("elastic-2.0", "elastic", NAME, r"elastic licen[cs]e(?: 2 0)?"), ("commons-clause", "clause", NAME, r"commons clause(?: licen[cs]e)?"),
-    ("beerware", "beer", NAME, r"(?:the )?beer ?ware licen[cs]e"), ("postgresql", "postgresql", NAME, r"postgresql licen[cs]e"),
+    ("beerware", "beer", NAME, r"(?:the )?beer ware licen[cs]e"),
+    ("beerware", "beerware", NAME, r"(?:the )?beerware licen[cs]e"), ("postgresql", "postgresql", NAME, r"postgresql licen[cs]e"),
     ("ijg", "jpeg", TEXT, r"this software is based in part on the work of the independent jpeg group"),
     ("curl", "curl", NAME, r"curl licen[cs]e"), ("libtiff", "libtiff", NAME, r"libtiff licen[cs]e"),
     ("json", "evil", TEXT, r"the software shall be used for good not evil"), ("proprietary", "proprietary", TEXT, r"proprietary and confidential"),

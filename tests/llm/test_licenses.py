@@ -68,3 +68,15 @@ def test_query(spark):
         assert r["base_labels"] == ",".join(sorted({b[2] for b in base}))
         assert r["labels"] == ",".join(sorted({b[2] for b in base} | {d[3] for d in found}))
         assert 0 <= r["score"] <= 1 and (r["score"] > 0) == bool(base or found)
+
+
+def test_keywords_hide_no_match(spark):
+    """All rules on all texts, without the keyword gate."""
+    cases = CASES + ["the Beerware License", "beer ware licence", "Expat License", "the MIT Expat license", "expat expat license"]
+    df = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    for r in L.scan_licenses(df).collect():
+        joined = " ".join(words(cases[r["doc_id"]]))
+        hits = sorted((joined[:m.start()].count(" "), -(joined[:m.start()].count(" ") + m.group().count(" ") + 1), x.priority, i, x.label)
+                      for i, x in enumerate(L.rules()) for m in re.finditer(L._bounded(x.pattern), joined))
+        kept = [h for k, h in enumerate(hits) if not any(g[0] <= h[0] and g[1] <= h[1] and g[2] <= h[2] for g in hits[:k])]
+        assert [(d["start"], d["label"]) for d in r["detections"]] == [(h[0], h[4]) for h in kept], cases[r["doc_id"]]
