@@ -235,7 +235,7 @@ def _groups(df: DataFrame, id_col: str, text_col: str, width: int, similarity: t
     signed = save_table(add_columns(docs, ["text"], SIGNATURE, sign, keep=["doc_id", *keep, "t1", "t2"])
                         .withColumn("row", F.monotonically_increasing_id()), "signatures")
     nodes = (signed.filter("n_shingles > 0").groupBy("s1", "s2")
-             .agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"), F.min("bands").alias("bands")))
+             .agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "t1", "t2")).alias("at"), F.min("n_shingles").alias("n"), F.min("bands").alias("bands")))
     # numbers are given once, as the rows are written
     nodes = save_table(nodes.withColumn("node", F.monotonically_increasing_id()), "shingle-sets")
 
@@ -246,7 +246,7 @@ def _groups(df: DataFrame, id_col: str, text_col: str, width: int, similarity: t
 
     # full sets of those nodes, made again from their texts
     wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select(
-        "node", "s1", "s2", F.col("doc_id").alias("at"))
+        "node", "s1", "s2", F.col("at.doc_id").alias("at"), "at.t1", "at.t2")
 
     def expand():
         hashes = WordHashes()
@@ -258,7 +258,9 @@ def _groups(df: DataFrame, id_col: str, text_col: str, width: int, similarity: t
 
         return fn
 
-    full = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("at"))).select("node", "s1", "s2", "text")
+    # one text per set, found by id and text hash: a hot or null id is no hot key, repeated rows count once
+    full = docs.drop(*keep).join(wanted, ["t1", "t2"]).filter(F.col("doc_id").eqNullSafe(F.col("at"))).select("node", "s1", "s2", "text")
+    full = full.dropDuplicates(["node"])
     full = save_table(add_columns(full, ["text", "s1", "s2"], MEMBERS, expand, keep=["node"]).filter("n_shingles > 0"), "members")
 
     def verify(pairs: DataFrame) -> DataFrame:

@@ -119,3 +119,14 @@ def test_connected_components(spark):
     links = [(a, b) for a, b in links if b is not None and a != b]
     assert got == components({x for e in links for x in e}, links)
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_sets_are_made_again_once(spark, monkeypatch):
+    """Null ids and repeated rows: one text per set reaches the Python step that makes the sets again."""
+    base = " ".join(f"w{i}" for i in range(60))
+    docs = [(None, f"{base} x{i}") for i in range(30)] + [(5, f"{base} y")] * 20
+    made, add = [], M.add_columns
+    monkeypatch.setattr(M, "add_columns", lambda df, inputs, fields, *a, **k: (made.append(df.count()) if fields is M.MEMBERS else None)
+                        or add(df, inputs, fields, *a, **k))
+    got = M.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert made == [31] and {r["component_id"] for r in got} == {5} and sum(r["kept"] for r in got) == 20
