@@ -9,7 +9,7 @@ from dimwright.plans import feeds
 from dimwright.plans.feeds import ORDER_RULES
 from dimwright.sources.jsonl import read_source
 
-from conftest import SF001
+from support import SF001
 from test_job import META
 
 

@@ -7,7 +7,7 @@ from dimwright import session
 from dimwright.operators.plan_utils import counted_broadcast, planned_size_bytes, sized_broadcast
 from dimwright.sources import paths, sinks
 
-from conftest import SF001
+from support import SF001
 
 
 def plan_of(df):

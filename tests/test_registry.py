@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 from dimwright.plans.catalog import ORACLES, QUERIES
 from scripts.check_oracles import TABLES, rows_of
 
-from conftest import SF001
+from support import SF001
 
 
 @pytest.fixture(scope="module")
