@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from dimwright.llm import contamination, embeddings, mixing
+from dimwright.llm import contamination, embeddings, line_dedup, mixing
 from dimwright.llm.contamination import op4_decontamination
 from dimwright.llm.embeddings import op1_embedding_links
 from dimwright.llm.html_text import op7_html_main_text
 from dimwright.llm.langid import op10_language_id
 from dimwright.llm.licenses import op3_license_scan
+from dimwright.llm.line_dedup import op12_line_dedup
 from dimwright.llm.minhash import op9_near_duplicates
 from dimwright.llm.mixing import op8_source_mix
 from dimwright.llm.pii import op2_personal_data
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_source_mix": op8_source_mix,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_language_id": op10_language_id,
+    "op12_line_dedup": op12_line_dedup,
 }
 
 #: the others are tested against brute force in tests/llm
@@ -32,4 +34,5 @@ ORACLES: dict[str, str] = {
     "op1_embedding_links": embeddings.ORACLE,
     "op4_decontamination": contamination.ORACLE,
     "op8_source_mix": mixing.ORACLE,
+    "op12_line_dedup": line_dedup.ORACLE,
 }
