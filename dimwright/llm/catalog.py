@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from dimwright.llm import contamination, embeddings, line_dedup, mixing
+from dimwright.llm import contamination, divergence, embeddings, line_dedup, mixing
+from dimwright.llm.alignment import op13_token_alignment
 from dimwright.llm.contamination import op4_decontamination
+from dimwright.llm.divergence import op11_source_divergence
 from dimwright.llm.embeddings import op1_embedding_links
 from dimwright.llm.html_text import op7_html_main_text
 from dimwright.llm.langid import op10_language_id
@@ -26,7 +28,9 @@ QUERIES = {
     "op8_source_mix": op8_source_mix,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_language_id": op10_language_id,
+    "op11_source_divergence": op11_source_divergence,
     "op12_line_dedup": op12_line_dedup,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 #: the others are tested against brute force in tests/llm
@@ -34,5 +38,6 @@ ORACLES: dict[str, str] = {
     "op1_embedding_links": embeddings.ORACLE,
     "op4_decontamination": contamination.ORACLE,
     "op8_source_mix": mixing.ORACLE,
+    "op11_source_divergence": divergence.ORACLE,
     "op12_line_dedup": line_dedup.ORACLE,
 }
