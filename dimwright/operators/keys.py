@@ -1,17 +1,19 @@
 """Surrogate keys and merges (upsert / insert-missing) on natural keys.
 
-Dense surrogate keys without a global window: rows are range-partitioned and
-sorted by the natural key, materialised once (reliable checkpoint: layout and
-order become fixed), each row's index inside its partition comes from
-``monotonically_increasing_id`` (partition id << 33 | index), and the per-
-partition row counts -- one row per partition, a proven-small table -- are
-prefix-summed and broadcast back.  Every stage stays fully parallel.
+Dense surrogate keys without a global window: the natural keys alone are
+range-partitioned, sorted and materialised once (reliable checkpoint: layout and
+order become fixed); each key's index inside its partition comes from
+``monotonically_increasing_id`` (partition id << 33 | index), and the counts of
+the partitions, one row each, are summed up before it.  This dictionary of
+natural key and number then meets the rows, broadcast if it is counted as small.
+The rows themselves are neither sorted nor stored, and every stage stays parallel.
 
 The checkpoint must come after the range exchange: the range partitioner seeds
 its bound sampling with the RDD id, so two evaluations of an un-materialised
-range exchange may cut different ranges.  The input is materialised before it
-as well, because the bound sampling is a job of its own that would otherwise
-run the whole upstream plan a second time.
+range exchange may cut different ranges.
+
+Rows that share a natural key (no dimension has them, but nothing here forbids
+them) get a number each, in the order of a hash of their values.
 """
 
 from __future__ import annotations
@@ -25,32 +27,59 @@ from dimwright.operators.plan_utils import sized_broadcast
 from dimwright.session import ensure_checkpoint_dir
 
 _LOW33 = (1 << 33) - 1
+#: a dictionary is broadcast up to this many key values (its counted rows times its key columns)
+DICTIONARY_CELLS = 1_000_000
 
 
-def assign_surrogate_keys(df: DataFrame, nk: Sequence[str], key_col: str,
-                          base: Column | int = 0, partitions: int | None = None) -> DataFrame:
-    """Add ``key_col`` = base + 1, 2, ... in natural-key order (dense, deterministic)."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
+def bucket_of(business_key: str, buckets: int) -> Column:
+    """Bucket of a business key, whatever its type: equal keys share one, NULL keys too."""
+    return F.pmod(F.xxhash64(F.col(f"`{business_key}`").cast("string")), F.lit(buckets)).cast("int")
+
+
+def key_dictionary(df: DataFrame, nk: Sequence[str], base: Column | int = 0, partitions: int | None = None) -> tuple[DataFrame, int, bool]:
+    """Numbering of the natural keys of ``df``: (rows of ``nk`` and ``__number``, their count, whether any repeats).
+
+    ``__number`` is ``base`` + 1, 2, ... in natural-key order.  Only the key columns of ``df`` are read.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
     cols = [F.col(f"`{c}`") for c in nk]
-    # The range partitioner samples its input in a job of its own: materialise
-    # the input first so an expensive upstream plan (e.g. a replay) runs once.
-    fixed = df.checkpoint(eager=True)
-    # without an explicit count AQE may coalesce small ranges; the checkpoint
-    # fixes whatever layout results before it is counted and numbered
-    ranged = (fixed.repartitionByRange(partitions, *cols) if partitions else fixed.repartitionByRange(*cols))
-    ranged = ranged.sortWithinPartitions(*cols).checkpoint(eager=True)
-    tagged = ranged.select("*", F.spark_partition_id().alias("__pid"),
-                           F.monotonically_increasing_id().alias("__mid"))
-    counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    # one row per partition: a window without partitioning is fine at this size
-    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
+    narrow = df.select(*cols)
+    # without an explicit count AQE may coalesce small ranges; the checkpoint fixes whatever layout results
+    ranged = narrow.repartitionByRange(partitions, *cols) if partitions else narrow.repartitionByRange(*cols)
+    tagged = ranged.sortWithinPartitions(*cols).checkpoint(eager=True).select(
+        "*", F.spark_partition_id().alias("__pid"), F.monotonically_increasing_id().alias("__mid"))
+    per_key = tagged.groupBy("__pid", *cols).agg(F.count(F.lit(1)).alias("__n"))
+    counts = sorted((r["__pid"], r["n"], r["keys"]) for r in per_key.groupBy("__pid").agg(
+        F.sum("__n").alias("n"), F.count(F.lit(1)).alias("keys")).collect())  # a row per partition
+    offsets, total = [], 0
+    for pid, n, _ in counts:
+        offsets.append((pid, total))
+        total += n
+    before = df.sparkSession.createDataFrame(offsets, "__pid int, __off long")
     base_col = base if isinstance(base, Column) else F.lit(int(base))
-    keyed = tagged.join(F.broadcast(offsets), "__pid")
-    local = F.col("__mid").bitwiseAND(F.lit(_LOW33))
-    return keyed.select(*[F.col(f"`{c}`") for c in df.columns],
-                        (base_col.cast("long") + F.col("__off") + local + 1).alias(key_col))
+    number = base_col.cast("long") + F.col("__off") + F.col("__mid").bitwiseAND(F.lit(_LOW33)) + 1
+    numbered = tagged.join(F.broadcast(before), "__pid").select(*cols, number.alias("__number"))
+    return numbered, total, any(n != keys for _, n, keys in counts)
+
+
+def assign_surrogate_keys(df: DataFrame, nk: Sequence[str], key_col: str,
+                          base: Column | int = 0, partitions: int | None = None) -> DataFrame:
+    """Add ``key_col`` = base + 1, 2, ... in natural-key order (dense, deterministic).
+
+    ``df`` is evaluated twice, once for its key columns only."""
+    numbered, total, repeated = key_dictionary(df, nk, base, partitions)
+    rows = df
+    if repeated:
+        # the numbers of equal keys follow each other: the first, and each row's place among its equals
+        numbered = numbered.groupBy(*[F.col(f"`{c}`") for c in nk]).agg(F.min("__number").alias("__number"))
+        place = Window.partitionBy(*[F.col(f"`{c}`") for c in nk]).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+        rows = df.withColumn("__place", F.row_number().over(place) - 1)
+    keys = numbered.select(*[F.col(f"`{c}`").alias(f"__nk{i}") for i, c in enumerate(nk)], "__number")
+    if total * max(1, len(nk)) <= DICTIONARY_CELLS:
+        keys = F.broadcast(keys)
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"__nk{i}")) for i, c in enumerate(nk)]
+    number = F.col("__number") + F.col("__place") if repeated else F.col("__number")
+    return rows.join(keys, same).select(*[F.col(f"`{c}`") for c in df.columns], number.alias(key_col))
 
 
 def max_key(target: DataFrame, key_col: str) -> Column:
@@ -59,9 +88,11 @@ def max_key(target: DataFrame, key_col: str) -> Column:
 
 
 def merge_upsert(target: DataFrame, staging: DataFrame, nk: Sequence[str], key_col: str,
-                 audit: dict[str, Column] | None = None) -> DataFrame:
+                 audit: dict[str, Column] | None = None, base: int | None = None) -> DataFrame:
     """INSERT ... ON CONFLICT (nk) DO UPDATE.
 
+    ``base`` is the highest key given so far, if known (``target`` may be a part of a table); else it is read.
+
     NULL key parts match each other, so a repeated load adds no second row.
     Matched rows take the staging values and keep the target's surrogate key;
     new rows get ``max(key) + dense offset``; untouched target rows pass through.
@@ -96,7 +127,7 @@ def merge_upsert(target: DataFrame, staging: DataFrame, nk: Sequence[str], key_c
         (audit[c] if c in audit else F.col(f"`{c}`") if c in staging.columns
          else F.lit(None).cast(target.schema[c].dataType)).alias(c)
         for c in out_cols if c != key_col])
-    inserted = assign_surrogate_keys(staged_new, nk, key_col, base=max_key(target, key_col))
+    inserted = assign_surrogate_keys(staged_new, nk, key_col, base=max_key(target, key_col) if base is None else base)
     return updated.unionByName(inserted.select(*out_cols))
 
 

@@ -24,9 +24,21 @@ def counted_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     """Broadcast a materialised ``df`` (a table or a checkpoint) if it has at most ``max_rows`` rows.
 
     For sides whose estimate says nothing (checkpoints after joins): counting
-    stops as soon as the limit is passed.
+    stops as soon as the limit is passed.  Wide rows count for more: the limit is one
+    of rows of up to eight columns.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    most = max_rows if len(df.columns) <= 8 else max_rows * 8 // len(df.columns)
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+#: a row in memory takes about so many times its bytes in compressed column files
+MEMORY_FACTOR = 4
+
+
+def fits_broadcast(df: DataFrame, limit_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """Whether the planned size of ``df``, taken as compressed files, fits ``limit_bytes`` in memory."""
+    size = planned_size_bytes(df)
+    return size is not None and size * MEMORY_FACTOR <= limit_bytes
 
 
 def sized_broadcast(df: DataFrame, limit_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
@@ -35,8 +47,4 @@ def sized_broadcast(df: DataFrame, limit_bytes: int = DEFAULT_BROADCAST_BYTES) -
     Beyond the limit the join stays a shuffle join (AQE can still switch it to
     a broadcast at run time from the real shuffle size).
     """
-    size = planned_size_bytes(df)
-    if size is not None and size <= limit_bytes:
-        return F.broadcast(df)
-    return df
-
+    return F.broadcast(df) if fits_broadcast(df, limit_bytes) else df

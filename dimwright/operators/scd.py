@@ -17,9 +17,9 @@ match, so every such row is a new version (as an anti join would treat them).
 
 Three evaluation strategies produce the same dimension:
 
-``apply_batch``   one batch onto a snapshot: a single full outer join of the
-                  current rows with the batch, an action per key and an
-                  ``explode`` of 1-2 output rows; history passes through.
+``apply_batch``   one batch onto a snapshot: one left join of the current rows
+                  with the batch, an action per row and an ``explode`` of 1-2
+                  output rows, and the batch rows of new keys; history passes by.
 ``replay``        many batches at once, no loop: window path (lag/sum/lead)
                   when tracked fields are never NULL, else a per-key fold with
                   the built-in ``aggregate`` higher-order function.
@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 from dimwright.contract import SCD2_METADATA, DimensionSpec
 from dimwright.operators.dedup import dedup_latest
-from dimwright.operators.plan_utils import sized_broadcast
+from dimwright.operators.plan_utils import fits_broadcast, sized_broadcast
 from dimwright.operators.shape import align, align_dimension, derive, dimension_types, rename
 
 RunId = str | Column
@@ -108,8 +108,11 @@ def apply_batch(state: DataFrame | None, batch: DataFrame, spec: DimensionSpec,
                 run_id: RunId) -> DataFrame:
     """Apply ONE prepared batch (one row per business key) to a snapshot.
 
-    ``state`` should be materialised (a snapshot read, or ``checkpoint()``):
-    the plan reads it three ways (history, touched and untouched current rows).
+    ``state`` should be materialised (a snapshot read, or ``checkpoint()``).
+    Its current rows pass once: a left join brings each its batch row, if there
+    is one, and that decides what becomes of it; history passes by.  A batch
+    under the broadcast size moves to the state, which is not shuffled.  The
+    batch rows of keys that are not in the state are found from the key column.
     """
     if state is None:
         return initial_load(batch, spec, run_id)
@@ -119,19 +122,11 @@ def apply_batch(state: DataFrame | None, batch: DataFrame, spec: DimensionSpec,
     bk = spec.business_key
     has_cur = "is_current" in cols
     cur = state.where(_c("is_current")) if has_cur else state
-    hist = state.where(~_c("is_current")) if has_cur else None
-    # Only current rows whose key is in the batch can change: split them off
-    # with a semi/anti join on the batch keys (broadcast when the key list is
-    # small), so a small batch never shuffles the whole state.
-    batch_keys = sized_broadcast(batch.where(_c(bk).isNotNull()).select(bk).distinct())
-    untouched = cur.join(batch_keys, bk, "left_anti")
-    cur = cur.join(batch_keys, bk, "left_semi")
-
-    opened = align_dimension(stamp_open(batch, spec, run_id), spec)
-    n_struct = F.struct(*[_c(c).cast(types[c]).alias(c) for c in cols])
+
+    opened = align_dimension(stamp_open(batch, spec, run_id), spec).select(*[_c(c).cast(types[c]).alias(c) for c in cols])
+    n_side = sized_broadcast(opened.where(_c(bk).isNotNull()).select(_c(bk).alias("__k"), F.struct(*[_c(c) for c in cols]).alias("n")))
     c_side = cur.select(_c(bk).alias("__k"), F.struct(*[_c(c) for c in cols]).alias("c"))
-    n_side = opened.select(_c(bk).alias("__k"), n_struct.alias("n"))
-    j = c_side.join(n_side, "__k", "full_outer")
+    j = c_side.join(n_side, "__k", "left")
     c, n = F.col("c"), F.col("n")
 
     def with_fields(base: Column, repl: dict[str, Column]) -> Column:
@@ -144,14 +139,16 @@ def apply_batch(state: DataFrame | None, batch: DataFrame, spec: DimensionSpec,
     refresh_fields = [f for f in spec.scd1_fields if f in cols]
     refreshed = with_fields(c, {**{f: F.coalesce(n[f], c[f]) for f in refresh_fields},
                                 "last_updated_run_id": n["last_updated_run_id"]})
-    first = (F.when(c.isNull(), n)
-             .when(n.isNull(), c)
-             .when(changed, closed))
-    first = first.when(F.lit(bool(refresh_fields)), refreshed).otherwise(c)
-    both = F.when(c.isNotNull() & n.isNotNull() & changed, F.array(first, n)).otherwise(F.array(first))
-    out = j.select(F.explode(both).alias("r")).select("r.*")
-    out = untouched.unionByName(out)
-    return out if hist is None else hist.unionByName(out)
+    after = F.when(n.isNull(), F.array(c)).when(changed, F.array(closed, n))
+    after = after.otherwise(F.array(refreshed if refresh_fields else c))
+    kept = j.select(F.explode(after).alias("r")).select("r.*")
+
+    # keys that the state has, out of those of the batch: no more than the batch has, so they fit where its keys do
+    keys = opened.select(_c(bk))
+    known = cur.select(_c(bk)).join(sized_broadcast(keys), bk, "left_semi")
+    known = F.broadcast(known) if fits_broadcast(keys) else known
+    out = kept.unionByName(opened.join(known, bk, "left_anti"))
+    return out if not has_cur else state.where(~_c("is_current")).unionByName(out)
 
 
 # --------------------------------------------------------------------------

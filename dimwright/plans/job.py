@@ -3,19 +3,22 @@
 Storage layout under one root (any Hadoop filesystem):
 
     <root>/feed/            classified records, parquet, partitioned by
-                            source_batch_date; record_status is valid | invalid
-    <root>/dims/<name>/     versioned dimension snapshots (_CURRENT pointer)
-    <root>/warehouse/<t>/   versioned warehouse tables (dims with surrogate
-                            keys, dim_date, facts); dimensions carry updated_at,
-                            facts loaded_at
+                            source_batch_date and ingest_part; record_status
+                            is valid | invalid
+    <root>/dims/<name>/     dimension snapshots, cut into buckets of the business key
+    <root>/warehouse/<t>/   warehouse tables: dimensions with surrogate keys and
+                            updated_at, in the same buckets; facts with
+                            loaded_at, a part per date_id; dim_date
     <root>/violations/<t>/  what the last load of a table found: duplicate
                             natural keys, orphans, NULL measures
     <root>/control/<t>/     versioned control tables: etl_runs,
                             etl_ingestion_batches, etl_scd_batches, dq_run_metrics
 
-Every write goes to a new version directory and is published by repointing
-``_CURRENT``; a plan never overwrites what it reads.  Commit order makes a
-crash at any point recoverable by simply running again:
+Every write goes to new directories and is published by repointing
+``_CURRENT``; a plan never overwrites what it reads.  A load reads and replaces
+only the buckets that hold keys of its batches, and only the facts of their
+dates; all other files stay as they are.  Commit order makes a crash at any
+point recoverable by simply running again:
 
 1. feed partitions of a batch are replaced idempotently, then its ingestion
    marker is written;
@@ -81,6 +84,10 @@ def _percent(part: int | None, total: int) -> float:
     return ((part or 0) * 20000 + total) // (2 * total) / 100.0 if total else 0.0
 
 
+#: bucket of the business key that a stored dimension row lies in
+BUCKET_COL = "key_bucket"
+
+
 class PipelineError(RuntimeError):
     pass
 
@@ -91,8 +98,13 @@ class Pipeline:
     contract: Contract
     input_root: str
     root: str
+    #: a dimension built as a whole gets a bucket per so many source records, at most ``max_buckets``
+    bucket_records: int = 1_000_000
+    max_buckets: int = 4096
     # test hook: called with a stage name; raising simulates a crash there
     fault: Callable[[str], None] = field(default=lambda stage: None)
+    # buckets of each dimension that the running load wrote
+    _touched: dict[str, list[str]] = field(default_factory=dict)
 
     # ------------------------------------------------------------ storage
     def _path(self, *parts: str) -> str:
@@ -112,11 +124,17 @@ class Pipeline:
                   "etl_runs": RUNS_SCHEMA}.get(name)
         return self._read("control", name, schema)
 
-    def dimension(self, name: str) -> DataFrame | None:
-        return self._read("dims", name)
+    def dimension(self, name: str, buckets: list[str] | None = None) -> DataFrame | None:
+        df = sinks.read_parts(self.spark, self._path("dims", name), buckets)
+        return None if df is None else df.drop(BUCKET_COL)
+
+    def table(self, name: str, parts: list[str] | None = None) -> DataFrame | None:
+        df = sinks.read_parts(self.spark, self._path("warehouse", name), parts)
+        return None if df is None else df.drop(BUCKET_COL)
 
-    def table(self, name: str) -> DataFrame | None:
-        return self._read("warehouse", name)
+    def _bucket_count(self) -> int:
+        records = self.control("etl_ingestion_batches").agg(F.sum("input_record_count").alias("n")).first()["n"] or 0
+        return max(1, min(self.max_buckets, -(-records // self.bucket_records)))
 
     # ------------------------------------------------------------ run bookkeeping
     def _run_row(self, run_id: str, status: str, started, completed=None, error: str | None = None) -> None:
@@ -247,10 +265,17 @@ class Pipeline:
             rebuild, pending = True, list(all_batches)
         if not pending:
             return {"status": "skipped", "pending": []}
-        current = None if rebuild else self.dimension(spec.name)
-        if applied and current is None and not rebuild:
+        root = self._path("dims", spec.name)
+        meta = sinks.snapshot_meta(self.spark, root)
+        if applied and meta is None and not rebuild:
             raise PipelineError(f"{spec.name}: batches up to {max(applied)} are marked applied, but there is no snapshot")
         rows = scd.prepare(self.valid_rows(pending), spec)
+        whole = rebuild or meta is None or "buckets" not in meta
+        buckets = self._bucket_count() if whole else meta["buckets"]
+        bucket = keys.bucket_of(spec.business_key, buckets)
+        # buckets that hold keys of the pending batches; at most ``buckets`` numbers
+        touched = None if whole else sorted(str(r["b"]) for r in rows.select(bucket.alias("b")).distinct().collect())
+        current = None if rebuild or meta is None else self.dimension(spec.name, touched)
         if current is None:
             new_state = scd.replay(rows, spec, run_id)
         elif len(pending) == 1:
@@ -258,9 +283,12 @@ class Pipeline:
         else:
             new_state = scd.apply_batches(current, rows, spec, run_id)
         contained = sorted(set(pending) | (set() if rebuild else set(applied)))
-        self._publish("dims", spec.name, new_state,
-                      meta={"batches": contained, "run_id": run_id,
-                            "contract_version": spec.contract_version, "rebuild": rebuild})
+        # the run that wrote a bucket last, so that a warehouse load finds the buckets of its runs
+        every = [str(b) for b in range(buckets)]
+        wrote = {**({} if whole else meta["wrote"]), **{b: run_id for b in (every if whole else touched)}}
+        sinks.write_parts(new_state.withColumn(BUCKET_COL, bucket), root, BUCKET_COL, touched,
+                          meta={"batches": contained, "run_id": run_id, "contract_version": spec.contract_version, "rebuild": rebuild,
+                                "rebuilt_by": run_id if whole else meta.get("rebuilt_by"), "buckets": buckets, "wrote": wrote})
         self.fault(f"after_snapshot:{spec.name}")
         if rebuild:
             ctl = state.clear_markers(ctl, spec.name)
@@ -277,8 +305,16 @@ class Pipeline:
         pending = [r["batch_date"].isoformat() for r in pend.collect()]
         if not pending:
             return []
-        snap = self.dimension(spec.name)
         runs = state.pending_run_ids(ctl, spec.name, pend)
+        names = {r["run_id"] for r in runs.collect()}  # a row per pending run
+        snapshot = sinks.snapshot_meta(self.spark, self._path("dims", spec.name))
+        buckets = snapshot["buckets"]
+        root = self._path("warehouse", spec.table)
+        meta = sinks.snapshot_meta(self.spark, root)
+        # a snapshot that one of the runs built as a whole may lack versions that the table has
+        whole = meta is None or meta.get("buckets") != buckets or snapshot["rebuilt_by"] in names
+        touched = [str(b) for b in range(buckets)] if whole else sorted(b for b, run in snapshot["wrote"].items() if run in names)
+        snap = self.dimension(spec.name, touched)
         staging = state.rows_of_runs(snap, runs)
         dups = checks.natural_key_dups(staging, list(spec.nk_columns))
         n_dups = dups.count()
@@ -287,16 +323,21 @@ class Pipeline:
             raise PipelineError(f"{spec.name}: duplicate natural key: {n_dups} of them, listed in violations/{spec.name}; "
                                 f"the first is {dups.first().asDict()}")
         key = warehouse.surrogate_key_name(spec.name)
-        target = self.table(spec.table)
         stamp = F.lit(now).cast("timestamp")
         staging = shape.cast_to(staging, dict(spec.load_types)).withColumn("updated_at", stamp)
-        if target is None:
-            loaded = warehouse.warehouse_dimension(staging, spec)
+        if meta is None:
+            loaded, base = warehouse.warehouse_dimension(staging, spec), 0
         else:
-            # a rebuild may have removed versions: keep only natural keys still present
-            target = target.join(snap.select(*spec.nk_columns), list(spec.nk_columns), "left_semi")
-            loaded = keys.merge_upsert(target, staging, list(spec.nk_columns), key, audit={"updated_at": stamp})
-        self._publish("warehouse", spec.table, loaded)
+            target = self.table(spec.table, None if whole else touched)
+            base = meta["max_key"] if "max_key" in meta else self.table(spec.table).agg(F.max(key)).first()[0] or 0
+            if whole:  # keep only natural keys still present
+                target = target.join(snap.select(*spec.nk_columns), list(spec.nk_columns), "left_semi")
+            loaded = keys.merge_upsert(target, staging, list(spec.nk_columns), key, audit={"updated_at": stamp}, base=base)
+        loaded = loaded.withColumn(BUCKET_COL, keys.bucket_of(spec.business_key, buckets))
+        # the highest key given is known only once the rows are written: it goes into the pointer with them
+        sinks.write_parts(loaded, root, BUCKET_COL, None if whole else touched, observe={"max_key": F.max(key)},
+                          publish=lambda got: {"buckets": buckets, "max_key": max(base, got.get("max_key") or 0)})
+        self._touched[spec.name] = touched
         return pending
 
     def run_warehouse(self, run_id: str, now: _dt.datetime) -> dict:
@@ -319,19 +360,19 @@ class Pipeline:
             if not pending:
                 continue
             dims = {d: self.table(self.contract.dimension(d).table) for _, d, _, _ in fact.foreign_keys}
-            base = self.table(base_spec.table)
             batch_df = self.spark.createDataFrame([(b,) for b in pending], "d string").select(
                 F.col("d").cast("date").alias(fact.date_source))
+            # versions that the pending batches opened lie in the buckets that their runs wrote
+            base = self.table(base_spec.table, self._touched[fact.base])
             rows = warehouse.fact_rows(base, base_spec, fact, dims, batch_df).withColumn("loaded_at", F.lit(now).cast("timestamp"))
-            self._publish("violations", fact.name, self._fact_violations(fact, base_spec, base, dims, run_id))
-            old = self.table(fact.name)
-            key = warehouse.surrogate_key_name(base_spec.name)
-            if old is None:
-                new = rows
+            self._publish("violations", fact.name, self._fact_violations(fact, base_spec, self.table(base_spec.table), dims, run_id))
+            root = self._path("warehouse", fact.name)
+            dates = [b.replace("-", "") for b in pending]
+            if (sinks.snapshot_meta(self.spark, root) or {}).get("path"):  # stored as a whole by an earlier version
+                rows = self.table(fact.name).where(~F.col("date_id").isin([int(d) for d in dates])).unionByName(rows)
+                sinks.write_parts(rows, root, "date_id")
             else:
-                old = old.join(base.select(key), key, "left_semi")
-                new = state.upsert_by_key(old, rows, [key])
-            self._publish("warehouse", fact.name, new)
+                sinks.write_parts(rows, root, "date_id", dates)
             self._mark_loaded(fact.base, pending, now)
         return {k: v for k, v in loaded.items()}
 

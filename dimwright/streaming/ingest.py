@@ -6,12 +6,15 @@ files.  ``trigger(availableNow=True)`` drains everything present and stops,
 which suits a scheduled batch job; a processing-time trigger turns the same
 query into a continuously running ingester.  ``foreachBatch`` applies the
 validation split and the idempotent partitioned write of the batch path; each
-micro-batch owns a partition below its batch, so a retried one replaces itself
-and a second file of the same batch is added.
+micro-batch owns a part below its batch, named by the query's id (which its checkpoint
+keeps) and the epoch: a retried one replaces itself, a second file of the same
+batch is added, and another stream, or one with a new checkpoint, never takes its place.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -37,6 +40,11 @@ def stream_source(spark: SparkSession, feed: FeedSpec, input_root: str,
     return df.withColumn("source_batch_date", batch)
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a streaming query keeps in its checkpoint for as long as that exists."""
+    return json.loads(sinks.read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+
+
 def start_ingestion(spark: SparkSession, feed: FeedSpec, input_root: str, output: str,
                     checkpoint: str, run_id: str, available_now: bool = True,
                     processing_time: str | None = None) -> StreamingQuery:
@@ -48,7 +56,8 @@ def start_ingestion(spark: SparkSession, feed: FeedSpec, input_root: str, output
             "processed_run_id": F.lit(f"{run_id}-{epoch_id}"),
             "ingestion_dt": F.current_timestamp(),
         })
-        sinks.write_split(validate.classify(stamped, feed.validations), output, part=f"epoch-{epoch_id}")
+        sinks.write_split(validate.classify(stamped, feed.validations), output,
+                          part=f"stream-{query_id(batch_df.sparkSession, checkpoint)}-{epoch_id}")
 
     w = src.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     if available_now:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dimwright.contract import contract_from_dict
-from dimwright.operators import scd
+from dimwright.operators import keys, scd
 from dimwright.plans import feeds
 from dimwright.plans.job import Pipeline, PipelineError
 from dimwright.sources import sinks
@@ -244,7 +244,7 @@ def test_lost_rows_show_in_the_reconciliation(spark, tmpdir_path, contract):
     assert p.control("etl_ingestion_batches").first()["input_record_count"] == n
     feed = spark.read.parquet(f"{tmpdir_path}/out/feed")
     assert feed.count() == n
-    part = sorted(glob.glob(f"{tmpdir_path}/out/feed/source_batch_date=*/*.parquet"))[0]
+    part = sorted(glob.glob(f"{tmpdir_path}/out/feed/source_batch_date=*/ingest_part=*/*.parquet"))[0]
     rows = pq.ParquetFile(part).read()
     os.remove(os.path.join(os.path.dirname(part), f".{os.path.basename(part)}.crc"))
     pq.write_table(rows.slice(3), part, use_deprecated_int96_timestamps=True)  # three rows go missing behind the job's back
@@ -266,3 +266,98 @@ def test_missing_snapshot_raises(spark, tmpdir_path, contract):
     p.run_ingestion("s", dt.datetime(2025, 1, 2))
     with pytest.raises(PipelineError, match="no snapshot"):
         p.run_dimensions("s", dt.datetime(2025, 1, 2))
+
+
+def stored_files(root):
+    """Path -> (bytes, time written) of every data file below ``root``."""
+    out = {}
+    for d, _, names in os.walk(root):
+        for n in names:
+            if n.startswith("part-"):
+                path = os.path.join(d, n)
+                with open(path, "rb") as fh:
+                    out[path] = (fh.read(), os.stat(path).st_mtime_ns)
+    return out
+
+
+def parts_of(files, column):
+    return {d.split("=")[1] for f in files for d in f.split("/") if d.startswith(f"{column}=")}
+
+
+def test_a_load_replaces_only_the_parts_it_touches(spark, tmpdir_path, contract):
+    """A batch with some 1 % of the keys rewrites their buckets and its own date; every other file stays byte for byte."""
+    inp, out = f"{tmpdir_path}/input", f"{tmpdir_path}/out"
+    os.makedirs(inp)
+    for y in (1995, 1996):
+        write_batch(spark, inp, y)
+    p = Pipeline(spark, contract, inp, out, bucket_records=10, max_buckets=40)
+    p.run("first", dt.datetime(2025, 1, 1))
+    assert sinks.snapshot_meta(spark, f"{out}/dims/dim_account")["buckets"] == 40
+    tables = {t: f"{out}/{t}" for t in ("dims/dim_account", "warehouse/dim_account", "warehouse/fact_account")}
+    before = {t: stored_files(path) for t, path in tables.items()}
+    facts = {r["account_id"]: r["loaded_at"] for r in p.table("fact_account").collect()}
+
+    write_batch(spark, inp, 1997)
+    few = spark.read.json(f"{inp}/batch-1997-01-01").where("o_custkey in (1, 2, 4)")
+    assert few.count() > 0
+    few.checkpoint().coalesce(1).write.mode("overwrite").json(f"{inp}/batch-1997-01-01")
+    p.run("second", dt.datetime(2025, 1, 2))
+    acc = contract.dimension("dim_account")
+    valid = p.valid_rows(["1997-01-01"])
+    touched = {str(r[0]) for r in valid.select(keys.bucket_of("o_custkey", 40)).distinct().collect()}
+    assert 0 < len(touched) <= 3
+    for t, path in tables.items():
+        after = stored_files(path)
+        assert before[t].items() <= after.items(), t  # nothing that was there changed or went
+        column, want = ("date_id", {"19970101"}) if "fact" in t else ("key_bucket", touched)
+        assert parts_of(set(after) - set(before[t]), column) == want, t
+    # the result is that of folding everything at once
+    drop = ("last_updated_run_id",)
+    assert table_rows(p.dimension("dim_account"), drop) == table_rows(expected_dim(p, acc, "x"), drop)
+    wh = p.table("dim_account")
+    assert table_rows(wh, ("account_id", "updated_at")) == table_rows(p.dimension("dim_account"))
+    assert wh.select("account_id").distinct().count() == wh.count() == p.table("fact_account").count()
+    now = {r["account_id"]: r["loaded_at"] for r in p.table("fact_account").collect()}
+    assert facts.items() <= now.items() and {now[k] for k in set(now) - set(facts)} == {dt.datetime(2025, 1, 2)}
+    assert {r["d"] for r in p.table("fact_account", ["19970101"]).selectExpr("date_id as d").distinct().collect()} == {19970101}
+
+
+def test_a_rebuild_writes_every_part_and_reuses_no_key(spark, tmpdir_path, contract):
+    inp, out = f"{tmpdir_path}/input", f"{tmpdir_path}/out"
+    os.makedirs(inp)
+    for y in (1995, 1997):
+        write_batch(spark, inp, y)
+    p = Pipeline(spark, contract, inp, out, bucket_records=100, max_buckets=5)
+    p.run("first", dt.datetime(2025, 1, 1))
+    given = {(r["account_key"], r["start_date"]): r["account_id"] for r in p.table("dim_account").collect()}
+    write_batch(spark, inp, 1996)
+    p.run("late", dt.datetime(2025, 1, 2))
+    acc = contract.dimension("dim_account")
+    assert table_rows(p.dimension("dim_account")) == table_rows(expected_dim(p, acc, "late"))
+    now = {(r["account_key"], r["start_date"]): r["account_id"] for r in p.table("dim_account").collect()}
+    assert all(now[k] == given[k] for k in set(now) & set(given))
+    assert not {now[k] for k in set(now) - set(given)} & set(given.values())
+    assert sorted(now.values()) == sorted(set(now.values()))
+    assert {v[0] is None for v in sinks.snapshot_meta(spark, f"{out}/warehouse/fact_account")["parts"].values()} == {False}
+    assert p.table("fact_account").count() == len(now)
+
+
+def test_tables_stored_as_a_whole_are_taken_over(spark, tmpdir_path, contract):
+    """Dimensions and facts in one versioned directory, as earlier versions wrote them."""
+    inp, out = f"{tmpdir_path}/input", f"{tmpdir_path}/out"
+    os.makedirs(inp)
+    write_batch(spark, inp, 1995)
+    p = Pipeline(spark, contract, inp, out)
+    p.run("first", dt.datetime(2025, 1, 1))
+    for kind, name in (("dims", "dim_account"), ("warehouse", "dim_account"), ("warehouse", "fact_account")):
+        rows = (p.dimension if kind == "dims" else p.table)(name).checkpoint()
+        meta = sinks.snapshot_meta(spark, f"{out}/{kind}/{name}")
+        os.remove(f"{out}/{kind}/{name}/_CURRENT")
+        sinks.write_snapshot(rows, f"{out}/{kind}/{name}", meta={k: meta[k] for k in ("batches", "run_id", "contract_version", "rebuild") if k in meta})
+    write_batch(spark, inp, 1996)
+    p.run("second", dt.datetime(2025, 1, 2))
+    acc = contract.dimension("dim_account")
+    drop = ("last_updated_run_id",)
+    assert table_rows(p.dimension("dim_account"), drop) == table_rows(expected_dim(p, acc, "x"), drop)
+    assert p.table("fact_account").count() == p.table("dim_account").count() == p.dimension("dim_account").count()
+    assert {r["d"] for r in p.table("fact_account").selectExpr("date_id as d").distinct().collect()} == {19950101, 19960101}
