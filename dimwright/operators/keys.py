@@ -1,19 +1,17 @@
 """Surrogate keys and merges (upsert / insert-missing) on natural keys.
 
-Dense surrogate keys without a global window: the natural keys alone are
-range-partitioned, sorted and materialised once (reliable checkpoint: layout and
-order become fixed); each key's index inside its partition comes from
-``monotonically_increasing_id`` (partition id << 33 | index), and the counts of
-the partitions, one row each, are summed up before it.  This dictionary of
-natural key and number then meets the rows, broadcast if it is counted as small.
-The rows themselves are neither sorted nor stored, and every stage stays parallel.
-
-The checkpoint must come after the range exchange: the range partitioner seeds
-its bound sampling with the RDD id, so two evaluations of an un-materialised
-range exchange may cut different ranges.
-
-Rows that share a natural key (no dimension has them, but nothing here forbids
-them) get a number each, in the order of a hash of their values.
+Dense surrogate keys without a global window: the rows are materialised once
+(reliable checkpoint: every row's place becomes fixed) and only their natural key
+and place are range-partitioned, sorted and materialised again.  A row's index
+inside its range comes from ``monotonically_increasing_id`` (partition id << 33 |
+index), the counts of the ranges, one row each, are summed up before it, and the
+numbers go back to the rows by their place, broadcast if they are counted as few.
+The wide rows are not sorted, and every stage stays parallel.
+
+The second checkpoint must come after the range exchange: the range partitioner
+seeds its bound sampling with the RDD id, so two evaluations of an un-materialised
+range exchange may cut different ranges.  The first comes before it, because that
+sampling is a job of its own that would otherwise run the whole upstream plan again.
 """
 
 from __future__ import annotations
@@ -27,8 +25,8 @@ from dimwright.operators.plan_utils import sized_broadcast
 from dimwright.session import ensure_checkpoint_dir
 
 _LOW33 = (1 << 33) - 1
-#: a dictionary is broadcast up to this many key values (its counted rows times its key columns)
-DICTIONARY_CELLS = 1_000_000
+#: numbers (two longs each) go back to their rows by a broadcast up to this many
+BROADCAST_NUMBERS = 1_000_000
 
 
 def bucket_of(business_key: str, buckets: int) -> Column:
@@ -36,50 +34,30 @@ def bucket_of(business_key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(F.col(f"`{business_key}`").cast("string")), F.lit(buckets)).cast("int")
 
 
-def key_dictionary(df: DataFrame, nk: Sequence[str], base: Column | int = 0, partitions: int | None = None) -> tuple[DataFrame, int, bool]:
-    """Numbering of the natural keys of ``df``: (rows of ``nk`` and ``__number``, their count, whether any repeats).
-
-    ``__number`` is ``base`` + 1, 2, ... in natural-key order.  Only the key columns of ``df`` are read.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
+def assign_surrogate_keys(df: DataFrame, nk: Sequence[str], key_col: str,
+                          base: Column | int = 0, partitions: int | None = None) -> DataFrame:
+    """Add ``key_col`` = base + 1, 2, ... in natural-key order (dense, deterministic; equal keys in the order of their places)."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     cols = [F.col(f"`{c}`") for c in nk]
-    narrow = df.select(*cols)
+    fixed = df.checkpoint(eager=True).withColumn("__row", F.monotonically_increasing_id())
+    narrow = fixed.select(*cols, "__row")
     # without an explicit count AQE may coalesce small ranges; the checkpoint fixes whatever layout results
     ranged = narrow.repartitionByRange(partitions, *cols) if partitions else narrow.repartitionByRange(*cols)
-    tagged = ranged.sortWithinPartitions(*cols).checkpoint(eager=True).select(
-        "*", F.spark_partition_id().alias("__pid"), F.monotonically_increasing_id().alias("__mid"))
-    per_key = tagged.groupBy("__pid", *cols).agg(F.count(F.lit(1)).alias("__n"))
-    counts = sorted((r["__pid"], r["n"], r["keys"]) for r in per_key.groupBy("__pid").agg(
-        F.sum("__n").alias("n"), F.count(F.lit(1)).alias("keys")).collect())  # a row per partition
+    tagged = ranged.sortWithinPartitions(*cols, "__row").checkpoint(eager=True).select(
+        "__row", F.spark_partition_id().alias("__pid"), F.monotonically_increasing_id().alias("__mid"))
+    counts = {r["__pid"]: r["n"] for r in tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per range
     offsets, total = [], 0
-    for pid, n, _ in counts:
+    for pid in sorted(counts):
         offsets.append((pid, total))
-        total += n
-    before = df.sparkSession.createDataFrame(offsets, "__pid int, __off long")
+        total += counts[pid]
+    before = F.broadcast(spark.createDataFrame(offsets, "__pid int, __off long"))
     base_col = base if isinstance(base, Column) else F.lit(int(base))
     number = base_col.cast("long") + F.col("__off") + F.col("__mid").bitwiseAND(F.lit(_LOW33)) + 1
-    numbered = tagged.join(F.broadcast(before), "__pid").select(*cols, number.alias("__number"))
-    return numbered, total, any(n != keys for _, n, keys in counts)
-
-
-def assign_surrogate_keys(df: DataFrame, nk: Sequence[str], key_col: str,
-                          base: Column | int = 0, partitions: int | None = None) -> DataFrame:
-    """Add ``key_col`` = base + 1, 2, ... in natural-key order (dense, deterministic).
-
-    ``df`` is evaluated twice, once for its key columns only."""
-    numbered, total, repeated = key_dictionary(df, nk, base, partitions)
-    rows = df
-    if repeated:
-        # the numbers of equal keys follow each other: the first, and each row's place among its equals
-        numbered = numbered.groupBy(*[F.col(f"`{c}`") for c in nk]).agg(F.min("__number").alias("__number"))
-        place = Window.partitionBy(*[F.col(f"`{c}`") for c in nk]).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-        rows = df.withColumn("__place", F.row_number().over(place) - 1)
-    keys = numbered.select(*[F.col(f"`{c}`").alias(f"__nk{i}") for i, c in enumerate(nk)], "__number")
-    if total * max(1, len(nk)) <= DICTIONARY_CELLS:
-        keys = F.broadcast(keys)
-    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"__nk{i}")) for i, c in enumerate(nk)]
-    number = F.col("__number") + F.col("__place") if repeated else F.col("__number")
-    return rows.join(keys, same).select(*[F.col(f"`{c}`") for c in df.columns], number.alias(key_col))
+    numbers = tagged.join(before, "__pid").select("__row", number.alias("__number"))
+    if total <= BROADCAST_NUMBERS:
+        numbers = F.broadcast(numbers)
+    return fixed.join(numbers, "__row").select(*[F.col(f"`{c}`") for c in df.columns], F.col("__number").alias(key_col))
 
 
 def max_key(target: DataFrame, key_col: str) -> Column:

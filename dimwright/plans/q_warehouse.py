@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from dimwright.operators import keys, marts, scd, shape, warehouse
@@ -67,16 +69,14 @@ def star(spark, sf) -> dict:
 
     The three dimensions share one deduped feed, materialised once (reliable
     checkpoint) instead of being re-derived from the raw scan per dimension;
-    each key assignment materialises its dimension once.
+    each key assignment materialises its dimension once.  The dimensions do not
+    depend on each other, so their jobs run side by side.
     """
     ensure_checkpoint_dir(spark)
     rows = feeds.account_rows(spark, sf).checkpoint(eager=True)
-    acc = warehouse.warehouse_dimension(
-        scd.replay(scd.prepare(rows, _no_dedup(ACCOUNT)),
-                   ACCOUNT, run_col()), ACCOUNT)
-    nat = warehouse.warehouse_dimension(scd.replay(nation_rows(spark, sf, rows), NATION, run_col()), NATION)
-    seg = warehouse.warehouse_dimension(scd.replay(segment_rows(spark, sf, rows), SEGMENT, run_col()),
-                                        SEGMENT)
+    prepared = ((scd.prepare(rows, _no_dedup(ACCOUNT)), ACCOUNT), (nation_rows(spark, sf, rows), NATION), (segment_rows(spark, sf, rows), SEGMENT))
+    with ThreadPoolExecutor(len(prepared)) as pool:
+        acc, nat, seg = pool.map(lambda p: warehouse.warehouse_dimension(scd.replay(p[0], p[1], run_col()), p[1]), prepared)
     f = warehouse.fact_rows(acc, ACCOUNT, FACT, {"dim_nation": nat, "dim_segment": seg})
     return {"dim_account": acc, "dim_nation": nat, "dim_segment": seg, "fact": f}
 
