@@ -9,12 +9,14 @@ then goes to the node's own siblings.  All shares are whole tokens and add up ex
 A leaf takes whole epochs of its documents, then a prefix of one more epoch: documents in the order of
 a seeded hash of epoch and id until the leaf's tokens are used up, the last document cut short.  To find
 that prefix no leaf is sorted as a whole: hash digits split it into 4,096 buckets whose sums are
-added up, the bucket with the cut is split again, and only the rows in that last bucket are ordered.
+added up, and the bucket with the cut is split again.  In that last bucket rows of one id and length are added up into
+one class first, which may be a third of all rows (a missing id); only the classes are ordered, and the class with the cut is
+written out again from its numbers, in pieces of ``PIECE_ROWS`` rows dealt over the tasks.
 
 Tokens are words parted by white space (space, tab, line feed, vertical tab, form feed, return).  Null and
 empty texts have none and are never taken.  A null language is ``und``, a null source ``unknown``, a null
-id ``null`` in the hash.  Rows that agree in id, tokens and text are interchangeable; other columns are
-not read.
+id ``null`` in the hash.  Rows of one leaf that agree in id and tokens are interchangeable; other columns are
+not read.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ OTHER_DOMAIN = "other"
 WEIGHTS = {"domain": {"web": 40, "reference": 40, "forum": 20}, "lang": {"en": 50, "de": 20, "fr": 20, "es": 10},
            "source": {"src0": 3, "src8": 2}}
 DEFAULT_WEIGHT = {"domain": 5, "lang": 5, "source": 1}
+#: rows that one task writes out of a class
+PIECE_ROWS = 4096
 #: budget as a share of all tokens, epochs allowed, seed
 SHARE, EPOCHS, SEED = (3, 5), 2, "mix-1"
 
@@ -96,6 +100,25 @@ def cut_by(rows: DataFrame, digits: str) -> DataFrame:
     return sums.withColumn("before", F.coalesce(F.sum("inside").over(before), F.lit(0)))
 
 
+def cut_classes(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``names`` and ``extra`` of the rows of the last buckets: taken in the order of key, id and tokens up to ``rest``."""
+    classes = rows.groupBy("leaf", "key", *names, "rest", "before").agg(F.count(F.lit(1)).alias("many"))
+    order = Window.partitionBy("leaf").orderBy("key", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
+    done = F.col("before") + F.coalesce(F.sum(F.col("many") * F.col("n_tokens")).over(order), F.lit(0))
+    classes = classes.withColumn("room", F.greatest(F.lit(0), F.col("rest") - done).cast("long"))
+    whole = F.when(F.col("n_tokens") > 0, F.least("many", F.expr("room div n_tokens"))).otherwise(0).cast("long")
+    classes = classes.withColumn("whole", whole).withColumn("part", F.when(F.col("whole") < F.col("many"), F.least(
+        "n_tokens", F.col("room") - F.col("whole") * F.col("n_tokens"))).otherwise(0).cast("long"))
+    some = (F.col("part") > 0).cast("long")
+    takes = F.array(F.struct(F.col("n_tokens").alias("extra"), F.col("whole").alias("n")), F.struct(F.col("part").alias("extra"), some.alias("n")),
+                    F.struct(F.lit(0).cast("long").alias("extra"), (F.col("many") - F.col("whole") - some).alias("n")))
+    taken = classes.select(*names, F.explode(takes).alias("t")).filter("t.n > 0").select(*names, "t.extra", "t.n")
+    pieces = taken.select(*names, "extra", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {PIECE_ROWS}"))).alias("piece"))
+    pieces = pieces.repartition(*names, "extra", "piece")
+    inside = F.least(F.lit(PIECE_ROWS).cast("long"), F.col("n") - F.col("piece") * PIECE_ROWS)
+    return pieces.select(*names, "extra", F.explode(F.sequence(F.lit(1).cast("long"), inside)).alias("nth")).drop("nth")
+
+
 def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
                 domains: Mapping = DOMAINS, weights: Mapping = WEIGHTS, defaults: Mapping = DEFAULT_WEIGHT,
                 share: tuple[int, int] = SHARE, epochs: int = EPOCHS, seed: str = SEED) -> DataFrame:
@@ -104,8 +127,7 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     text = F.col(f"`{text_col}`")
     docs = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{lang_col}`"), F.lit("und")).alias("lang"),
                      F.coalesce(F.col(f"`{source_col}`"), F.lit("unknown")).alias("source"),
-                     F.coalesce(F.regexp_count(text, F.lit(TOKEN)), F.lit(0)).cast("long").alias("n_tokens"),
-                     F.xxhash64(text).alias("tie"))
+                     F.coalesce(F.regexp_count(text, F.lit(TOKEN)), F.lit(0)).cast("long").alias("n_tokens"))
     docs = docs.withColumn("domain", lookup(F.col("source"), {s: d for d, ss in domains.items() for s in ss}, OTHER_DOMAIN))
     docs = save_table(docs, "mix-documents")
     leaves = save_table(docs.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens")), "mix-leaves")
@@ -126,12 +148,10 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     whole_bucket = F.col("before") + F.col("inside") <= F.col("rest")
     names = ["doc_id", *LEVELS, "n_tokens", "epochs"]
     sure = placed.filter(~F.coalesce(cut, F.lit(False))).select(*names, F.when(whole_bucket, F.col("n_tokens")).otherwise(0).alias("extra"))
-    near = save_table(placed.filter(cut).select(*names, "leaf", "tie", "key", "d2", (F.col("rest") - F.col("before")).alias("rest")), "mix-cut")
+    near = save_table(placed.filter(cut).select(*names, "leaf", "key", "d2", (F.col("rest") - F.col("before")).alias("rest")), "mix-cut")
     placed = near.join(cut_by(near, "d2"), ["leaf", "d2"])
     sure2 = placed.filter(~cut).select(*names, F.when(whole_bucket, F.col("n_tokens")).otherwise(0).alias("extra"))
-    order = Window.partitionBy("leaf").orderBy("key", "doc_id", "n_tokens", "tie").rowsBetween(Window.unboundedPreceding, -1)
-    last = placed.filter(cut).withColumn("__done", F.col("before") + F.coalesce(F.sum("n_tokens").over(order), F.lit(0)))
-    last = last.select(*names, F.greatest(F.lit(0), F.least("n_tokens", F.col("rest") - F.col("__done"))).alias("extra"))
+    last = cut_classes(placed.filter(cut), names)
     out = sure.unionByName(sure2).unionByName(last)
     taken = (F.col("epochs") * F.col("n_tokens") + F.col("extra")).cast("long")
     copies = F.when(F.col("n_tokens") > 0, F.col("epochs") + (F.col("extra") > 0).cast("long")).otherwise(0).cast("long")

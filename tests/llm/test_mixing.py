@@ -96,3 +96,32 @@ def test_shortage_goes_to_siblings_first():
     _, quota = plain(docs, (1, 2), 1, {}, {}, {"domain": 1, "lang": 1, "source": 1}, "s")
     assert quota[("other", "en")] == quota[("other", "de")] == 500
     assert quota[("other", "en", "poor")] == 100 and quota[("other", "en", "rich")] == 400
+
+
+def test_a_third_of_all_rows_without_an_id(spark, monkeypatch):
+    """They share one place in the order: the cut lies among them, and they are ordered as one class per length."""
+    rng = random.Random(4)
+    docs = [(None if i % 3 == 0 else i, "w " * rng.choice([3, 3, 5, 8]), "en", "hot") for i in range(9000)]
+    setup = dict(domains={}, weights={}, defaults={"domain": 1, "lang": 1, "source": 1}, epochs=1)
+    seen = []
+    real = M.cut_classes
+
+    def watch(rows, names):
+        out = real(rows, names)
+        seen.append((rows.count(), rows.select("leaf", "key", *names).distinct().count(), out.count()))
+        return out
+
+    monkeypatch.setattr(M, "cut_classes", watch)
+    monkeypatch.setattr(M, "PIECE_ROWS", 100)
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    # the place of the missing ids in the leaf depends on the seed: take shares just below and above it
+    place = sorted([(hashlib.md5(f"t:0:{'null' if d is None else d}".encode()).hexdigest(), d) for d, *_ in docs], key=lambda x: x[0])
+    first = next(i for i, (_, d) in enumerate(place) if d is None)
+    for at in (first + 1500, first + 10):
+        share = (at, len(docs))
+        want, quota = plain(docs, seed="t", share=share, **setup)
+        got = sorted((tuple(r) for r in M.mix_sources(df, seed="t", share=share, **setup).collect()), key=repr)
+        assert got == want and sum(r[6] for r in got) == quota[()]
+    assert max(rows for rows, _, _ in seen) >= 3000  # the cut was among them
+    assert max(classes for _, classes, _ in seen) <= 10
+    assert all(rows == out for rows, _, out in seen)
