@@ -3,9 +3,10 @@
 Each task turns its documents, some hundred at a time, into a shard: one array of word
 numbers with a zero between documents.  Words that no benchmark item uses are zero as well, and a
 suffix that meets a zero before the shortest window ends can hold no match, so the shard's suffix
-array orders the remaining suffixes only.  Every suffix of every benchmark item is then
-binary-searched in it; equal ranges are all the verbatim matches and their places.  Matches
-that continue one another form the longest match of a document and an item.
+array orders the remaining suffixes only, by as many words as the longest window has: that is
+all a window's search compares.  Every suffix of every benchmark item is then binary-searched in it;
+equal ranges are all the verbatim matches and their places.  Matches that continue one another, word
+by word, form the longest match of a document and an item.
 
 A window is ``window`` consecutive words of an item, or the whole item if it is shorter; an item
 without words has none.  Words are runs of letters, digits and non-ASCII characters, with A-Z
@@ -30,7 +31,7 @@ from dimwright.llm.common import add_columns, save_table, table
 
 WINDOW = 10
 #: words of benchmark text handed to the tasks at a time, and words of a shard
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 1_000_000
 SHARD_WORDS = 1 << 19
 
 #: bytes: A-Z to a-z, other ASCII than letters and digits to space, the rest unchanged
@@ -43,32 +44,27 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class Block:
-    """Some benchmark items: word numbers, and their distinct windows by length."""
+    """Some benchmark items: word numbers, and their distinct windows by length, as arrays."""
 
     def __init__(self, items: list[tuple[str, list[bytes]]], window: int = WINDOW):
+        import numpy as np
+
         self.vocabulary: dict[bytes, int] = {}
         self.names = sorted({name for name, _ in items})
         number = {n: i for i, n in enumerate(self.names)}
-        places: dict[int, dict[tuple, list]] = {}
-        for name, words in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words]
-            width = min(window, len(ids))
-            for at in range(len(ids) - width + 1) if ids else ():
-                places.setdefault(width, {}).setdefault(tuple(ids[at:at + width]), []).append((number[name], at))
-        #: width -> (windows in order, and for each its (item, place in the item) pairs)
-        self.windows = {w: sorted(by.items()) for w, by in places.items()}
-
-    def arrays(self):
-        """Width -> (sorted keys, item and place of each occurrence, first occurrence of each window)."""
-        import numpy as np
-
-        out = {}
-        for width, entries in self.windows.items():
-            keys = byte_keys(np.array([k for k, _ in entries], ">u4"))
-            flat = [p for _, ps in entries for p in ps]
-            first = np.concatenate([[0], np.cumsum([len(ps) for _, ps in entries])])
-            out[width] = (keys, np.array([i for i, _ in flat]), np.array([a for _, a in flat]), first)
-        return out
+        texts = [np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words], np.uint32) for _, words in items]
+        #: width -> (sorted distinct windows, item and place of each occurrence, first occurrence of each window)
+        self.arrays = {}
+        for width in sorted({min(window, len(t)) for t in texts} - {0}):
+            here = [i for i, t in enumerate(texts) if min(window, len(t)) == width]
+            keys = byte_keys(np.concatenate([np.lib.stride_tricks.sliding_window_view(texts[i], width) for i in here]).astype(">u4"))
+            many = [len(texts[i]) - width + 1 for i in here]
+            item = np.repeat(np.array([number[items[i][0]] for i in here], np.int32), many)
+            place = np.concatenate([np.arange(n, dtype=np.int32) for n in many])
+            order = np.lexsort([place, item, keys])
+            keys, item, place = keys[order], item[order], place[order]
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            self.arrays[width] = (keys[first], item, place, np.append(first, len(keys)))
 
 
 def byte_keys(matrix):
@@ -176,7 +172,7 @@ def scan_block(df: DataFrame, block: Block, text_col: str, keep: list[str] | Non
         import numpy as np
 
         b = shared.value
-        arrays, get, names = b.arrays(), b.vocabulary.get, b.names
+        arrays, get, names = b.arrays, b.vocabulary.get, b.names
 
         def shard(ids):
             if not arrays or not any(len(i) for i in ids):

@@ -81,3 +81,14 @@ def test_query(spark):
             for d, n, h, i in plain(rows("documents", "doc_id"), rows("benchmark", "item_id"))]
     got = [tuple(r) for r in C.op4_decontamination(spark, path).collect()]
     assert sorted(got) == sorted(want)
+
+
+def test_a_block_of_a_million_words_stays_small():
+    """Arrays, not a dictionary of windows: what a worker holds of one block, and what is pickled to it."""
+    import pickle
+    rng = random.Random(1)
+    vocabulary = [f"word{i}".encode() for i in range(50_000)]
+    block = C.Block([(str(i), rng.choices(vocabulary, k=1000)) for i in range(C.BLOCK_WORDS // 1000)])
+    held = sum(a.nbytes for arrays in block.arrays.values() for a in arrays)
+    assert held < 70 << 20 and len(pickle.dumps(block, 5)) < 75 << 20
+    assert len(block.arrays[10][1]) == C.BLOCK_WORDS // 1000 * 991
