@@ -12,7 +12,8 @@ prototypes are small whatever the corpus.
 Texts are lower-cased; runs of anything but letters count as one space, and so do both ends.
 A null text, or one without a letter, is ``und`` with score 0.  Equal cosines go to
 the alphabetically first language.  The score is the cosine, at least 0.  Without a single
-training row every text is ``und``.  Repeated rows train and count repeatedly.
+training row every text is ``und``.  Repeated rows train and count repeatedly.  An empty table gives an
+empty result; columns called ``lang_pred`` or ``score`` are replaced.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ DIMENSION = 1024
 MAX_LANGUAGES = 2000
 #: trigrams whose vectors are held at a time, and characters of text read at a time
 BLOCK_GRAMS = 4096
+#: up to this many (trigram, text) pairs are counted in a table, more by sorting those that occur
+DENSE_PAIRS = 1 << 22
 STEP_CHARS = 1 << 19
 STEP_TEXTS = 128
 
@@ -57,7 +60,8 @@ class Encoder:
         return v
 
     def grams(self, texts: list[str]):
-        """Distinct trigrams of a batch and their counts: (codes [g, 3], counts [texts, g], has a letter [texts])."""
+        """Distinct trigrams of a batch and where they are: (codes [g, 3], trigram, text and count of each pair that
+        occurs, by trigram, has a letter [texts])."""
         np = self.np
         joined = np.frombuffer("".join(f" {t.lower()} " for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32)
         size = np.array([len(t.lower()) + 2 for t in texts])
@@ -86,9 +90,15 @@ class Encoder:
             gram = index[gram]
         else:
             present, gram = np.unique(gram, return_inverse=True)
-        counts = np.bincount(owner * len(present) + gram, minlength=len(texts) * len(present))
+        n, pairs = len(texts), len(texts) * len(present)
+        if pairs <= DENSE_PAIRS:
+            counts = np.bincount(gram * n + owner, minlength=pairs)
+            pair = np.flatnonzero(counts)
+            counts = counts[pair]
+        else:
+            pair, counts = np.unique(gram * n + owner, return_counts=True)
         codes = np.stack([letters[present // (k * k)], letters[present // k % k], letters[present % k]], axis=1)
-        return codes, counts.reshape(len(texts), len(present)), has_letter
+        return codes, pair // n, pair % n, counts, has_letter
 
     def bind(self, codes):
         """Vectors of trigrams: first letter rotated twice, second once, multiplied."""
@@ -101,10 +111,14 @@ class Encoder:
     def bundle(self, texts: list[str]):
         """(vectors [texts, dimension], has a letter)."""
         np = self.np
-        codes, counts, has_letter = self.grams(texts)
+        codes, gram, text, counts, has_letter = self.grams(texts)
         out = np.zeros((len(texts), self.dimension))
         for i in range(0, len(codes), BLOCK_GRAMS):
-            out += counts[:, i:i + BLOCK_GRAMS].astype(np.float32) @ self.bind(codes[i:i + BLOCK_GRAMS]).astype(np.float32)
+            block = codes[i:i + BLOCK_GRAMS]
+            s, e = np.searchsorted(gram, [i, i + len(block)])
+            dense = np.zeros((len(texts), len(block)), np.float32)
+            dense[text[s:e], gram[s:e] - i] = counts[s:e]
+            out += dense @ self.bind(block).astype(np.float32)
         return out, has_letter
 
 

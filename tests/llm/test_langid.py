@@ -52,3 +52,29 @@ def test_edges(spark):
     # equal cosines: the first name
     p = langid.train(df)["en"]
     assert langid.predict(df.limit(1), {"zz": p, "aa": p}).first()["lang_pred"] == "aa"
+
+
+def test_many_different_letters_stay_small(monkeypatch):
+    """Half a million CJK letters have as many different trigrams: only the pairs that occur are counted."""
+    import random
+    import tracemalloc
+
+    import numpy as np
+    rng = random.Random(1)
+    texts = ["".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(2000)) for _ in range(64)]
+    enc = langid.Encoder(64)
+    tracemalloc.start()
+    enc.bundle(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150 << 20
+    few = ["the cat", "der hund und", "x"]
+    want = langid.Encoder().bundle(few)[0]
+    monkeypatch.setattr(langid, "DENSE_PAIRS", 0)
+    assert np.array_equal(langid.Encoder().bundle(few)[0], want)
+
+
+def test_empty_table_and_clashing_names(spark):
+    df = spark.createDataFrame([], "text string, lang_pred int, score int, lang string")
+    out = langid.predict(df, {"en": [1.0] * langid.DIMENSION})
+    assert out.columns == ["text", "lang", "lang_pred", "score"] and out.count() == 0
