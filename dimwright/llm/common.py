@@ -73,15 +73,34 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: folders that ``save_table`` wrote and nobody dropped yet
+_SAVED: list[str] = []
+
+
 def save_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: cuts the lineage, and the
-    files survive lost executors."""
+    files survive lost executors.  They stay until ``drop_saved``: results read from them."""
     spark = df.sparkSession
     path = shared_dir(spark, name)
+    _SAVED.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def saved() -> list[str]:
+    """Folders written by ``save_table`` so far that are still there, oldest first."""
+    return list(_SAVED)
+
+
+def drop_saved(spark: SparkSession, paths: Sequence[str] | None = None) -> None:
+    """Delete folders that ``save_table`` wrote (default: all), once what reads from them is written elsewhere."""
+    for path in list(_SAVED if paths is None else paths):
+        if path in _SAVED:
+            _SAVED.remove(path)
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def bounded_rows(df: DataFrame, limit: int, what: str) -> list:
     """Collect a table that is small by nature; more rows than ``limit`` raise instead of
     flooding the driver."""

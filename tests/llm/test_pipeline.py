@@ -80,3 +80,21 @@ def test_near_dedup_decides_per_row(spark):
     left = [r for r in got if r[1] not in (c, c + " end", g, g + " end")]
     assert left == sorted([(1, a), (None, b), (5, d), (4, e), (6, f), (6, f), (None, ""), (None, "")], key=repr)
     assert [r[0] for r in got if r not in left] == [8, None]
+
+
+def test_only_the_last_folders_are_left(spark):
+    import os as _os
+
+    from dimwright.llm import common
+    common.drop_saved(spark)
+    out = P.run(spark, "/root/testdata/sf0.001")
+    rows = out.collect()
+    left = [_os.path.basename(p).rsplit("-", 1)[0] for p in common.saved()]
+    assert [n for n in left if n.startswith("pipeline-")] == ["pipeline-secrets"]
+    assert all(n.startswith(("pipeline-secrets", "mix-")) for n in left)
+    folder = lambda p: p.removeprefix("file:")
+    paths = common.saved()
+    assert all(_os.path.exists(folder(p)) for p in paths)
+    assert len(out.collect()) == len(rows) > 0
+    common.drop_saved(spark)
+    assert common.saved() == [] and not any(_os.path.exists(folder(p)) for p in paths)
