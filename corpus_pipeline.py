@@ -22,7 +22,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql.types import LongType, StringType, StructField  # noqa: E402
 
 from dimwright.llm import contamination, langid, minhash, mixing, secret_scan  # noqa: E402
-from dimwright.llm.common import add_columns, save_table, table  # noqa: E402
+from dimwright.llm.common import add_columns, drop_saved, save_table, saved, table  # noqa: E402
 
 #: near duplicates share four fifths of their five-word shingles
 SHINGLE_WORDS, SIMILARITY = 5, (4, 5)
@@ -67,7 +67,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of ``documents``.  When a stage is saved, the folders of the stages before it go; the caller may drop
+    the last ones (``common.drop_saved``) once the result is written."""
     docs = table(spark, sf_dir, "documents")
+    before = set(saved())
     for name, stage in STAGES[:-1]:
         docs = save_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        drop_saved(spark, [p for p in saved()[:-1] if p not in before])
     return STAGES[-1][1](spark, docs, sf_dir)
