@@ -15,7 +15,7 @@ Semantics, per business key and batch (one row per key after dedup):
 A NULL incoming tracked value never opens a version.  NULL business keys never
 match, so every such row is a new version (as an anti join would treat them).
 
-Three evaluation strategies produce the same dimension:
+Four evaluation strategies produce the same dimension:
 
 ``apply_batch``   one batch onto a snapshot: one left join of the current rows
                   with the batch, an action per row and an ``explode`` of 1-2
@@ -26,6 +26,7 @@ Three evaluation strategies produce the same dimension:
 ``apply_batches`` many pending batches onto an existing snapshot in one
                   shuffle: the window (or fold) path seeded with each touched
                   key's open version.
+``refold``        late batches: ``replay`` for the keys that they hold only.
 """
 
 from __future__ import annotations
@@ -318,6 +319,25 @@ def apply_batches(state: DataFrame | None, rows: DataFrame, spec: DimensionSpec,
     return out if hist is None else hist.unionByName(out)
 
 
+def refold(state: DataFrame, rows: DataFrame, keys: DataFrame, spec: DimensionSpec, run_id: RunId) -> DataFrame:
+    """Snapshot after late batches: the versions of ``keys`` are folded anew, all others pass by.
+
+    ``keys`` is one column, the business key, of the keys that the late batches hold; ``rows`` has the prepared rows of
+    those keys in every batch, and the late rows without a key, which never meet a version and are added.
+    """
+    others = align_dimension(state, spec).join(sized_broadcast(keys), spec.business_key, "left_anti")
+    return others.unionByName(replay(rows, spec, run_id))
+
+
+def source_key(spec: DimensionSpec) -> str | None:
+    """Source column that the business key comes from unchanged, if a filter on it may go before deduplication."""
+    bk = spec.business_key
+    if bk in {name for name, _ in spec.derived_fields}:
+        return None
+    source = {new: old for old, new in spec.field_renames}.get(bk, bk)
+    return source if not spec.dedup.enabled or source in spec.dedup_keys else None
+
+
 def current_view(dim: DataFrame) -> DataFrame:
     """Current versions only (a state without ``is_current`` is all current)."""
     return dim.where(_c("is_current")) if "is_current" in dim.columns else dim

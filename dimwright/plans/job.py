@@ -28,9 +28,10 @@ point recoverable by simply running again:
    unloaded batches; the base dimension's batches are marked loaded only after
    the fact load, so a crash re-drives both.
 
-Many pending batches are folded in one pass (no per-batch job loop); a late
-batch (earlier than the latest applied one) or a contract-version change
-replays every batch.
+Many pending batches are folded in one pass (no per-batch job loop).  After a
+late batch (earlier than the latest applied one) the keys that it holds are
+folded anew from all their batches, and the facts of the dates that their
+versions lie in are loaded again; a contract-version change replays everything.
 """
 
 from __future__ import annotations
@@ -47,6 +48,7 @@ from pyspark.sql import types as T
 
 from dimwright.contract import Contract, DimensionSpec
 from dimwright.operators import checks, dq, keys, scd, shape, state, validate, warehouse
+from dimwright.operators.plan_utils import sized_broadcast
 from dimwright.operators.validate import STATUS_COL
 from dimwright.session import ensure_checkpoint_dir
 from dimwright.sources import jsonl, paths, sinks
@@ -261,8 +263,7 @@ class Pipeline:
         latest = state.latest_version(mine).collect()
         rebuild = bool(applied) and bool(latest) and latest[0]["latest_version"] != spec.contract_version
         pending = all_batches if rebuild else [b for b in all_batches if b not in set(applied)]
-        if applied and pending and min(pending) < max(applied):
-            rebuild, pending = True, list(all_batches)
+        late = bool(applied and pending and not rebuild and min(pending) < max(applied))
         if not pending:
             return {"status": "skipped", "pending": []}
         root = self._path("dims", spec.name)
@@ -276,19 +277,31 @@ class Pipeline:
         # buckets that hold keys of the pending batches; at most ``buckets`` numbers
         touched = None if whole else sorted(str(r["b"]) for r in rows.select(bucket.alias("b")).distinct().collect())
         current = None if rebuild or meta is None else self.dimension(spec.name, touched)
+        refolded = None
         if current is None:
             new_state = scd.replay(rows, spec, run_id)
+        elif late:
+            held = rows.select(spec.business_key).where(F.col(f"`{spec.business_key}`").isNotNull()).distinct().checkpoint()
+            refolded = held.count()
+            folded = self._rows_of_keys(sorted({*applied, *pending}), held, spec)
+            new_state = scd.refold(current, folded.unionByName(rows.where(F.col(f"`{spec.business_key}`").isNull())), held, spec, run_id)
         elif len(pending) == 1:
             new_state = scd.apply_batch(current, rows, spec, run_id)
         else:
             new_state = scd.apply_batches(current, rows, spec, run_id)
+        # facts to load again after a late batch: the dates of its keys' versions, before and after
+        moved = {} if whole else dict(meta.get("late") or {})
+        if refolded is not None:
+            moved[run_id] = self._dates(current.join(held, spec.business_key, "left_semi"), spec) | self._dates(
+                new_state.where(F.col("last_updated_run_id") == run_id), spec) | set(pending)
+            moved[run_id] = sorted(moved[run_id])
         contained = sorted(set(pending) | (set() if rebuild else set(applied)))
         # the run that wrote a bucket last, so that a warehouse load finds the buckets of its runs
         every = [str(b) for b in range(buckets)]
         wrote = {**({} if whole else meta["wrote"]), **{b: run_id for b in (every if whole else touched)}}
         sinks.write_parts(new_state.withColumn(BUCKET_COL, bucket), root, BUCKET_COL, touched,
                           meta={"batches": contained, "run_id": run_id, "contract_version": spec.contract_version, "rebuild": rebuild,
-                                "rebuilt_by": run_id if whole else meta.get("rebuilt_by"), "buckets": buckets, "wrote": wrote})
+                                "rebuilt_by": run_id if whole else meta.get("rebuilt_by"), "buckets": buckets, "wrote": wrote, "late": moved})
         self.fault(f"after_snapshot:{spec.name}")
         if rebuild:
             ctl = state.clear_markers(ctl, spec.name)
@@ -296,7 +309,19 @@ class Pipeline:
         ctl = state.mark_scd_done(ctl, batches, spec.name, run_id, spec.contract_version,
                                   F.lit(now).cast("timestamp"))
         self._publish("control", "etl_scd_batches", ctl)
-        return {"status": "success", "pending": pending, "rebuild": rebuild}
+        return {"status": "success", "pending": pending, "rebuild": rebuild, "refolded_keys": refolded}
+
+    def _rows_of_keys(self, batches: list[str], held: DataFrame, spec: DimensionSpec) -> DataFrame:
+        """Prepared rows of some business keys in some batches; the filter goes before the deduplication where it can."""
+        rows, source = self.valid_rows(batches), scd.source_key(spec)
+        if source in rows.columns:
+            return scd.prepare(rows.join(sized_broadcast(held.withColumnRenamed(spec.business_key, source)), source, "left_semi"), spec)
+        return scd.prepare(rows, spec).join(sized_broadcast(held), spec.business_key, "left_semi")
+
+    @staticmethod
+    def _dates(versions: DataFrame, spec: DimensionSpec) -> set[str]:
+        """Batch dates of some versions; at most one per batch."""
+        return {str(r["d"]) for r in versions.select(F.col(spec.batch_column).cast("date").alias("d")).distinct().collect()}
 
     # ------------------------------------------------------------ C: warehouse
     def _load_dimension(self, spec: DimensionSpec, run_id: str, now: _dt.datetime) -> list[str]:
@@ -330,8 +355,9 @@ class Pipeline:
         else:
             target = self.table(spec.table, None if whole else touched)
             base = meta["max_key"] if "max_key" in meta else self.table(spec.table).agg(F.max(key)).first()[0] or 0
-            if whole:  # keep only natural keys still present
-                target = target.join(snap.select(*spec.nk_columns), list(spec.nk_columns), "left_semi")
+            # a rebuild or a late batch may have removed versions
+            same = [F.col(f"t.`{c}`").eqNullSafe(F.col(f"s.`{c}`")) for c in spec.nk_columns]
+            target = target.alias("t").join(snap.select(*spec.nk_columns).alias("s"), same, "left_semi")
             loaded = keys.merge_upsert(target, staging, list(spec.nk_columns), key, audit={"updated_at": stamp}, base=base)
         loaded = loaded.withColumn(BUCKET_COL, keys.bucket_of(spec.business_key, buckets))
         # the highest key given is known only once the rows are written: it goes into the pointer with them
@@ -360,19 +386,22 @@ class Pipeline:
             if not pending:
                 continue
             dims = {d: self.table(self.contract.dimension(d).table) for _, d, _, _ in fact.foreign_keys}
-            batch_df = self.spark.createDataFrame([(b,) for b in pending], "d string").select(
+            root = self._path("warehouse", fact.name)
+            stored = sinks.snapshot_meta(self.spark, root) or {}
+            moved = sinks.snapshot_meta(self.spark, self._path("dims", base_spec.name)).get("late") or {}
+            done = set(stored.get("late_done") or ())
+            due = sorted({*pending, *(d for run, dates in moved.items() if run not in done for d in dates)})
+            dates = [d.replace("-", "") for d in due]
+            batch_df = self.spark.createDataFrame([(b,) for b in due], "d string").select(
                 F.col("d").cast("date").alias(fact.date_source))
-            # versions that the pending batches opened lie in the buckets that their runs wrote
-            base = self.table(base_spec.table, self._touched[fact.base])
+            # versions of new dates lie in the buckets that the pending runs wrote, those of older dates anywhere
+            fresh = not any(d in (stored.get("parts") or {}) for d in dates)
+            base = self.table(base_spec.table, self._touched[fact.base] if fresh else None)
             rows = warehouse.fact_rows(base, base_spec, fact, dims, batch_df).withColumn("loaded_at", F.lit(now).cast("timestamp"))
             self._publish("violations", fact.name, self._fact_violations(fact, base_spec, self.table(base_spec.table), dims, run_id))
-            root = self._path("warehouse", fact.name)
-            dates = [b.replace("-", "") for b in pending]
-            if (sinks.snapshot_meta(self.spark, root) or {}).get("path"):  # stored as a whole by an earlier version
+            if "path" in stored:  # stored as a whole by an earlier version
                 rows = self.table(fact.name).where(~F.col("date_id").isin([int(d) for d in dates])).unionByName(rows)
-                sinks.write_parts(rows, root, "date_id")
-            else:
-                sinks.write_parts(rows, root, "date_id", dates)
+            sinks.write_parts(rows, root, "date_id", None if "path" in stored else dates, meta={"late_done": sorted(done | set(moved))})
             self._mark_loaded(fact.base, pending, now)
         return {k: v for k, v in loaded.items()}
 

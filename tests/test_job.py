@@ -118,9 +118,12 @@ def test_incremental_late_batch_and_restart(spark, tmpdir_path, contract):
 
     write_batch(spark, inp, 1997)  # late: earlier than the latest applied batch
     out = p.run("run-3", dt.datetime(2025, 1, 3))
-    assert out["dimensions"]["dim_account"]["rebuild"]
+    late_keys = p.valid_rows(["1997-01-01"]).select("o_custkey").distinct().count()
+    assert out["dimensions"]["dim_account"]["refolded_keys"] == late_keys > 0
     dim = p.dimension("dim_account")
-    assert table_rows(dim) == table_rows(expected_dim(p, acc, "run-3"))
+    # versions that the late batch does not concern keep the run that wrote them
+    run = ("last_updated_run_id",)
+    assert table_rows(dim, run) == table_rows(expected_dim(p, acc, "run-3"), run)
     # the warehouse holds exactly the snapshot's versions (no stale current rows)
     wh = p.table("dim_account")
     assert table_rows(wh, drop=("account_id", "updated_at")) == table_rows(dim)
@@ -322,24 +325,63 @@ def test_a_load_replaces_only_the_parts_it_touches(spark, tmpdir_path, contract)
     assert {r["d"] for r in p.table("fact_account", ["19970101"]).selectExpr("date_id as d").distinct().collect()} == {19970101}
 
 
-def test_a_rebuild_writes_every_part_and_reuses_no_key(spark, tmpdir_path, contract):
+def test_a_late_batch_refolds_its_keys_only(spark, tmpdir_path, contract):
+    """Few keys arrive late: their buckets are written anew, and the facts of the dates their versions lie in."""
     inp, out = f"{tmpdir_path}/input", f"{tmpdir_path}/out"
     os.makedirs(inp)
-    for y in (1995, 1997):
+    for y in (1995, 1996, 1998):
         write_batch(spark, inp, y)
-    p = Pipeline(spark, contract, inp, out, bucket_records=100, max_buckets=5)
+    p = Pipeline(spark, contract, inp, out, bucket_records=10, max_buckets=40)
     p.run("first", dt.datetime(2025, 1, 1))
     given = {(r["account_key"], r["start_date"]): r["account_id"] for r in p.table("dim_account").collect()}
-    write_batch(spark, inp, 1996)
-    p.run("late", dt.datetime(2025, 1, 2))
+    before = {t: stored_files(f"{out}/{t}") for t in ("dims/dim_account", "warehouse/dim_account", "warehouse/fact_account")}
+    write_batch(spark, inp, 1997)
+    few = spark.read.json(f"{inp}/batch-1997-01-01").where("o_custkey in (1, 2, 4)").checkpoint()
+    few.coalesce(1).write.mode("overwrite").json(f"{inp}/batch-1997-01-01")
+    report = p.run("late", dt.datetime(2025, 1, 2))["dimensions"]["dim_account"]
+    held = [r[0] for r in p.valid_rows(["1997-01-01"]).select("o_custkey").distinct().collect()]
+    assert report["refolded_keys"] == len(held) > 0 and not report["rebuild"]
+    opened = {d.strftime("%Y%m%d") for k, d in given if k in held}  # dates of versions that were there, some of them gone now
+    touched = {str(r[0]) for r in p.valid_rows(["1997-01-01"]).select(keys.bucket_of("o_custkey", 40)).distinct().collect()}
     acc = contract.dimension("dim_account")
-    assert table_rows(p.dimension("dim_account")) == table_rows(expected_dim(p, acc, "late"))
+    drop = ("last_updated_run_id",)
+    dim = p.dimension("dim_account")
+    assert table_rows(dim, drop) == table_rows(expected_dim(p, acc, "x"), drop)
+    assert {r[0] for r in dim.where("last_updated_run_id = 'late'").select("account_key").distinct().collect()} == set(held)
+    assert table_rows(p.table("dim_account"), ("account_id", "updated_at")) == table_rows(dim)
     now = {(r["account_key"], r["start_date"]): r["account_id"] for r in p.table("dim_account").collect()}
-    assert all(now[k] == given[k] for k in set(now) & set(given))
+    assert all(now[k] == given[k] for k in set(now) & set(given)) and len(set(now.values())) == len(now)
     assert not {now[k] for k in set(now) - set(given)} & set(given.values())
-    assert sorted(now.values()) == sorted(set(now.values()))
-    assert {v[0] is None for v in sinks.snapshot_meta(spark, f"{out}/warehouse/fact_account")["parts"].values()} == {False}
-    assert p.table("fact_account").count() == len(now)
+    dates = {r[0].strftime("%Y%m%d") for r in dim.where(F.col("account_key").isin(held)).select("source_batch_date").distinct().collect()}
+    for t, column, want in (("dims/dim_account", "key_bucket", touched), ("warehouse/dim_account", "key_bucket", touched),
+                            ("warehouse/fact_account", "date_id", dates | opened | {"19970101"})):
+        after = stored_files(f"{out}/{t}")
+        assert before[t].items() <= after.items() and parts_of(set(after) - set(before[t]), column) <= want, t
+    facts = {r["account_id"]: (r["date_id"], r["order_amount"]) for r in p.table("fact_account").collect()}
+    versions = {r["account_id"]: (int(r["source_batch_date"].strftime("%Y%m%d")), r["o_totalprice"], r["account_key"]) for r in p.table("dim_account").collect()}
+    assert set(facts) == set(versions)
+    assert all(facts[i] == v[:2] for i, v in versions.items() if v[2] in held)
+    # a second load finds nothing due
+    p.run("again", dt.datetime(2025, 1, 3))
+    assert stored_files(f"{out}/warehouse/fact_account") == after
+
+
+def test_a_new_contract_version_writes_every_part_and_reuses_no_key(spark, tmpdir_path, contract):
+    inp, out = f"{tmpdir_path}/input", f"{tmpdir_path}/out"
+    os.makedirs(inp)
+    for y in (1995, 1996):
+        write_batch(spark, inp, y)
+    p = Pipeline(spark, contract, inp, out, bucket_records=100, max_buckets=5)
+    p.run("first", dt.datetime(2025, 1, 1))
+    given = {(r["account_key"], r["start_date"]): r["account_id"] for r in p.table("dim_account").collect()}
+    meta2 = {**META, "dimension_defaults": {**META["dimension_defaults"], "contract_version": "2.0"}}
+    q = Pipeline(spark, contract_from_dict(meta2), inp, out, bucket_records=10, max_buckets=8)  # other buckets as well
+    q.run("second", dt.datetime(2025, 1, 2))
+    assert table_rows(q.dimension("dim_account")) == table_rows(expected_dim(q, contract.dimension("dim_account"), "second"))
+    assert {(r["account_key"], r["start_date"]): r["account_id"] for r in q.table("dim_account").collect()} == given
+    assert sinks.snapshot_meta(spark, f"{out}/warehouse/dim_account")["buckets"] == 8
+    assert {r["loaded_at"] for r in q.table("fact_account").collect()} == {dt.datetime(2025, 1, 2)}
+    assert q.table("fact_account").count() == len(given)
 
 
 def test_tables_stored_as_a_whole_are_taken_over(spark, tmpdir_path, contract):

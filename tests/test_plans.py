@@ -80,3 +80,39 @@ def test_null_keys_are_merged_not_repeated(spark):
     got = sorted((tuple(r) for r in merge_upsert(target, staging, ["k"], "id").collect()), key=repr)
     assert got == [(1, "a", 1), (2, None, 5), (3, "b", 6)]
     assert merge_append_missing(target.select("k", "v"), staging, ["k"]).count() == 3
+
+
+def _shuffles_above(node, path, seen=()):
+    """Names of the exchanges between the root and every scan of ``path``, broadcasts left out."""
+    name = node.nodeName()
+    if name.startswith("BroadcastExchange"):
+        return set()
+    seen = (*seen, name) if "Exchange" in name else seen
+    children = [node.children().apply(i) for i in range(node.children().size())]
+    if not children:
+        return set(seen) if path in node.verboseStringWithOperatorId() else set()
+    return set().union(*(_shuffles_above(c, path, seen) for c in children))
+
+
+def test_a_small_batch_shuffles_no_state(spark, tmpdir_path, no_auto_broadcast):
+    """The state's rows meet the batch where they lie: no exchange above the state's scan."""
+    from dimwright.operators import scd
+    from dimwright.plans.feeds import ACCOUNT
+    from dimwright.plans.q_scd import account_replay, batch_rows
+    path = f"{tmpdir_path}/state"
+    scd.replay(batch_rows(spark, SF001, [1995, 1996]), ACCOUNT, "r1").write.parquet(path)
+    batch_rows(spark, SF001, [1997]).write.parquet(f"{tmpdir_path}/batch")
+    state, batch = spark.read.parquet(path), spark.read.parquet(f"{tmpdir_path}/batch")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = scd.apply_batch(state, batch, ACCOUNT, "r2")
+        plan = out._jdf.queryExecution().executedPlan()
+        assert _shuffles_above(plan, path) == set()
+        text = plan.toString()
+        assert text.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in text
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    want = scd.replay(batch_rows(spark, SF001, [1995, 1996, 1997]), ACCOUNT, "x").drop("last_updated_run_id")
+    got = out.drop("last_updated_run_id")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
