@@ -12,7 +12,7 @@ The pair sums come from a frequent-pattern tree.  A kept term is a row: its sour
     + over common terms:    abs(p_s - p_t) - abs(p_s - z_t) - abs(p_t - z_s) + abs(z_s - z_t)
 
 The last line is the pair correction, and the tree adds it up.  Equal rows are counted into one with a multiplicity, the rows
-are dealt out and sorted by range, and in each task consecutive rows share the path of their common prefix: a
+are dealt out by range and sorted, and in each task consecutive rows share the path of their common prefix: a
 tree node is one (source, p) below one prefix, its multiplicity the terms that pass through it.  Each node meets each of its
 ancestors once, weighted by that multiplicity, in steps of one generation for all nodes of a batch at a time.  A node that a batch or task
 boundary cuts in two is counted in two parts, which add up to the same.  The middle lines need no pairs of terms: per
@@ -232,7 +232,9 @@ def audit_sources(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     path = F.array_sort(F.collect_list(F.struct("place", "p", "zero")))
     paths = items.groupBy("lang", "term").agg(path.alias("path")).groupBy("lang", "path").agg(F.count(F.lit(1)).alias("many"))
     paths = save_table(paths, "term-rows")
-    common = tree_corrections(paths.repartitionByRange("lang", "path").sortWithinPartitions("lang", "path"))
+    # dealt out by the first items, then by a hash: the bounds of the ranges are found from few bytes a row
+    near = paths.repartitionByRange("lang", F.slice("path", 1, 2), F.xxhash64("path"))
+    common = tree_corrections(near.sortWithinPartitions("lang", "path"))
     values = items.groupBy("lang", "place", "p").agg(F.count(F.lit(1)).alias("many"))
     single = single_sums(groups.filter("terms > 0"), values)
     flip = lambda d: d.select("lang", F.col("t").alias("s"), F.col("s").alias("t"), "value")
