@@ -1,7 +1,7 @@
 """Command line: run the pipeline (or one stage of it) over a JSON contract.
 
     spark-submit -m dimwright.cli run --contract metadata.json \
-        --input s3a://input-data --root s3a://warehouse --run-id 2025-01-15
+        --input s3a://order-drops --root s3a://warehouse --run-id 2025-01-15
 
 Stages: ``ingest``, ``dimensions``, ``warehouse``, ``dq`` or ``run`` (all).
 Prints the stage report as one JSON line.

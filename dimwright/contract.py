@@ -285,8 +285,8 @@ def validate_contract(c: Contract) -> None:
             for r in fr.rules:
                 if r.name not in RULES:
                     raise ContractError(
-                        f"unsupported validation rule for field {fr.field!r}: {r.name!r}; "
-                        f"supported: {sorted(RULES)}")
+                        f"no rule is called {r.name!r} (asked for by the field {fr.field!r}); "
+                        f"there are {', '.join(sorted(RULES))}")
             # a rule on a field that a record lacks yields 'fieldMissing' at run time, but the
             # declared schema has to know the field
             if c.feed.enforce_schema and fr.field not in names:

@@ -50,6 +50,35 @@ def duplicate_rate_by_batch(df: DataFrame, keys: Sequence[str], batch_col: str)
         .alias("duplicate_rate"))
 
 
+def ledger(classified: DataFrame, batch_col: str, status_col: str, keys: Sequence[str]) -> DataFrame:
+    """Rows of each (batch, status, key): what every count and duplicate rate, per batch or over all, is added up from.
+
+    A batch's rows depend on that batch alone, so a stored ledger is extended batch by batch.
+    """
+    return classified.groupBy(batch_col, status_col, *keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def ledger_counts(entries: DataFrame, batch_col: str, status_col: str) -> DataFrame:
+    """Valid and invalid records per batch."""
+    per = lambda st: F.coalesce(F.sum(F.when(F.col(status_col) == st, F.col("n"))), F.lit(0)).cast("long")
+    return entries.groupBy(batch_col).agg(per("valid").alias("valid_records"), per("invalid").alias("invalid_records"))
+
+
+def ledger_duplicate_rates(entries: DataFrame, batch_col: str, status_col: str, keys: Sequence[str]) -> DataFrame:
+    """Per status: rows per batch and one over all batches (``batch`` NULL, ``is_total`` true).
+
+    A key repeated across batches is a duplicate in the all-batch row; NULL counts as a value.
+    """
+    figures = (F.sum("n").cast("long").alias("total_records"), F.count(F.lit(1)).alias("distinct_keys"))
+    per_batch = entries.groupBy(status_col, batch_col).agg(*figures).select(
+        status_col, F.col(batch_col).alias("batch"), F.lit(False).alias("is_total"), "total_records", "distinct_keys")
+    overall = entries.groupBy(status_col, *keys).agg(F.sum("n").alias("n")).groupBy(status_col).agg(*figures).select(
+        status_col, F.lit(None).cast(entries.schema[batch_col].dataType).alias("batch"), F.lit(True).alias("is_total"),
+        "total_records", "distinct_keys")
+    return per_batch.unionByName(overall).withColumn("duplicate_rate", rounded_pct(
+        F.col("total_records") - F.col("distinct_keys"), F.col("total_records")))
+
+
 def error_breakdown(invalid: DataFrame) -> DataFrame:
     """(field, code, error_count) over the error maps (classified or invalid rows)."""
     return (invalid.select(F.explode(ERRORS_COL).alias("field", "codes"))
@@ -91,9 +120,13 @@ def reconciliation(inputs: DataFrame, outputs: DataFrame, batch_col: str) -> Dat
     """
     i = inputs.groupBy(F.col(batch_col).alias("batch")).agg(
         F.coalesce(F.sum("input_record_count"), F.lit(0)).cast("long").alias("input_records"))
-    o = outputs.groupBy(F.col(batch_col).alias("batch")).agg(
+    return reconciled(i, outputs.groupBy(F.col(batch_col).alias("batch")).agg(
         F.count_if(F.col("record_status") == "valid").alias("valid_records"),
-        F.count_if(F.col("record_status") == "invalid").alias("invalid_records"))
+        F.count_if(F.col("record_status") == "invalid").alias("invalid_records")))
+
+
+def reconciled(i: DataFrame, o: DataFrame) -> DataFrame:
+    """Counts of what came in and of what is there, per ``batch``, side by side with a total row."""
     j = i.join(o, "batch", "full_outer").na.fill(0, ["input_records", "valid_records",
                                                      "invalid_records"])
     per = j.select("batch", F.lit(False).alias("is_total"), "input_records", "valid_records",

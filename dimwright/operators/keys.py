@@ -76,10 +76,13 @@ def merge_upsert(target: DataFrame, staging: DataFrame, nk: Sequence[str], key_c
     new rows get ``max(key) + dense offset``; untouched target rows pass through.
     ``audit`` columns (e.g. ``updated_at``) are stamped on inserted/updated rows.
     The new rows come from an anti join against the target's key columns only,
-    so the wide target is shuffled once (by the left join that applies updates).
+    so the wide target moves at most once (for the left join that applies updates);
+    staging is materialised once.
     """
     audit = audit or {}
     nk = list(nk)
+    ensure_checkpoint_dir(staging.sparkSession)
+    staging = staging.checkpoint(eager=True)  # its plan, say a replay, runs once for the updates and the new rows
     value_cols = [c for c in staging.columns if c not in nk]
     out_cols = list(target.columns)
     s = staging.select(*[F.col(f"`{c}`") for c in nk],

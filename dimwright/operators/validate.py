@@ -4,8 +4,8 @@ All rules of all fields are evaluated in one pass over the rows, so the source
 is scanned once; valid and invalid outputs are two filters of that result, or
 one partitioned write (see ``sources.sinks.write_split``).
 
-Plan shape: a first projection evaluates every rule condition exactly once
-into a boolean column; the arrays, the error map and the status are then
+Plan shape: a generator of one row evaluates every rule condition exactly once
+into a boolean column (a projection would be repeated by a filter pushed below it); the arrays, the error map and the status are then
 assembled from those columns by reference with ``concat`` / ``map_from_entries``
 of guarded one-element arrays (no lambda functions, so the projection stays in
 whole-stage code generation and no rule expression is inlined twice).
@@ -70,7 +70,8 @@ def _flagged(df: DataFrame, validations: list[FieldRules]):
             flags.append(cond.alias(name))
             entries.append((name, code))
         plan.append((v.field, entries))
-    return df.select("*", *flags), plan
+    # a generator of one row: a filter on the status stays above it, so no rule is evaluated twice
+    return (df.select("*", F.inline(F.array(F.struct(*flags)))) if flags else df), plan
 
 
 def annotate(df: DataFrame, validations: Iterable[FieldRules]) -> DataFrame:
@@ -127,17 +128,6 @@ def split_valid_invalid(df: DataFrame, validations: Iterable[FieldRules]) -> tup
     return valid, invalid
 
 
-def error_rows(classified: DataFrame, key_cols: list[str]) -> DataFrame:
-    """Long form: one row per (key..., field, code).
-
-    Valid rows carry no map, so a classified frame can be passed directly
-    (no status filter, whose pushdown would re-evaluate every rule).
-    """
-    return (classified
-            .select(*key_cols, F.explode(ERRORS_COL).alias("field", "codes"))
-            .select(*key_cols, "field", F.explode("codes").alias("code")))
-
-
 def violations(df: DataFrame, validations: Iterable[FieldRules], key_cols: list[str]) -> DataFrame:
     """Long form straight from the rule flags: one row per (key..., field, code).
 

@@ -9,6 +9,8 @@ Storage layout under one root (any Hadoop filesystem):
     <root>/warehouse/<t>/   warehouse tables: dimensions with surrogate keys and
                             updated_at, in the same buckets; facts with
                             loaded_at, a part per date_id; dim_date
+    <root>/ledger/          counts of (batch, status, key) and of (batch, field,
+                            code), a part per batch; the metrics come from them
     <root>/violations/<t>/  what the last load of a table found: duplicate
                             natural keys, orphans, NULL measures
     <root>/control/<t>/     versioned control tables: etl_runs,
@@ -49,7 +51,7 @@ from pyspark.sql import types as T
 from dimwright.contract import Contract, DimensionSpec
 from dimwright.operators import checks, dq, keys, scd, shape, state, validate, warehouse
 from dimwright.operators.plan_utils import sized_broadcast
-from dimwright.operators.validate import STATUS_COL
+from dimwright.operators.validate import ERRORS_COL, STATUS_COL
 from dimwright.session import ensure_checkpoint_dir
 from dimwright.sources import jsonl, paths, sinks
 
@@ -65,7 +67,7 @@ SCD_SCHEMA = T.StructType([
 RUNS_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()), T.StructField("started_at", T.TimestampType()),
     T.StructField("completed_at", T.TimestampType()), T.StructField("status", T.StringType()),
-    T.StructField("error_text", T.StringType())])
+    T.StructField("error_text", T.StringType()), T.StructField("violations", T.LongType())])
 
 
 DQ_SCHEMA = T.StructType([
@@ -88,6 +90,7 @@ def _percent(part: int | None, total: int) -> float:
 
 #: bucket of the business key that a stored dimension row lies in
 BUCKET_COL = "key_bucket"
+BATCH_COL = "source_batch_date"
 
 
 class PipelineError(RuntimeError):
@@ -114,9 +117,12 @@ class Pipeline:
 
     def _read(self, kind: str, name: str, schema: T.StructType | None = None) -> DataFrame | None:
         df = sinks.read_snapshot(self.spark, self._path(kind, name))
-        if df is None and schema is not None:
+        if schema is None:
+            return df
+        if df is None:
             return self.spark.createDataFrame([], schema)
-        return df
+        # columns that an earlier version did not write are NULL
+        return df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
 
     def _publish(self, kind: str, name: str, df: DataFrame, meta: dict | None = None) -> None:
         sinks.write_snapshot(df, self._path(kind, name), meta=meta)
@@ -139,9 +145,9 @@ class Pipeline:
         return max(1, min(self.max_buckets, -(-records // self.bucket_records)))
 
     # ------------------------------------------------------------ run bookkeeping
-    def _run_row(self, run_id: str, status: str, started, completed=None, error: str | None = None) -> None:
+    def _run_row(self, run_id: str, status: str, started, completed=None, error: str | None = None, violations: int | None = None) -> None:
         runs = self.control("etl_runs")
-        row = self.spark.createDataFrame([(run_id, started, completed, status, (error or "")[:4000] or None)], RUNS_SCHEMA)
+        row = self.spark.createDataFrame([(run_id, started, completed, status, (error or "")[:4000] or None, violations)], RUNS_SCHEMA)
         self._publish("control", "etl_runs",
                       state.upsert_by_key(runs, row, ["run_id"], keep_first=["started_at"]))
 
@@ -158,11 +164,12 @@ class Pipeline:
             out = {"ingestion": self.run_ingestion(run_id, now)}
             out["dimensions"] = self.run_dimensions(run_id, now)
             out["warehouse"] = self.run_warehouse(run_id, now)
+            out["violations"] = self.check_tables(out["warehouse"])
             out["dq"] = self.run_dq(run_id, now)
         except Exception as e:
             self._run_row(run_id, "failed", now, end(), f"{type(e).__name__}: {e}")
             raise
-        self._run_row(run_id, "success", now, end())
+        self._run_row(run_id, "success", now, end(), violations=sum(out["violations"].values()))
         return out
 
     # ------------------------------------------------------------ A: ingestion
@@ -186,6 +193,9 @@ class Pipeline:
         if feed.enforce_schema and feed.schema is not None:
             reader = reader.schema(feed.schema)
         existing = [p for p in batch_paths if paths.path_exists(self.spark, p)]
+        empty = [f for p in existing for f in paths.empty_files(self.spark, p)]
+        if empty:
+            raise PipelineError(f"empty input files: {empty}")
         missing = sorted(set(batch_paths) - set(existing))
         if missing and feed.required:
             raise PipelineError(f"required input missing: {missing}")
@@ -196,12 +206,19 @@ class Pipeline:
             stamped = raw.withColumns({"source_batch_date": batch, "processed_run_id": F.lit(run_id)})
             # records as the source delivers them, counted while they pass by
             counter = Observation("source records")
-            stamped = stamped.observe(counter, *[F.count_if(F.col("source_batch_date") == F.lit(d).cast("date")).alias(d)
-                                                 for d in pending])
+            of = {d: F.col("source_batch_date") == F.lit(d).cast("date") for d in pending}
+            blank = F.lit(feed.enforce_schema and feed.schema is not None)
+            for c in feed.schema.names if feed.schema is not None else ():
+                blank = blank & F.col(f"`{c}`").isNull()
+            stamped = stamped.observe(counter, *[F.count_if(x).alias(d) for d, x in of.items()],
+                                      *[F.count_if(x & blank).alias(f"{d} unparsed") for d, x in of.items()])
             classified = validate.classify(stamped, feed.validations) \
                 .withColumn("ingestion_dt", F.lit(now).cast("timestamp"))
             sinks.write_split(classified, self._path("feed"), batches=pending)
             read = dict(counter.get)
+            lost = [d for d in pending if read.get(d) and read[d] == read.get(f"{d} unparsed")]
+            if lost:  # not marked as ingested: a mended file is taken by the next run
+                raise PipelineError(f"no record of these batches can be read under the declared schema: {lost}")
         self.fault("after_feed_write")
         marks = (self.spark.createDataFrame([(d, int(read.get(d) or 0)) for d in pending], "d string, n long")
                  .select(F.col("d").cast("date").alias("batch_date"), F.lit(run_id).alias("run_id"),
@@ -405,6 +422,33 @@ class Pipeline:
             self._mark_loaded(fact.base, pending, now)
         return {k: v for k, v in loaded.items()}
 
+    def check_tables(self, loaded: dict[str, list[str]]) -> dict[str, int]:
+        """Violations in what a load left in the tables, by check; the rows are kept under ``violations``.
+
+        Dimensions are checked in the buckets that the load wrote: exactly one current version, no gap between versions,
+        and the same rows in the snapshot and in the warehouse.  Facts add what their load has found.
+        """
+        found = {}
+        for spec in self.contract.dimensions:
+            if not loaded.get(spec.name):
+                continue
+            touched = self._touched[spec.name]
+            snap, table = self.dimension(spec.name, touched), self.table(spec.table, touched)
+            fields = [c for c in snap.columns if c not in spec.nk_columns]
+            parts = {"snapshot": checks.snapshot_differences(shape.cast_to(snap, dict(spec.load_types)), table, list(spec.nk_columns), fields)}
+            if spec.is_scd2 and "is_current" in table.columns:
+                known = table.where(F.col(f"`{spec.business_key}`").isNotNull())
+                parts["one_current"] = checks.one_current(known, spec.business_key)
+                parts["gapless"] = checks.gapless_versions(known, spec.business_key)
+            for name, rows in parts.items():
+                found[f"{spec.name}: {name}"] = n = rows.count()
+                if n:
+                    self._publish("violations", f"{spec.name}-{name}", rows)
+        for fact in self.contract.facts:
+            if loaded.get(fact.base):
+                found[fact.name] = self._read("violations", fact.name).agg(F.sum("violations").alias("n")).first()["n"] or 0
+        return found
+
     def _fact_violations(self, fact, base_spec: DimensionSpec, base: DataFrame, dims: dict, run_id: str) -> DataFrame:
         """What the fact load leaves out or cannot trust: orphaned foreign keys and NULL measures, counted per check."""
         key = warehouse.surrogate_key_name(base_spec.name)
@@ -426,15 +470,15 @@ class Pipeline:
 
     # ------------------------------------------------------------ D: data quality
     def run_dq(self, run_id: str, now: _dt.datetime) -> dict:
-        feed = self.spark.read.parquet(self._path("feed"))
         keys_ = list(self.contract.feed.uniqueness_keys)
-        inputs = self.control("etl_ingestion_batches").select(
-            F.col("batch_date").alias("source_batch_date"), "input_record_count")
-        recs = dq.reconciliation(inputs, feed, "source_batch_date").collect()  # a row per batch and a total
+        entries, errors = self._ledger(keys_)
+        inputs = self.control("etl_ingestion_batches").select(F.col("batch_date").alias("batch"), F.col("input_record_count").alias("input_records"))
+        counts = dq.ledger_counts(entries, BATCH_COL, STATUS_COL).withColumnRenamed(BATCH_COL, "batch")
+        recs = dq.reconciled(inputs, counts).collect()  # a row per batch and a total
         rec = next(r for r in recs if r["is_total"])
         batches = sorted((r for r in recs if not r["is_total"]), key=lambda r: str(r["batch"]))
-        broken = dq.breakdown_json(dq.error_breakdown(feed.where(F.col(STATUS_COL) == "invalid"))).first()
-        rates = ({r[STATUS_COL]: r for r in dq.duplicate_rates_by_status(feed, keys_).collect()}
+        broken = dq.breakdown_json(errors.groupBy("field", "code").agg(F.sum("error_count").alias("error_count"))).first()
+        rates = ({r[STATUS_COL]: r for r in dq.ledger_duplicate_rates(entries, BATCH_COL, STATUS_COL, keys_).where("is_total").collect()}
                  if keys_ else {})  # at most one row per status
         vdup, idup = rates.get("valid"), rates.get("invalid")
         dims = {d.name: self.dimension(d.name) for d in self.contract.dimensions
@@ -461,6 +505,27 @@ class Pipeline:
         self._persist_dq(row)
         return row
 
+    def _ledger(self, keys_: list[str]) -> tuple[DataFrame, DataFrame]:
+        """The ledger of (batch, status, key) counts and that of (batch, field, code) counts.
+
+        Of the feed, only batches ingested since the last time are read: a batch's entries are replaced when another run
+        has ingested it.
+        """
+        by = {r["batch_date"].isoformat(): r["run_id"] for r in self.control("etl_ingestion_batches").collect()}  # a row per batch
+        roots = {"keys": self._path("ledger", "keys"), "errors": self._path("ledger", "errors")}
+        known = {n: (sinks.snapshot_meta(self.spark, root) or {}) for n, root in roots.items()}
+        same = all(m.get("keys") == keys_ for m in known.values())
+        due = sorted(b for b, run in by.items() if not same or any(m["runs"].get(b) != run for m in known.values()))
+        if due:
+            feed = self.spark.read.parquet(self._path("feed")).where(F.col(BATCH_COL).isin([F.lit(b).cast("date") for b in due]))
+            broken = feed.where(F.col(STATUS_COL) == "invalid").select(BATCH_COL, F.explode(ERRORS_COL).alias("field", "codes"))
+            broken = broken.select(BATCH_COL, "field", F.explode("codes").alias("code")).groupBy(BATCH_COL, "field", "code").agg(
+                F.count(F.lit(1)).alias("error_count"))
+            for name, rows in (("keys", dq.ledger(feed, BATCH_COL, STATUS_COL, keys_)), ("errors", broken)):
+                sinks.write_parts(rows, roots[name], BATCH_COL, due if same else None,
+                                  meta={"keys": keys_, "runs": {**(known[name].get("runs") or {}), **{b: by[b] for b in due}}})
+        return sinks.read_parts(self.spark, roots["keys"]), sinks.read_parts(self.spark, roots["errors"])
+
     def _persist_dq(self, row: dict) -> None:
         """Upsert the run's metrics row into control/dq_run_metrics (key: run_id)."""
         flat = self.spark.createDataFrame([tuple(

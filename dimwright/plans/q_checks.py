@@ -271,3 +271,81 @@ def q_unchanged(spark, sf):
     d = account_replay(spark, sf)
     d = d.unionByName(d.where(F.col(K) % 7 == 0))
     return checks.unchanged_single_version(d, batch_rows(spark, sf), K, ACCOUNT.scd2_fields)
+
+
+def _pct(part: str, total: str) -> str:
+    return f"CAST((2 * ({part}) * 10000 + ({total})) // (2 * ({total})) AS DOUBLE) / 100.0"
+
+
+METRICS_SQL = f"""WITH b AS (SELECT source_batch_date AS d, count(*) FILTER (WHERE record_status = 'valid') AS vn,
+  count(*) FILTER (WHERE record_status = 'invalid') AS ivn, count(*) AS n FROM ({CLASSIFIED_SQL}) __c GROUP BY source_batch_date),
+m AS (SELECT 'run-' || strftime(d, '%Y') AS run_id, year(d) AS y, n + CASE WHEN year(d) = 1996 THEN 1 ELSE 0 END AS input_records,
+  vn + CASE WHEN year(d) = 1997 THEN 5 ELSE 0 END AS valid_records, ivn AS invalid_records, n AS total_records,
+  CASE WHEN year(d) = 1995 THEN 7 WHEN year(d) = 1996 THEN 1 ELSE 0 END AS reconciliation_difference,
+  CASE WHEN year(d) = 1998 THEN 0.0 ELSE {_pct('vn', 'n')} END AS valid_rate, {_pct('ivn', 'n')} AS invalid_rate,
+  CASE WHEN year(d) = 1999 THEN 2 ELSE 1 END AS batch_count, vn AS listed_valid,
+  ivn + CASE WHEN year(d) = 2000 THEN 1 ELSE 0 END AS listed_invalid FROM b)"""
+
+
+@query("check_dq_row_consistent", f"""{METRICS_SQL},
+i AS (SELECT run_id, 'total' AS issue FROM m WHERE total_records <> valid_records + invalid_records
+UNION ALL SELECT run_id, 'difference' FROM m WHERE reconciliation_difference <> input_records - total_records
+UNION ALL SELECT run_id, 'lost_records' FROM m WHERE reconciliation_difference <> 0
+UNION ALL SELECT run_id, 'per_batch_valid' FROM m WHERE listed_valid <> valid_records
+UNION ALL SELECT run_id, 'per_batch_invalid' FROM m WHERE listed_invalid <> invalid_records
+UNION ALL SELECT run_id, 'batch_count' FROM m WHERE batch_count <> 1
+UNION ALL SELECT run_id, 'rates' FROM m WHERE total_records > 0 AND abs(valid_rate + invalid_rate - 100) > 0.011)
+SELECT * FROM i""")
+def q_dq_row_consistent(spark, sf):
+    """Stored metrics rows, one run per batch, spoilt year by year: every contradiction is named."""
+    from dimwright.functions.money import rounded_pct
+
+    entries = dq.ledger(classified(spark, sf), "source_batch_date", STATUS_COL, [])
+    y, vn, ivn = F.year("source_batch_date"), F.col("valid_records"), F.col("invalid_records")
+    listed = lambda n: F.to_json(F.create_map(F.col("source_batch_date").cast("string"), n))
+    rows = dq.ledger_counts(entries, "source_batch_date", STATUS_COL).select(
+        F.concat(F.lit("run-"), F.date_format("source_batch_date", "yyyy")).alias("run_id"),
+        (vn + ivn + (y == 1996).cast("int")).alias("input_records"), (vn + F.when(y == 1997, 5).otherwise(0)).alias("valid_records"),
+        ivn.alias("invalid_records"), (vn + ivn).alias("total_records"),
+        F.when(y == 1995, 7).when(y == 1996, 1).otherwise(0).alias("reconciliation_difference"),
+        F.when(y == 1998, 0.0).otherwise(rounded_pct(vn, vn + ivn)).alias("valid_rate"), rounded_pct(ivn, vn + ivn).alias("invalid_rate"),
+        F.when(y == 1999, 2).otherwise(1).alias("batch_count"), listed(vn).alias("per_batch_valid"),
+        listed(ivn + (y == 2000).cast("int")).alias("per_batch_invalid"))
+    return checks.dq_row_consistent(rows)
+
+
+@query("check_input_present", """WITH e AS (SELECT event_id, CAST(ts AS DATE) AS day,
+  CASE WHEN event_id % 50 = 0 THEN 'not json' ELSE props END AS raw FROM events),
+d AS (SELECT DISTINCT day FROM e UNION SELECT CAST(max(day) + INTERVAL 1 DAY AS DATE) FROM e),
+p AS (SELECT *, CASE WHEN json_valid(raw) THEN COALESCE(json_type(raw) = 'OBJECT'
+  AND TRY_CAST(json_extract_string(raw, '$.k') AS INTEGER) IS NOT NULL, FALSE) ELSE FALSE END AS ok FROM e WHERE day(day) % 7 <> 0),
+g AS (SELECT day, count(*) AS row_count, count(*) FILTER (WHERE NOT ok) AS unparseable_rows, arg_min(ok, event_id) AS first_line_ok
+  FROM p GROUP BY day)
+SELECT d.day, COALESCE(row_count, 0) AS row_count, COALESCE(unparseable_rows, 0) AS unparseable_rows,
+  COALESCE(first_line_ok, FALSE) AS first_line_ok FROM d LEFT JOIN g ON d.day = g.day
+WHERE row_count IS NULL OR NOT first_line_ok""")
+def q_input_present(spark, sf):
+    """Input days that are listed but hold no row (each seventh, and the day after the last), or begin with a bad line."""
+    day = F.col("ts").cast("date")
+    e = feeds.table(spark, sf, "events").select("event_id", day.alias("day"), F.when(F.col("event_id") % 50 == 0, F.lit("not json"))
+                                                .otherwise(F.col("props")).alias("raw"))
+    listed = e.select("day").distinct().unionByName(e.agg(F.date_add(F.max("day"), 1).alias("day")))
+    return checks.input_parseable(e.where(F.dayofmonth("day") % 7 != 0), "day", "event_id", "raw", "k int", listed)
+
+
+@query("check_snapshot_differences", f"""WITH s AS ({O.ACCOUNT_REPLAY}),
+w AS (SELECT * REPLACE (CASE WHEN o_custkey = (SELECT min(o_custkey) FROM s) THEN NULL ELSE o_totalprice END AS o_totalprice)
+  FROM ({WH_ACCOUNT_SQL}) __w)
+SELECT COALESCE(s.o_custkey, w.o_custkey) AS o_custkey, COALESCE(s.start_date, w.start_date) AS start_date,
+  CASE WHEN w.o_custkey IS NULL THEN 'missing_in_warehouse' WHEN s.o_custkey IS NULL THEN 'missing_in_snapshot'
+       ELSE 'different' END AS issue
+FROM s FULL OUTER JOIN w ON s.o_custkey = w.o_custkey AND s.start_date = w.start_date
+WHERE w.o_custkey IS NULL OR s.o_custkey IS NULL OR
+  ({' OR '.join(f's.{f} IS DISTINCT FROM w.{f}' for f in EQ_FIELDS)})""")
+def q_snapshot_differences(spark, sf):
+    """One customer's amounts were lost in the warehouse: digests find its buckets, and only those are joined."""
+    s = account_replay(spark, sf).checkpoint(eager=True)
+    least = s.select(F.min(K).alias(K))
+    w = wh_account(spark, sf).join(F.broadcast(least.withColumn("hit", F.lit(True))), K, "left").withColumn(
+        "o_totalprice", F.when(F.col("hit"), F.lit(None)).otherwise(F.col("o_totalprice"))).drop("hit")
+    return checks.snapshot_differences(s, w.checkpoint(eager=True), [K, "start_date"], EQ_FIELDS)

@@ -15,6 +15,7 @@ from dimwright.plans.q_scd import NATION_ROWS_SQL, _segment_rows_sql, account_re
     run_col, segment_rows
 from dimwright.plans.q_warehouse import FACT_SQL, fact
 from dimwright.plans.registry import query
+from dimwright.session import ensure_checkpoint_dir
 
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
 
@@ -149,26 +150,27 @@ FROM v"""
 def q_run_row(spark, sf):
     """One metrics row per run.
 
-    Each source (classified feed, inputs, error breakdown, dimensions, fact)
-    is aggregated once into a one-row frame; ``dq.combine_rows`` puts them
+    The classified feed is aggregated once, into a ledger of (batch, status, key)
+    counts that all its figures come from.  Each source (ledger, inputs, error
+    breakdown, dimensions, fact) becomes a one-row frame; ``dq.combine_rows`` puts them
     side by side and the rates are derived from the combined row.
     """
     from dimwright.functions.money import rounded_pct
     from dimwright.plans.q_warehouse import star
 
-    c = classified(spark, sf)
+    ensure_checkpoint_dir(spark)
     status = F.col(STATUS_COL)
-    per_batch = c.groupBy("source_batch_date").agg(
-        F.count_if(status == "valid").alias("vn"), F.count_if(status == "invalid").alias("ivn"))
+    entries = dq.ledger(classified(spark, sf), "source_batch_date", STATUS_COL, ["o_custkey"]).checkpoint(eager=True)
+    per_batch = dq.ledger_counts(entries, "source_batch_date", STATUS_COL)
     counts = per_batch.agg(
-        F.coalesce(F.sum("vn"), F.lit(0)).cast("long").alias("valid_records"),
-        F.coalesce(F.sum("ivn"), F.lit(0)).cast("long").alias("invalid_records"),
-        dq.per_batch_json("source_batch_date", "vn").alias("per_batch_valid"),
-        dq.per_batch_json("source_batch_date", "ivn").alias("per_batch_invalid"))
+        F.coalesce(F.sum("valid_records"), F.lit(0)).cast("long").alias("valid_records"),
+        F.coalesce(F.sum("invalid_records"), F.lit(0)).cast("long").alias("invalid_records"),
+        dq.per_batch_json("source_batch_date", "valid_records").alias("per_batch_valid"),
+        dq.per_batch_json("source_batch_date", "invalid_records").alias("per_batch_invalid"))
     inputs = (feeds.account_feed(spark, sf).groupBy("source_batch_date").agg(F.count(F.lit(1)).alias("n"))
               .agg(F.sum("n").cast("long").alias("input_records"), F.count(F.lit(1)).alias("batch_count")))
-    # duplicate rates of both sets from one per-(status, key) pre-aggregate
-    keyed = c.groupBy(STATUS_COL, "o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    # duplicate rates of both sets over all batches
+    keyed = entries.groupBy(STATUS_COL, "o_custkey").agg(F.sum("n").alias("n"))
     dups = keyed.agg(*[
         rounded_pct(F.sum(F.when(status == st, F.col("n"))) - F.count_if(status == st),
                     F.sum(F.when(status == st, F.col("n")))).alias(f"{st}_duplicate_rate")
@@ -222,9 +224,5 @@ def q_feed_dup_batch(spark, sf):
     The uniqueness key is the customer; a customer seen in several batches is a
     duplicate in the all-batch row; a NULL key counts as one value.
     """
-    c = classified(spark, sf)
-    parts = []
-    for st in ("valid", "invalid"):
-        d = dq.duplicate_rate_by_batch(c.where(F.col(STATUS_COL) == st), ["o_custkey"], "source_batch_date")
-        parts.append(d.select(F.lit(st).alias("record_status"), "*"))
-    return parts[0].unionByName(parts[1])
+    entries = dq.ledger(classified(spark, sf), "source_batch_date", STATUS_COL, ["o_custkey"])
+    return dq.ledger_duplicate_rates(entries, "source_batch_date", STATUS_COL, ["o_custkey"])

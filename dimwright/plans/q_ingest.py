@@ -94,16 +94,16 @@ def q_lineage(spark, sf):
 
 @query("ingest_batch_discovery", r"""SELECT DISTINCT CAST(TRY_STRPTIME(regexp_extract(path,
   'batch-(\d{4}-\d{2}-\d{2})', 1), '%Y-%m-%d') AS DATE) AS batch_date
-FROM (SELECT CASE WHEN o_orderkey % 101 = 0 THEN 's3a://input-data/batch-1999-13-45/input.jsonl'
-  WHEN o_orderkey % 103 = 0 THEN 's3a://input-data/tmp/input.jsonl'
-  ELSE 's3a://input-data/batch-' || strftime(o_orderdate, '%Y-%m-%d') || '/input.jsonl' END AS path
+FROM (SELECT CASE WHEN o_orderkey % 101 = 0 THEN 's3a://order-drops/batch-1999-13-45/input.jsonl'
+  WHEN o_orderkey % 103 = 0 THEN 's3a://order-drops/tmp/input.jsonl'
+  ELSE 's3a://order-drops/batch-' || strftime(o_orderdate, '%Y-%m-%d') || '/input.jsonl' END AS path
   FROM orders) __p WHERE batch_date IS NOT NULL ORDER BY batch_date""")
 def q_discovery(spark, sf):
     k = F.col("o_orderkey")
     paths = feeds.table(spark, sf, "orders").select(
-        F.when(k % 101 == 0, F.lit("s3a://input-data/batch-1999-13-45/input.jsonl"))
-        .when(k % 103 == 0, F.lit("s3a://input-data/tmp/input.jsonl"))
-        .otherwise(F.concat(F.lit("s3a://input-data/batch-"), F.date_format("o_orderdate", "yyyy-MM-dd"),
+        F.when(k % 101 == 0, F.lit("s3a://order-drops/batch-1999-13-45/input.jsonl"))
+        .when(k % 103 == 0, F.lit("s3a://order-drops/tmp/input.jsonl"))
+        .otherwise(F.concat(F.lit("s3a://order-drops/batch-"), F.date_format("o_orderdate", "yyyy-MM-dd"),
                             F.lit("/input.jsonl"))).alias("path"))
     return ingest.batch_dates_from_paths(paths, "path")
 

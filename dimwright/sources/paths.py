@@ -27,6 +27,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return matches is not None and len(matches) > 0
 
 
+def empty_files(spark: SparkSession, path: str) -> list[str]:
+    """Files without a byte that ``path`` (globs allowed) names or holds; markers and hidden files aside. A listing, no file is opened."""
+    fs, p = _fs_and_path(spark, path)
+    found = []
+    for status in fs.globStatus(p) or ():
+        for f in fs.listStatus(status.getPath()) if status.isDirectory() else [status]:
+            name = f.getPath().getName()
+            if not f.isDirectory() and f.getLen() == 0 and not name.startswith(("_", ".")):
+                found.append(f.getPath().toString())
+    return sorted(found)
+
+
 def list_names(spark: SparkSession, root: str) -> list[str]:
     """Names of the direct children of ``root`` (directory listing, metadata only)."""
     fs, p = _fs_and_path(spark, root)

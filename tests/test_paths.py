@@ -18,8 +18,8 @@ def test_path_exists_and_split_uri(spark, tmpdir_path):
     open(f"{tmpdir_path}/input-1.jsonl", "w").close()
     assert paths.path_exists(spark, f"{tmpdir_path}/input*.jsonl")
     assert not paths.path_exists(spark, f"{tmpdir_path}/nothing*.jsonl")
-    assert paths.split_uri("s3a://input-data/batch-2025-01-15/input.jsonl") == (
-        "input-data", "batch-2025-01-15/input.jsonl")
+    assert paths.split_uri("s3a://order-drops/batch-2025-01-15/input.jsonl") == (
+        "order-drops", "batch-2025-01-15/input.jsonl")
     with pytest.raises(ValueError):
         paths.split_uri("/no/scheme")
 

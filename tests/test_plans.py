@@ -116,3 +116,13 @@ def test_a_small_batch_shuffles_no_state(spark, tmpdir_path, no_auto_broadcast):
     want = scd.replay(batch_rows(spark, SF001, [1995, 1996, 1997]), ACCOUNT, "x").drop("last_updated_run_id")
     got = out.drop("last_updated_run_id")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+@pytest.mark.parametrize("name,rules", [("validate_invalid", 3), ("validate_valid", 3), ("dq_feed_duplicate_rate_by_batch", 3)])
+def test_every_rule_is_evaluated_once(spark, name, rules):
+    """No filter on the status repeats the rules below the projection that evaluates them."""
+    from dimwright.plans.catalog import QUERIES
+    df = QUERIES[name](spark, SF001)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    per_branch = plan.count("RLIKE")
+    assert per_branch == rules * max(1, plan.count("Generate inline")), plan
