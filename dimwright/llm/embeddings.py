@@ -1,12 +1,15 @@
 """Embedding near-duplicates over an inverted multi-index.
 
 The two halves of the unit vectors get independent codebooks (k-means on a bounded sample); the
-pair of nearest centroids is a vector's cell in the product grid.  Each vector visits every cell that
-can hold a linked partner: a half of a partner lies on its centroid's side of the plane between that centroid and
-any other, so the vector's distance from the farthest such plane bounds the distance of the halves from below, and a
-cell is left out only if the bounds of its two halves add up to more than linked vectors can be apart.
-The bound is exact: no link is lost, whatever the groups of the table, and both ends of a link meet.  Every
-member of a visited cell is compared exactly, in double precision.
+pair of nearest centroids is a vector's cell in the product grid.  A vector visits cells in the order of the sum of
+its two squared half distances (the multi-sequence order: over both sorted lists of distances, the cells up to a
+sum form a staircase) and stops at its home cell's sum plus a slack.  The slack is set for ``RECALL``: each vector of
+the sample gets some partners planted at exactly the threshold, in random directions, and the slack is the quantile of what it takes for both
+of the two to visit each other's home cell, so that they meet in one tile.  Partners above the threshold are nearer.  Links that some hundred
+vectors of the sample have with the others raise the slack if theirs is larger, every vector weighing the same, so the
+links of one hot group cannot outvote the rest.  Every member of a visited block of cells is compared exactly, in double
+precision: nothing below the threshold is linked, and of the links above it a share of ``RECALL`` at least is found where
+partners lie as the sample's do; ``RECALL`` = 1 visits every cell.
 
 Vectors with equal components are one node with a weight, so groups of copies cost nothing.  Small cells
 are packed into blocks, large ones cut into several.  A vector is sent to the tile of its own block
@@ -32,15 +35,17 @@ from dimwright.llm.graph import connected_components
 #: sample for the codebooks: rows, and bytes at most
 SAMPLE_ROWS, SAMPLE_BYTES = 16_000, 1 << 25
 #: nodes in an average cell, and the largest codebook
-CELL_ROWS, MAX_CENTROIDS = 200, 128
-#: without effect (no visit depends on a sample's links); set by a test
-MIN_SAMPLE_LINKS = 50
+CELL_ROWS, MAX_CENTROIDS = 8, 128
+#: share of the links at the threshold to be found, and vectors of the sample whose own links are looked at
+RECALL, SAMPLE_QUERIES = 0.9995, 1000
+#: partners planted, up to 16 for each vector of the sample
+PLANTED = 64_000
 #: room for rounding in squared distances
 SLACK = 1e-9
 #: vectors compared with as many others at a time
 TILE = 512
 #: least number of blocks (work for all cores), and bytes of vectors in a block at most
-BLOCKS, BLOCK_BYTES = 6, 1 << 23
+BLOCKS, BLOCK_BYTES = 16, 1 << 23
 #: different vector lengths in one table
 MAX_LENGTHS = 64
 
@@ -60,6 +65,16 @@ def kmeans(x, k: int, rounds: int = 12):
     return centroids
 
 
+def ordered(centroids):
+    """Centroids sorted along the direction in which they differ most."""
+    import numpy as np
+
+    if not centroids.shape[1]:
+        return centroids
+    main = np.linalg.svd(centroids - centroids.mean(axis=0), full_matrices=False)[2][0]
+    return centroids[np.argsort(centroids @ main, kind="stable")]
+
+
 def half_distances(x, centroids):
     """Squared distances [rows, centroids]."""
     import numpy as np
@@ -68,7 +83,7 @@ def half_distances(x, centroids):
 
 
 class MultiIndex:
-    """Codebooks of the two halves, and the cells that links can reach."""
+    """Codebooks of the two halves, and how far a vector goes on from its home cell."""
 
     def __init__(self, sample, n_nodes: int, threshold: float):
         import numpy as np
@@ -77,13 +92,45 @@ class MultiIndex:
         self.cut = max(1, d // 2)
         k = int(np.clip(round((n_nodes / CELL_ROWS) ** 0.5), 1, MAX_CENTROIDS))
         halves = sample[:, :self.cut], sample[:, self.cut:]
-        self.books = [kmeans(h, min(k, len(sample))) for h in halves]
+        # in the order of their main direction, so that cells in one block lie near each other
+        self.books = [ordered(kmeans(h, min(k, len(sample)))) for h in halves]
         self.cells = len(self.books[0]) * len(self.books[1])
-        # a centroid has no plane with itself or an equal one
-        gaps = [np.sqrt(((b[:, None, :] - b[None, :, :]) ** 2).sum(axis=2)) for b in self.books]
-        self.gaps = [np.where(g > 1e-6, 2 * g, np.inf) for g in gaps]
-        #: squared distance of unit vectors at the threshold
-        self.reach = 2 - 2 * threshold + SLACK
+        self.slack = self.needed(sample, threshold)
+
+    def needed(self, sample, threshold: float) -> float:
+        """What a visit may add to the home cell's sum of distances, for ``RECALL`` of the links."""
+        import numpy as np
+
+        if RECALL >= 1:
+            return float("inf")
+        rng = np.random.default_rng(7)
+        planted = []
+        for _ in range(max(1, min(16, PLANTED // max(1, len(sample))))):
+            turn = rng.normal(size=sample.shape)
+            turn -= (turn * sample).sum(axis=1)[:, None] * sample
+            turn /= np.maximum(np.linalg.norm(turn, axis=1), 1e-12)[:, None]
+            planted.append(self.excess(sample, threshold * sample + (1 - threshold ** 2) ** 0.5 * turn))
+        out = [np.quantile(np.concatenate(planted), RECALL, method="higher")]
+        queries, worst = sample[:SAMPLE_QUERIES], []
+        hit = queries @ sample.T >= threshold
+        hit[np.arange(len(queries)), np.arange(len(queries))] = False
+        for q in np.flatnonzero(hit.any(axis=1)):
+            partners = sample[hit[q]]
+            worst.append(self.excess(np.repeat(queries[q:q + 1], len(partners), axis=0), partners).max())
+        if worst:
+            out.append(np.quantile(worst, RECALL, method="higher"))
+        return float(max(out)) + SLACK
+
+    def excess(self, x, y):
+        """For pairs of rows: how far beyond their home cells' sums both have to go to visit each other's home cell."""
+        import numpy as np
+
+        def one_way(dist, other):
+            at = np.arange(len(other[0]))
+            return sum(d[at, o.argmin(axis=1)] - d.min(axis=1) for d, o in zip(dist, other))
+
+        dx, dy = self.distances(x), self.distances(y)
+        return np.maximum(one_way(dx, dy), one_way(dy, dx))
 
     def distances(self, x):
         return half_distances(x[:, :self.cut], self.books[0]), half_distances(x[:, self.cut:], self.books[1])
@@ -93,17 +140,14 @@ class MultiIndex:
         return a.argmin(axis=1) * len(self.books[1]) + b.argmin(axis=1)
 
     def place(self, x):
-        """Home cell of each row, and the cells that hold every vector linked with it."""
+        """Home cell of each row, and the cells it visits."""
         import numpy as np
 
-        near, least = [], []
-        for dist, gap in zip(self.distances(x), self.gaps):
-            near.append(dist.argmin(axis=1))
-            # of all planes beyond which a centroid's vectors lie, the farthest
-            beyond = ((dist[:, :, None] - dist[:, None, :]) / gap).max(axis=2)
-            least.append(np.maximum(beyond - SLACK, 0) ** 2)
-        open_ = (least[0][:, :, None] + least[1][:, None, :] <= self.reach).reshape(len(x), -1)
-        return near[0] * len(self.books[1]) + near[1], [np.flatnonzero(o) for o in open_]
+        a, b = self.distances(x)
+        home = a.argmin(axis=1) * len(self.books[1]) + b.argmin(axis=1)
+        a, b = a - a.min(axis=1)[:, None], b - b.min(axis=1)[:, None]
+        visits = (a[:, :, None] + b[:, None, :] <= self.slack).reshape(len(x), -1)
+        return home, [np.flatnonzero(v) for v in visits]
 
 
 def unpack(blobs):

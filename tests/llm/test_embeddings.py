@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from brute import components
 
 from dimwright.llm import embeddings as E
@@ -47,7 +48,7 @@ def test_links_equal_all_pairs(spark):
 def test_small_tiles_and_full_visits_are_exact(spark, monkeypatch):
     rows = made(3)
     monkeypatch.setattr(E, "TILE", 7)
-    monkeypatch.setattr(E, "MIN_SAMPLE_LINKS", 10 ** 9)  # every cell is visited
+    monkeypatch.setattr(E, "RECALL", 1)  # every cell is visited
     got = sorted(tuple(r) for r in E.link_embeddings(frame(spark, rows)).collect())
     assert got == plain(rows)
 
@@ -106,12 +107,42 @@ def test_a_hot_group_does_not_hide_small_groups(spark):
     assert got == {i: (int(n) - 1, comp[i]) for i, n in enumerate(hit.sum(axis=1))}
 
 
-def test_cells_left_out_hold_no_link():
-    x = grouped(5)
+def with_partners(x, seed=6):
+    """Table vectors and, for each, a partner at a cosine of 0.9 to 0.92."""
+    rng = np.random.default_rng(seed)
     x = x / np.linalg.norm(x, axis=1)[:, None]
-    index = E.MultiIndex(x[::3], 200_000, 0.9)
-    home, visits = index.place(x)
-    assert sum(map(len, visits)) < 0.7 * len(x) * len(index.books[0]) * len(index.books[1])
-    for lo in range(0, len(x), 600):
-        for a, b in zip(*np.nonzero(x[lo:lo + 600] @ x.T >= 0.9)):
-            assert home[b] in visits[lo + a]
+    u = rng.normal(size=x.shape)
+    u -= (u * x).sum(axis=1)[:, None] * x
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    c = rng.uniform(0.9, 0.92, (len(x), 1))
+    return x, c * x + np.sqrt(1 - c * c) * u
+
+
+@pytest.mark.parametrize("path,rows,most", [("sf0.1", 2000, 0.2), ("check_l", 50_000, 0.1)])
+def test_few_cells_hold_the_links(path, rows, most):
+    """Recall of planted partners near the threshold, and the share of the grid that a vector visits."""
+    import pyarrow.parquet as pq
+    x = np.array(pq.read_table(f"/root/testdata/{path}/embeddings.parquet", columns=["embedding"]).column(0).slice(0, rows).to_pylist(), float)
+    x, y = with_partners(x)
+    both = np.concatenate([x, y])
+    index = E.MultiIndex(both[np.random.default_rng(1).permutation(len(both))[:E.SAMPLE_ROWS]], len(both), 0.9)
+    found, share, at = 0, [], np.random.default_rng(2).permutation(len(x))[:2000]
+    home_y = index.home(y[at])
+    for lo in range(0, len(at), 200):
+        home_x, visits = index.place(x[at[lo:lo + 200]])
+        _, back = index.place(y[at[lo:lo + 200]])
+        found += sum(home_y[lo + i] in v and home_x[i] in w for i, (v, w) in enumerate(zip(visits, back)))
+        share += [len(v) / index.cells for v in visits]
+    print(path, "cells", index.cells, "share visited", np.mean(share), "recall", found / len(at))
+    assert found / len(at) >= 0.995 and np.mean(share) < most
+
+
+def test_the_traversal_visits_nearest_cells_first():
+    """The cells of a vector are those of the smallest summed half distances, its own first."""
+    x, y = with_partners(grouped(5))
+    index = E.MultiIndex(x[::3], len(x), 0.9)
+    home, visits = index.place(x[:100])
+    a, b = index.distances(x[:100])
+    for i, v in enumerate(visits):
+        sums = (a[i][:, None] + b[i][None, :]).ravel()
+        assert home[i] == sums.argmin() and set(np.argsort(sums, kind="stable")[:len(v)]) == set(v.tolist())
