@@ -9,8 +9,13 @@ documentation samples; what is left counts by itself unless the allow list knows
 the alphabet, plain words).  A string shorter than a window is one window, its threshold lowered with the
 largest entropy of its length.
 
+The allow list also knows names and addresses: camel-case words, perhaps with a number behind them; paths and
+file names, that is, delimited pieces of which half at least are words or short numbers and no other one is as long as a
+candidate; and checksums that say so (``sha512-...``).
+
 Null and empty texts have no spans.  Ties: spans are ordered by start, then kind as listed in
-``KINDS``.  Repeated rows give repeated results; columns named like a result are replaced.
+``KINDS``.  Repeated rows give repeated results; columns named like a result are replaced.  An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -53,6 +58,10 @@ _ALLOWED = re.compile(
     r"|[-_=+/]+")                                  # a ruler
 _SAMPLE = re.compile(r"example|sample|dummy|placeholder|xxxxxx|changeme|abcdefgh|12345678", re.I)
 
+_CHECKSUM = re.compile(r"(?:^|[=/])(?:sha[0-9]{1,3}|md5)[-=]")
+_LOWER_RUN = re.compile(r"[a-z]+")
+_CAPITALS = re.compile(r"[A-Z]{5}")
+
 _CLOGC = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
 
 
@@ -99,6 +108,24 @@ def sample_spans(text: str) -> list[tuple[int, int]]:
             if (found := _SAMPLE.findall(p.group())) and len(p.group()) - sum(map(len, found)) < 2 * WINDOW]
 
 
+def wordlike(piece: str) -> bool:
+    """Letters, perhaps a number of up to four digits behind them, in runs of lower case as long as words have, or all capitals."""
+    letters = piece.rstrip("0123456789")
+    if not letters.isalpha() or len(piece) - len(letters) > 4:
+        return not letters and len(piece) <= 4
+    runs = _LOWER_RUN.findall(letters)
+    return letters.isupper() and len(letters) < SHORTEST or sum(map(len, runs)) >= 2.7 * len(runs) > 0 and not _CAPITALS.search(letters)
+
+
+def ordinary(text: str) -> bool:
+    """Whether a candidate is no secret by its form: the allow list, a checksum, a name, or a path of words."""
+    if _ALLOWED.fullmatch(text) or _CHECKSUM.search(text):
+        return True
+    pieces = _PIECE.findall(text)
+    words = sum(map(wordlike, pieces))
+    return words * 2 >= len(pieces) and not any(len(p) >= SHORTEST and not wordlike(p) for p in pieces)
+
+
 def remainders(start: int, end: int, cuts: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """What of a span lies outside all (ordered) cuts."""
     out = []
@@ -121,12 +148,12 @@ def scan(text: str | None) -> list[tuple[str, int, int, bool]]:
     found += [("hex", *m.span(), True) for m in _HEX.finditer(text)]
     covered = sorted((s, e) for _, s, e, _ in found)
     for m in _CANDIDATE.finditer(text):
-        if _ALLOWED.fullmatch(m.group()):
+        if ordinary(m.group()):
             continue
         cuts = sorted(covered + [(s + m.start(), e + m.start()) for s, e in sample_spans(m.group())])
         for start, end in remainders(*m.span(), cuts):
             start += len(text[start:end]) - len(text[start:end].lstrip("+/_=-")) if start > m.start() else 0
-            if end - start >= SHORTEST and not _ALLOWED.fullmatch(text, start, end):
+            if end - start >= SHORTEST and not ordinary(text[start:end]):
                 found += [("entropy", s + start, e + start, False) for s, e in entropy_spans(text[start:end])]
     return sorted(found, key=lambda f: (f[1], KINDS.index(f[0]), f[2]))
 

@@ -99,3 +99,41 @@ def test_entropy_beside_patterns_and_samples():
         assert secret not in secret_scan.mask(text)
     for fine in ("a_name_of_a_variable", "getElementsByTagName", "1234567890123456", "2024/01/15/report1", "mytoken=abcdef12345"):
         assert not [x for x in secret_scan.scan(f"see {fine} here") if x[0] == "entropy"], fine
+
+
+HARMLESS = """//cdn.example.org/assets/app-3f2a9c1b7d https://youtu.be/dQw4w9WgXcQ https://www.example.com/embed/dQw4w9WgXcQ
+ThisIsAVeryLongCamelCaseIdentifierName2 getElementsByClassName AbstractSingletonProxyFactoryBean3 XMLHttpRequestUpload
+sha512-q2eYw4x9k3pQm7r8T1vZs5u6N0bLcXfJhDgKaW+PoIiUyTrEeRtYuOpLkJhGfDsA== integrity=sha256-Qm4vZ8kT1xRb7NcY3wLs9HfJ2pGd6VKe5uAa0XoWi8Y=
+/usr/local/lib/python3/dist-packages/numpy/core a_long_variable_name_v2 some-article-title-about-nothing-2024
+2024-01-15/report-final-v3 src/main/java/com/example/App2 static/js/main.8d2f1c3b.chunk.js images/photo-1507525428034 node_modules/left-pad
+NEW_MAX_CONNECTIONS_PER_HOST https://github.com/user/repository/issues/12345 en/articles/the-quick-brown-fox fonts/OpenSans-SemiBold
+123e4567-e89b-12d3-a456-426614174000 -------------------------- ________________________ 20240115/20240116/20240117""".split()
+
+
+def test_harmless_strings_are_left_alone():
+    """Names, paths, links and checksums: none becomes a span, so none is cut out of a training text."""
+    found = {t: x for t in HARMLESS if (x := [f for f in secret_scan.scan(f"see {t} here") if f[0] == "entropy"])}
+    assert not found, found
+    text = " ".join(HARMLESS)
+    assert len(HARMLESS) == 25 and secret_scan.mask(text) == text
+
+
+def test_random_keys_are_still_found():
+    rng = random.Random(7)
+    b62 = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    for chars, size, least in ((b62, 20, .94), (b62, 32, .98), (b62, 40, .98), (b62 + "+/", 40, .97), (b62 + "-_", 43, .97), ("0123456789ABCDEF", 32, .9)):
+        keys = ["".join(rng.choice(chars) for _ in range(size)) for _ in range(500)]
+        hit = sum(any(k == "entropy" for k, *_ in secret_scan.scan(f"use {x} now")) for x in keys)
+        print(len(chars), size, hit / 500)
+        assert hit / 500 >= least, (len(chars), size, hit)
+
+
+def test_secret_scan_of_odd_rows(spark):
+    """Empty tables, null and repeated rows, clashing names, a very long text."""
+    key = "tQ7rP0xV9mZk3LwY8sBn2HcF6dJg4RaEuT5oXi1C"
+    schema = "text string, secrets string, kind int"
+    df = spark.createDataFrame([(None, "a", 1), (None, "a", 1), ("", "b", 2), (f"{key} " + "plain words " * 50_000 + key, "c", 3)], schema)
+    out = secret_scan.find_secrets(df)
+    assert out.columns == ["text", "kind", "secrets"]
+    assert sorted(len(r["secrets"]) for r in out.collect()) == [0, 0, 0, 2]
+    assert secret_scan.find_secrets(df.limit(0)).count() == 0
