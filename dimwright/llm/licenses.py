@@ -9,7 +9,7 @@ words.  An interval that lies within another of the same or a better priority is
 Words are runs of letters, digits and non-ASCII characters.  The base phrases are found apart from the
 rules and always stay.  Null and empty texts have no words.  Equal intervals: better priority,
 then the earlier rule.  The score is the largest weight of a detection (0 without any).  Repeated rows
-give repeated results; other columns are not read.
+give repeated results; other columns are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
