@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimwright.contract import Contract, DimensionSpec
-from dimwright.operators import checks, dq, keys, scd, shape, state, validate, warehouse
+from dimwright.operators import checks, dq, keys, marts, scd, shape, state, validate, warehouse
 from dimwright.operators.plan_utils import sized_broadcast
 from dimwright.operators.validate import ERRORS_COL, STATUS_COL
 from dimwright.session import ensure_checkpoint_dir
@@ -106,10 +106,20 @@ class Pipeline:
     #: a dimension built as a whole gets a bucket per so many source records, at most ``max_buckets``
     bucket_records: int = 1_000_000
     max_buckets: int = 4096
+    #: marts kept up to date by each load of their fact
+    marts: tuple[marts.MartSpec, ...] = ()
     # test hook: called with a stage name; raising simulates a crash there
     fault: Callable[[str], None] = field(default=lambda stage: None)
     # buckets of each dimension that the running load wrote
     _touched: dict[str, list[str]] = field(default_factory=dict)
+    # runs whose versions the running load took up, and whether it took up a dimension as a whole
+    _loaded: dict[str, tuple[set[str], bool]] = field(default_factory=dict)
+
+    def __post_init__(self) -> None:
+        base = {f.name: self.contract.dimension(f.base).business_key for f in self.contract.facts}
+        for mart in self.marts:
+            if base.get(mart.fact) != mart.entity:
+                raise PipelineError(f"mart {mart.name}: its entity must be the business key of the base of {mart.fact}")
 
     # ------------------------------------------------------------ storage
     def _path(self, *parts: str) -> str:
@@ -380,7 +390,7 @@ class Pipeline:
         # the highest key given is known only once the rows are written: it goes into the pointer with them
         sinks.write_parts(loaded, root, BUCKET_COL, None if whole else touched, observe={"max_key": F.max(key)},
                           publish=lambda got: {"buckets": buckets, "max_key": max(base, got.get("max_key") or 0)})
-        self._touched[spec.name] = touched
+        self._touched[spec.name], self._loaded[spec.name] = touched, (names, whole)
         return pending
 
     def run_warehouse(self, run_id: str, now: _dt.datetime) -> dict:
@@ -419,9 +429,58 @@ class Pipeline:
             if "path" in stored:  # stored as a whole by an earlier version
                 rows = self.table(fact.name).where(~F.col("date_id").isin([int(d) for d in dates])).unionByName(rows)
             sinks.write_parts(rows, root, "date_id", None if "path" in stored else dates, meta={"late_done": sorted(done | set(moved))})
+            for mart in self.marts:
+                if mart.fact == fact.name:
+                    self._keep_mart(mart, base_spec, again=not fresh)
             self._mark_loaded(fact.base, pending, now)
         return {k: v for k, v in loaded.items()}
 
+    def mart(self, name: str) -> DataFrame | None:
+        """Figures of a kept mart by its groups; None if no load has written it."""
+        groups = self._read("marts", f"{name}/groups")
+        return None if groups is None else marts.served(groups)
+
+    def _keep_mart(self, mart: marts.MartSpec, base_spec: DimensionSpec, again: bool) -> None:
+        """Bring a mart up to date after a fact load.
+
+        Only entities that the load touched are summed anew: their stored pairs are taken back from the groups, their new
+        ones added, and only the buckets they lie in are written.  The mart is built as a whole if the load wrote dates
+        ``again`` (late batches, a load that was cut off) or the dimension as a whole.  The groups name the number of the
+        pairs they follow; groups of another number (a crash between the two) are summed from the pairs.
+        """
+        root, groups_root = self._path("marts", mart.name, "pairs"), self._path("marts", mart.name, "groups")
+        stored, runs = sinks.snapshot_meta(self.spark, root), self._loaded[base_spec.name]
+        buckets = sinks.snapshot_meta(self.spark, self._path("warehouse", base_spec.table))["buckets"]
+        whole = again or runs[1] or not stored or (stored["buckets"], stored["definition"]) != (buckets, repr(mart))
+        touched = None if whole else self._touched[base_spec.name]
+        key = warehouse.surrogate_key_name(base_spec.name)
+        versions, entities = self.table(base_spec.table, touched), None
+        if not whole:
+            entities = versions.where(F.col("last_updated_run_id").isin(sorted(runs[0]))).select(
+                F.col(f"`{mart.entity}`").alias("entity"), F.lit(True).alias("__touched")).distinct().checkpoint()
+            versions = versions.join(sized_broadcast(entities), F.col(f"`{mart.entity}`").eqNullSafe(F.col("entity")), "left_semi")
+        facts = self.table(mart.fact)
+        rows = facts.join(sized_broadcast(versions.select(key, *[c for c in versions.columns if c not in facts.columns])), key)
+        after = marts.pairs(rows, mart).checkpoint()
+        kept, before, groups = None, None, None
+        if not whole:
+            old = sinks.read_parts(self.spark, root, touched).drop(BUCKET_COL)
+            named = entities.withColumnRenamed("entity", "__entity")
+            old = old.join(sized_broadcast(named), F.col("entity").eqNullSafe(F.col("__entity")), "left").drop("__entity")
+            before, kept = old.where("__touched").drop("__touched"), old.where("__touched IS NULL").drop("__touched")
+            if (sinks.snapshot_meta(self.spark, groups_root) or {}).get("number") == stored["number"]:
+                groups = sinks.read_snapshot(self.spark, groups_root)
+            else:
+                groups = marts.group_change(None, sinks.read_parts(self.spark, root).drop(BUCKET_COL), mart)
+        change = marts.group_change(before, after, mart)
+        groups = change if groups is None else marts.merge_groups(groups, change, mart)
+        number = (stored or {}).get("number", 0) + 1
+        pairs = after if kept is None else kept.unionByName(after)
+        sinks.write_parts(pairs.withColumn(BUCKET_COL, keys.bucket_of("entity", buckets)), root, BUCKET_COL, touched,
+                          meta={"buckets": buckets, "definition": repr(mart), "number": number})
+        self.fault(f"after_pairs:{mart.name}")
+        sinks.write_snapshot(groups, groups_root, meta={"number": number})
+
     def check_tables(self, loaded: dict[str, list[str]]) -> dict[str, int]:
         """Violations in what a load left in the tables, by check; the rows are kept under ``violations``.
 

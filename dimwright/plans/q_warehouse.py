@@ -10,7 +10,7 @@ from dimwright.operators import keys, marts, scd, shape, warehouse
 from dimwright.plans import feeds
 from dimwright.plans import oracle as O
 from dimwright.plans.feeds import ACCOUNT, FACT, NATION, SEGMENT
-from dimwright.plans.q_scd import (NATION_ROWS_SQL, _no_dedup, _segment_rows_sql, account_replay, batch_rows,
+from dimwright.plans.q_scd import (NATION_ROWS_SQL, YEARS, _no_dedup, _segment_rows_sql, account_replay, batch_rows,
                                    nation_rows, run_col, segment_rows)
 from dimwright.plans.registry import query
 from dimwright.session import ensure_checkpoint_dir
@@ -216,6 +216,42 @@ def q_mart_month(spark, sf):
         measure="order_amount")
 
 
+TIER_MART = marts.MartSpec(name="open_by_tier", fact="fact_account", entity="o_custkey", measure="o_totalprice",
+                           groups=(("tier", "c_mktsegment"),), where="is_current AND o_orderstatus = 'O'")
+MONTH_MART = marts.MartSpec(name="amount_by_month_nation", fact="fact_account", entity="o_custkey", measure="o_totalprice",
+                            groups=(("year", "year(source_batch_date)"), ("month", "month(source_batch_date)"), ("nation_key", "c_nationkey")))
+
+
+def _kept_mart(spark, sf, spec):
+    """Groups after all batches but the last two, then changed by the customers those two hold: no other customer is read again."""
+    state = scd.replay(batch_rows(spark, sf, YEARS[:-2]), ACCOUNT, run_col()).checkpoint(eager=True)
+    rows = batch_rows(spark, sf, YEARS[-2:])
+    held = rows.select("o_custkey").distinct()
+    before = state.join(held, "o_custkey", "left_semi")
+    after = scd.apply_batches(before, rows, ACCOUNT, run_col())
+    stored = marts.group_change(None, marts.pairs(state, spec), spec)
+    return marts.merge_groups(stored, marts.group_change(marts.pairs(before, spec), marts.pairs(after, spec), spec), spec)
+
+
+def _kept_mart_sql(groups: str, where: str = "TRUE") -> str:
+    total = f"SUM({_cents('o_totalprice')})"
+    return f"""SELECT {groups}, COUNT(DISTINCT o_custkey) AS entity_count, COUNT(*) AS row_count,
+  CAST((2 * {total} + COUNT(o_totalprice)) // (2 * COUNT(o_totalprice)) AS DOUBLE) / 100.0 AS avg_amount,
+  CAST({total} AS DOUBLE) / 100.0 AS total_amount
+FROM ({O.ACCOUNT_REPLAY}) __a WHERE {where} GROUP BY ALL"""
+
+
+@query("mart_kept_open_by_tier", _kept_mart_sql("c_mktsegment AS tier", "is_current AND o_orderstatus = 'O'"))
+def q_kept_tier(spark, sf):
+    return marts.served(_kept_mart(spark, sf, TIER_MART))
+
+
+@query("mart_kept_amount_by_month_nation", _kept_mart_sql(
+    "CAST(year(source_batch_date) AS INTEGER) AS year, CAST(month(source_batch_date) AS INTEGER) AS month, c_nationkey AS nation_key"))
+def q_kept_month(spark, sf):
+    return marts.served(_kept_mart(spark, sf, MONTH_MART))
+
+
 HISTORY_COLUMNS = ["o_custkey", "start_date", "end_date", "is_current", "o_orderstatus",
                    "o_totalprice", "c_nationkey", "n_name", "c_mktsegment", "segment_label"]
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dimwright.contract import contract_from_dict
-from dimwright.operators import dq, keys, scd
+from dimwright.operators import dq, keys, marts, scd
 from dimwright.plans import feeds
 from dimwright.plans.job import Pipeline, PipelineError
 from dimwright.sources import sinks
@@ -474,3 +474,64 @@ def test_violations_in_the_tables_are_counted(spark, tmpdir_path, contract):
     assert found["dim_account: snapshot"] == worse.where("account_id % 5 = 0 or account_id % 7 = 0").count()
     assert sinks.read_snapshot(spark, f"{out}/violations/dim_account-one_current").count() == found["dim_account: one_current"]
     assert spec.is_scd2 and found["dim_account: gapless"] == 0
+
+
+def test_kept_marts_equal_marts_over_the_whole_star(spark, tmpdir_path, contract):
+    """Batches in order, a crash between pairs and groups, a late batch: the kept mart is that of the stored tables each time."""
+    inp, out = f"{tmpdir_path}/input", f"{tmpdir_path}/out"
+    os.makedirs(inp)
+    open_by_segment = marts.MartSpec(name="open", fact="fact_account", entity="account_key", measure="order_amount",
+                                     groups=(("segment_id", "segment_id"), ("tier", "c_mktsegment")), where="is_current AND o_orderstatus = 'O'")
+    by_month = marts.MartSpec(name="month", fact="fact_account", entity="account_key", measure="order_amount",
+                              groups=(("month_id", "date_id div 100"), ("nation_id", "nation_id")))
+
+    def check(p):
+        joined = p.table("fact_account").join(p.table("dim_account").drop("updated_at"), "account_id")
+        for spec in p.marts:
+            want = joined.where(spec.where).groupBy(*[F.expr(e).alias(n) for n, e in spec.groups]).agg(
+                F.count_distinct("account_key").alias("entity_count"), F.count("*").alias("row_count"),
+                F.round(F.sum(F.col("order_amount").cast("decimal(20,2)")), 2).cast("double").alias("total_amount"))
+            got = p.mart(spec.name).drop("avg_amount")
+            assert table_rows(got) == table_rows(want) != [], spec.name
+
+    def pipeline(fault=lambda stage: None):
+        return Pipeline(spark, contract, inp, out, bucket_records=10, max_buckets=8, marts=(open_by_segment, by_month), fault=fault)
+
+    for y in (1995, 1996):
+        write_batch(spark, inp, y)
+    p = pipeline()
+    assert p.mart("open") is None
+    p.run("first", dt.datetime(2025, 1, 1))
+    check(p)
+    write_batch(spark, inp, 1997)
+    few = spark.read.json(f"{inp}/batch-1997-01-01").where("o_custkey in (1, 2, 4)")
+    few.checkpoint().coalesce(1).write.mode("overwrite").json(f"{inp}/batch-1997-01-01")
+    pairs = f"{out}/marts/month/pairs"
+    before = stored_files(pairs)
+    p.run("second", dt.datetime(2025, 1, 2))
+    touched = {str(r[0]) for r in p.valid_rows(["1997-01-01"]).select(keys.bucket_of("o_custkey", 8)).distinct().collect()}
+    after = stored_files(pairs)
+    assert before.items() <= after.items() and parts_of(set(after) - set(before), "key_bucket") == touched
+    assert 0 < len(touched) <= 3
+    check(p)
+
+    # groups that follow other pairs are summed from the pairs
+    stale = f"{out}/marts/month/groups"
+    sinks.write_snapshot(sinks.read_snapshot(spark, stale).limit(1), stale, meta={"number": -1})
+    write_batch(spark, inp, 1999)
+    p.run("third", dt.datetime(2025, 1, 3))
+    check(p)
+
+    def crash(stage):
+        if stage == "after_pairs:month":
+            raise RuntimeError("simulated executor loss")
+
+    write_batch(spark, inp, 1998)
+    with pytest.raises(RuntimeError, match="simulated"):
+        pipeline(crash).run("late", dt.datetime(2025, 1, 4))
+    p = pipeline()
+    p.run("again", dt.datetime(2025, 1, 5))
+    check(p)
+    with pytest.raises(PipelineError, match="business key"):
+        Pipeline(spark, contract, inp, out, marts=(marts.MartSpec(name="bad", fact="fact_account", entity="c_nationkey",
+                                                                  measure="order_amount", groups=()),))
