@@ -116,9 +116,9 @@ class Pipeline:
     _loaded: dict[str, tuple[set[str], bool]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        base = {f.name: self.contract.dimension(f.base).business_key for f in self.contract.facts}
+        bases = {f.name: f.base for f in self.contract.facts}
         for mart in self.marts:
-            if base.get(mart.fact) != mart.entity:
+            if mart.fact not in bases or self.contract.dimension(bases[mart.fact]).business_key != mart.entity:
                 raise PipelineError(f"mart {mart.name}: its entity must be the business key of the base of {mart.fact}")
 
     # ------------------------------------------------------------ storage
