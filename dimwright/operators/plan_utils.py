@@ -1,4 +1,4 @@
-"""Plan-level helpers: size-checked broadcast, plan statistics."""
+"""Plan-level helpers: size-checked broadcast, shuffle layout, plan statistics."""
 
 from __future__ import annotations
 
@@ -48,3 +48,25 @@ def sized_broadcast(df: DataFrame, limit_bytes: int = DEFAULT_BROADCAST_BYTES) -
     a broadcast at run time from the real shuffle size).
     """
     return F.broadcast(df) if fits_broadcast(df, limit_bytes) else df
+
+
+#: compressed column files that make one part of a shuffle, and the parts below which the session lays it out as it likes
+PART_BYTES = 4 * 1024 * 1024
+FEW_PARTS = 8
+
+
+def parts_for(source: DataFrame, part_bytes: int = PART_BYTES) -> int | None:
+    """Parts to deal out what is made from the table ``source`` into; None for a small one, whose layout is the session's."""
+    size = planned_size_bytes(source)
+    parts = 0 if size is None else -(-size // part_bytes)
+    return parts if parts > FEW_PARTS else None
+
+
+def spread(df: DataFrame, parts: int | None, *keys: str) -> DataFrame:
+    """``df`` dealt out by ``keys`` into ``parts`` (``parts_for`` its table).
+
+    The joins and windows by ``keys`` that follow keep this layout, so what one task
+    holds does not grow with the table, whatever number of shuffle partitions the
+    session has.
+    """
+    return df.repartition(parts, *keys) if parts else df

@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 
 from dimwright.contract import SCD2_METADATA, DimensionSpec
 from dimwright.operators.dedup import dedup_latest
-from dimwright.operators.plan_utils import fits_broadcast, sized_broadcast
+from dimwright.operators.plan_utils import fits_broadcast, sized_broadcast, spread
 from dimwright.operators.shape import align, align_dimension, derive, dimension_types, rename
 
 RunId = str | Column
@@ -183,54 +183,74 @@ def replay(rows: DataFrame, spec: DimensionSpec, run_id: RunId, method: str = "a
     raise ValueError(f"unknown replay method {method!r}")
 
 
-def _replay_window(rows: DataFrame, spec: DimensionSpec, seed: DataFrame | None = None) -> DataFrame:
+def _replay_window(rows: DataFrame, spec: DimensionSpec, seed: DataFrame | None = None, parts: int | None = None) -> DataFrame:
     """Window formulation; exact when tracked fields are never NULL.
 
-    With ``seed`` (open versions of the touched keys), each seed row is the
-    first row of its entity by a flag of its own (a type-1 or insert-only state
+    With ``seed`` (open versions of the touched keys, or of all), each seed row is
+    the first row of its entity by a flag of its own (a type-1 or insert-only state
     has no start date to order by): its start, lineage and run are kept, type-1
-    values continue from it, and a tracked change closes it.  Rows of one key
-    and batch (deduplication off) follow each other by a hash of their values.
+    values continue from it, and a tracked change closes it.  Entities without a
+    new row keep their seeds as they are.  Rows of one key and batch
+    (deduplication off) follow each other by a hash of their values.
+
+    All steps take the rows in one order, so a task sorts them once: a version is
+    given by its last row, with the opening row's values and the last type-1
+    values carried on to it, and the row after it opens the next version.
     """
     bk = spec.business_key
     cols = _internal_columns(spec)
     types = dimension_types(spec)
     stamped = _stamped_with_run(rows, spec).withColumns({"__nb": _entity(spec)[1], "__new": F.lit(True)})
     if seed is not None:
-        st = {f.name: f.dataType for f in stamped.schema.fields}
-        stamped = stamped.unionByName(align(seed, cols, types).select(
+        seed, st = _seed_types(stamped, seed, spec)
+        stamped = stamped.withColumns({c: _c(c).cast(st[c]) for c in cols}).unionByName(seed.select(
             *[_c(c).cast(st[c]).alias(c) for c in cols],
-            F.lit(None).cast(st["__nb"]).alias("__nb"), F.lit(False).alias("__new")))
-    rows = stamped.withColumn("__at", F.struct("__new", "start_date", F.xxhash64(*[_c(c) for c in cols])))
+            F.lit(None).cast(stamped.schema["__nb"].dataType).alias("__nb"), F.lit(False).alias("__new")))
+    rows = spread(stamped, parts, bk).withColumn("__at", F.struct("__new", "start_date", F.xxhash64(*[_c(c) for c in cols])))
     ent = [_c(bk), _c("__nb")]
     w = Window.partitionBy(*ent).orderBy("__at")
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     chg = F.row_number().over(w) == 1
     for f in spec.scd2_fields:
         chg = chg | (_c(f).isNotNull() & ~_c(f).eqNullSafe(F.lag(_c(f)).over(w)))
-    rows = rows.withColumn("__chg", chg.cast("int"))
-    rows = rows.withColumn("__ver", F.sum("__chg").over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    as_was = F.lit(False)
+    if seed is not None:
+        as_was = ~F.max("__new").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    rows = rows.withColumn("__as_was", as_was).withColumn("__chg", _c("__as_was") | chg)
     scd1 = [f for f in spec.scd1_fields if f in cols]
     opening = [c for c in cols if c not in scd1 and c != bk]
-    aggs = [F.min_by(F.struct(*[_c(c) for c in opening]), _c("__at")).alias("__o"),
-            F.max_by(_c("last_updated_run_id"), _c("__at")).alias("__last_run")]
-    aggs += [F.max_by(_c(s), F.when(_c(s).isNotNull(), _c("__at"))).alias(s) for s in scd1]
-    g = rows.groupBy(*ent, _c("__ver")).agg(*aggs)
-    g = g.select(_c(bk), _c("__nb"), _c("__ver"), *[F.col(f"__o.`{c}`").alias(c) for c in opening],
-                 *[_c(s) for s in scd1], _c("__last_run"))
-    w2 = Window.partitionBy(*ent).orderBy("__ver")
-    nxt = F.lead("start_date").over(w2)  # a later version always has a start: only seeds may lack one
-    nxt_run = F.lead("last_updated_run_id").over(w2)
-    own_run = _c("__last_run") if scd1 else _c("last_updated_run_id")
-    g = g.withColumns({
-        "end_date": F.coalesce(F.date_sub(nxt, 1), F.lit(spec.open_end_date).cast("date")),
-        "is_current": nxt.isNull(),
-        "last_updated_run_id": F.when(nxt.isNotNull(), nxt_run).otherwise(own_run),
+    # a later version always has a start: only seeds may lack one
+    rows = rows.withColumns({
+        "__ver": F.sum(_c("__chg").cast("int")).over(so_far),
+        "__o": F.last(F.when(_c("__chg"), F.struct(*[_c(c) for c in opening])), ignorenulls=True).over(so_far),
+        "__ends": F.lead("__chg", 1, True).over(w),
+        "__nxt": F.lead("start_date").over(w),
+        "__nxt_run": F.lead("last_updated_run_id").over(w),
     })
-    g = g.select(*[_c(c).cast(types[c]).alias(c) if c in types else _c(c) for c in cols])
+    rows = rows.withColumns({f"__s{i}": F.last(F.when(_c(s).isNotNull(), F.struct("__ver", _c(s).alias("v"))), ignorenulls=True)
+                             .over(so_far) for i, s in enumerate(scd1)}).where("__ends")
+    own_run = _c("last_updated_run_id") if scd1 else F.col("__o.last_updated_run_id")
+    out = {c: F.col(f"__o.`{c}`") for c in opening}
+    out |= {s: F.when(F.col(f"__s{i}.__ver") == _c("__ver"), F.col(f"__s{i}.v")) for i, s in enumerate(scd1)}
+    followed = ~_c("__as_was") & _c("__nxt").isNotNull()
+    out |= {
+        bk: _c(bk),
+        "end_date": F.when(_c("__as_was"), F.col("__o.end_date")).otherwise(
+            F.coalesce(F.date_sub("__nxt", 1), F.lit(spec.open_end_date).cast("date"))),
+        "is_current": F.when(_c("__as_was"), F.col("__o.is_current")).otherwise(_c("__nxt").isNull()),
+        "last_updated_run_id": F.when(followed, _c("__nxt_run")).otherwise(own_run),
+    }
+    g = rows.select(*[(out[c].cast(types[c]) if c in types else out[c]).alias(c) for c in cols])
     return align_dimension(g, spec)
 
 
+def _seed_types(stamped: DataFrame, seed: DataFrame, spec: DimensionSpec) -> tuple[DataFrame, dict[str, T.DataType]]:
+    """Seeds with every (internal) dimension column, and the types that new rows and seeds share (the wider of the two)."""
+    cols = _internal_columns(spec)
+    seed = align(seed, cols, dimension_types(spec))
+    return seed, {f.name: f.dataType for f in stamped.select(*[_c(c) for c in cols]).unionByName(seed).schema.fields}
+
+
 def _internal_columns(spec: DimensionSpec) -> list[str]:
     """Dimension columns plus the version columns every strategy works with."""
     cols = spec.columns()
@@ -243,7 +263,7 @@ def _stamped_with_run(rows: DataFrame, spec: DimensionSpec) -> DataFrame:
     return align(st, _internal_columns(spec), dimension_types(spec))
 
 
-def _fold(rows: DataFrame, spec: DimensionSpec, seed: DataFrame | None) -> DataFrame:
+def _fold(rows: DataFrame, spec: DimensionSpec, seed: DataFrame | None, parts: int | None = None) -> DataFrame:
     """Per-key fold over batch rows (optionally seeded with the open version).
 
     Per-key memory is the key's number of batches, independent of table size.
@@ -251,17 +271,18 @@ def _fold(rows: DataFrame, spec: DimensionSpec, seed: DataFrame | None) -> DataF
     bk = spec.business_key
     cols = _internal_columns(spec)
     stamped = _stamped_with_run(rows, spec)
-    types = {f.name: f.dataType for f in stamped.schema.fields}
-    elem = F.struct(*[_c(c) for c in cols])
+    if seed is None:
+        types = {f.name: f.dataType for f in stamped.schema.fields}
+    else:
+        seed, types = _seed_types(stamped, seed, spec)
+    elem = F.struct(*[_c(c).cast(types[c]).alias(c) for c in cols])
     items = stamped.select(F.struct(*_entity(spec)).alias("__k"),
                            F.struct(_c("start_date").alias("o"), F.lit(False).alias("seed"),
                                     elem.alias("e")).alias("x"))
     if seed is not None:
-        s = align(seed, cols, types).select(*[_c(c).cast(types[c]).alias(c) for c in cols])
-        items = items.unionByName(s.select(
+        items = items.unionByName(seed.select(
             F.struct(_c(bk), F.lit(None).cast("date").alias("__nb")).alias("__k"),
-            F.struct(F.lit("0001-01-01").cast("date").alias("o"), F.lit(True).alias("seed"),
-                     F.struct(*[_c(c) for c in cols]).alias("e")).alias("x")))
+            F.struct(F.lit("0001-01-01").cast("date").alias("o"), F.lit(True).alias("seed"), elem.alias("e")).alias("x")))
     elem_type = T.StructType([T.StructField(c, types[c], True) for c in cols])
     scd1 = [f for f in spec.scd1_fields if f in cols]
     tracked = list(spec.scd2_fields)
@@ -285,38 +306,45 @@ def _fold(rows: DataFrame, spec: DimensionSpec, seed: DataFrame | None) -> DataF
             res = res.when(F.lit(True), F.concat(head, F.array(refreshed)))
         return res.otherwise(acc)
 
-    folded = (items.groupBy("__k")
+    after = F.aggregate("xs", F.array().cast(T.ArrayType(elem_type)), step)
+    if seed is not None:  # entities without a new row keep their seeds as they are
+        after = F.when(F.forall("xs", lambda x: x["seed"]), F.transform("xs", lambda x: x["e"])).otherwise(after)
+    folded = (spread(items, parts, "__k").groupBy("__k")
               .agg(F.array_sort(F.collect_list("x")).alias("xs"))
-              .select(F.explode(F.aggregate("xs", F.array().cast(T.ArrayType(elem_type)), step))
-                      .alias("v"))
+              .select(F.explode(after).alias("v"))
               .select("v.*"))
     return align_dimension(folded, spec)
 
 
 def apply_batches(state: DataFrame | None, rows: DataFrame, spec: DimensionSpec,
-                  run_id: RunId) -> DataFrame:
+                  run_id: RunId, parts: int | None = None) -> DataFrame:
     """Apply several pending batches (all later than the state) in one shuffle.
 
-    Current rows of touched keys seed the fold; untouched current rows and all
-    history pass through without moving.
+    Current rows seed the fold; history and rows without a key pass through
+    without moving.  If the pending batches fit a broadcast, so do the current rows
+    of untouched keys; if not, the fold finds the untouched keys itself, so
+    neither ``state`` nor ``rows`` is read again to join them.  ``state`` should be
+    materialised (a snapshot read, or ``checkpoint()``).  ``parts`` is the number
+    of parts that the fold's shuffle deals the keys out into, the session's if None.
     """
     if state is None:
         return replay(rows, spec, run_id)
     rows = rows.withColumn("__run", _run(run_id))
     state = align_dimension(state, spec)
     bk = spec.business_key
-    has_cur = "is_current" in state.columns
-    cur = state.where(_c("is_current")) if has_cur else state
-    hist = state.where(~_c("is_current")) if has_cur else None
-    touched = sized_broadcast(rows.where(_c(bk).isNotNull()).select(bk).distinct())
-    seed = cur.join(touched, bk, "left_semi")
-    untouched = cur.join(touched, bk, "left_anti")
+    cur = _c("is_current") if "is_current" in state.columns else F.lit(True)
+    keyed = _c(bk).isNotNull()
+    seed, passing = state.where(cur & keyed), state.where(~cur | (cur & ~keyed))
+    touched = rows.where(keyed).select(bk).distinct()
+    if fits_broadcast(touched):
+        touched = F.broadcast(touched)
+        passing = passing.unionByName(seed.join(touched, bk, "left_anti"))
+        seed = seed.join(touched, bk, "left_semi")
     if spec.tracked_never_null or not spec.scd2_fields:
-        versions = _replay_window(rows, spec, seed=seed)
+        versions = _replay_window(rows, spec, seed=seed, parts=parts)
     else:
-        versions = _fold(rows, spec, seed=seed)
-    out = untouched.unionByName(versions)
-    return out if hist is None else hist.unionByName(out)
+        versions = _fold(rows, spec, seed=seed, parts=parts)
+    return passing.unionByName(versions)
 
 
 def refold(state: DataFrame, rows: DataFrame, keys: DataFrame, spec: DimensionSpec, run_id: RunId) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from dimwright.contract import DedupSpec, DimensionSpec, FactSpec, FieldRules, Rule
 from dimwright.operators.dedup import dedup_latest
+from dimwright.operators.plan_utils import parts_for, spread
 
 # The binding's key/field choices.
 ACCOUNT = DimensionSpec(
@@ -123,6 +124,11 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _memo(spark, "raw_orders", sf_dir)(lambda: _raw_orders(spark, sf_dir))
 
 
+def order_parts(spark: SparkSession, sf_dir: str) -> int | None:
+    """Parts to deal out the orders' customers into."""
+    return parts_for(table(spark, sf_dir, "orders"))
+
+
 def _raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     b = batch_of(F.col("o_orderdate"))
@@ -153,10 +159,12 @@ def account_rows(spark: SparkSession, sf_dir: str, spec: DimensionSpec = ACCOUNT
 
     Dedup combines map-side (a hot customer collapses to one row per batch in
     each task) and the customer join then only sees one row per key and batch.
+    The join and the replay that follows keep one layout by customer.
     """
     def build():
         keys = list(spec.dedup.keys) + [spec.batch_column]
-        return enrich(dedup_latest(raw_orders(spark, sf_dir), keys, spec.dedup.order), spark, sf_dir)
+        rows = dedup_latest(raw_orders(spark, sf_dir), keys, spec.dedup.order)
+        return enrich(spread(rows, order_parts(spark, sf_dir), "o_custkey"), spark, sf_dir)
     return _memo(spark, "account_rows", sf_dir, spec.name)(build)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from dimwright.contract import DedupSpec
 from dimwright.operators import scd
 from dimwright.operators.dedup import dedup_latest
+from dimwright.operators.plan_utils import spread
 from dimwright.plans import feeds
 from dimwright.plans import oracle as O
 from dimwright.plans.feeds import ACCOUNT, ACCOUNT_NULLABLE, NATION, SEGMENT
@@ -88,10 +89,14 @@ def q_scd2_incremental(spark, sf):
 
 @query("scd2_apply_pending", O.ACCOUNT_REPLAY)
 def q_scd2_apply_pending(spark, sf):
-    """State after 1995-1997, then the four pending batches 1998-2001 in ONE fold."""
-    state = scd.replay(batch_rows(spark, sf, [1995, 1996, 1997]), ACCOUNT, run_col())
+    """State after 1995-1997, then the four pending batches 1998-2001 in ONE fold.
+
+    The state is materialised (reliable checkpoint), as the job's fold reads a published snapshot.
+    """
+    ensure_checkpoint_dir(spark)
+    state = scd.replay(batch_rows(spark, sf, [1995, 1996, 1997]), ACCOUNT, run_col()).checkpoint(eager=True)
     pending = batch_rows(spark, sf, [1998, 1999, 2000, 2001])
-    return scd.apply_batches(state, pending, ACCOUNT, run_col())
+    return scd.apply_batches(state, pending, ACCOUNT, run_col(), feeds.order_parts(spark, sf))
 
 
 @query("scd2_full_replay", O.ACCOUNT_REPLAY)
@@ -133,9 +138,10 @@ def q_scd1_refresh(spark, sf):
 
 @query("scd1_apply_pending", O.replay_sql(O.ACCOUNT_ROWS_ALL, ACCOUNT_T1))
 def q_scd1_apply_pending(spark, sf):
-    """Type-1: state after three batches, the four pending ones in one fold."""
-    state = scd.replay(batch_rows(spark, sf, YEARS[:3]), ACCOUNT_T1, run_col())
-    return scd.apply_batches(state, batch_rows(spark, sf, YEARS[3:]), ACCOUNT_T1, run_col())
+    """Type-1: state after three batches (materialised), the four pending ones in one fold."""
+    ensure_checkpoint_dir(spark)
+    state = scd.replay(batch_rows(spark, sf, YEARS[:3]), ACCOUNT_T1, run_col()).checkpoint(eager=True)
+    return scd.apply_batches(state, batch_rows(spark, sf, YEARS[3:]), ACCOUNT_T1, run_col(), feeds.order_parts(spark, sf))
 
 
 def _segment_rows_sql() -> str:
@@ -193,5 +199,6 @@ def q_hot_key(spark, sf):
     """
     raw = feeds.raw_orders(spark, sf).withColumn(
         "o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(0).cast("long")).otherwise(F.col("o_custkey")))
-    rows = feeds.enrich(dedup_latest(raw, ["o_custkey", "source_batch_date"], ACCOUNT.dedup.order), spark, sf)
+    latest = dedup_latest(raw, ["o_custkey", "source_batch_date"], ACCOUNT.dedup.order)
+    rows = feeds.enrich(spread(latest, feeds.order_parts(spark, sf), "o_custkey"), spark, sf)
     return scd.replay(scd.prepare(rows, _no_dedup(ACCOUNT)), ACCOUNT, run_col())
