@@ -23,10 +23,11 @@ def one_current(dim: DataFrame, key: str) -> DataFrame:
 
 
 def current_is_latest(dim: DataFrame, key: str) -> DataFrame:
-    """Current rows whose start is not the entity's latest start."""
-    latest = dim.groupBy(key).agg(F.max("start_date").alias("latest_start"))
-    return (dim.where(_c("is_current")).select(key, "start_date").join(latest, key)
-            .where(F.col("start_date") < F.col("latest_start")))
+    """Current rows whose start is not the entity's latest start; the versions pass once."""
+    latest = F.max("start_date").over(Window.partitionBy(_c(key)))
+    return (dim.where(_c(key).isNotNull()).select(key, "start_date", "is_current").withColumn("latest_start", latest)
+            .where(_c("is_current") & (F.col("start_date") < F.col("latest_start")))
+            .select(key, "start_date", "latest_start"))
 
 
 def natural_key_dups(dim: DataFrame, nk: Sequence[str]) -> DataFrame:

@@ -31,7 +31,9 @@ def corrupted_account(spark, sf):
         "start_date": F.when(k % 71 == 0, F.date_add("start_date", 1)).otherwise(F.col("start_date")),
         "o_orderstatus": F.when(k % 59 == 0, F.lit("F")).otherwise(F.col("o_orderstatus")),
     })
-    return d.unionByName(d.where(k % 73 == 0))
+    # some versions twice, made from the row itself: a union would replay the feed for each side
+    copies = F.when(k % 73 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return d.select("*", F.explode(copies).alias("__copy")).drop("__copy")
 
 
 CORRUPT_SQL = f"""WITH __r AS ({O.ACCOUNT_REPLAY}),

@@ -5,12 +5,13 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from dimwright.operators import scd
+from dimwright.operators import checks, scd
 from dimwright.operators.plan_utils import FEW_PARTS, parts_for, spread
 from dimwright.plans import feeds
+from dimwright.plans.catalog import QUERIES
 
 from support import SF001
-from test_scd import D1, D3, SPEC, as_dicts, df, random_rows, run_of
+from test_scd import D1, D2, D3, SPEC, as_dicts, df, random_rows, run_of
 
 WINDOW = SPEC.with_(tracked_never_null=True)
 
@@ -58,6 +59,19 @@ def test_entities_without_a_pending_row_stay_as_they_are(spark, no_broadcast, sp
     assert out.count() == 7
 
 
+def test_current_is_latest_reads_the_versions_once(spark):
+    d = spark.createDataFrame([(1, D1, True), (1, D1, True), (1, D2, False), (2, D1, None), (2, D2, True), (None, D1, True), (None, D2, False), (3, None, True)],
+                              "k int, start_date date, is_current boolean")
+    out = checks.current_is_latest(d, "k")
+    assert nodes(out, "Join") == 0
+    assert [tuple(r) for r in out.collect()] == [(1, D1, D2), (1, D1, D2)]
+
+
+def test_check_replays_the_feed_once(spark):
+    plan = QUERIES["check_current_is_latest"](spark, SF001)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("/orders.parquet") == 1
+
+
 def test_parts_grow_with_the_table(spark):
     orders = feeds.table(spark, SF001, "orders")
     assert parts_for(orders) is None and spread(orders, None, "o_custkey") is orders
