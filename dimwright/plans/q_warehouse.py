@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import functions as F
 
 from dimwright.operators import keys, marts, scd, shape, warehouse
+from dimwright.operators.plan_utils import spread
 from dimwright.plans import feeds
 from dimwright.plans import oracle as O
 from dimwright.plans.feeds import ACCOUNT, FACT, NATION, SEGMENT
@@ -223,12 +224,18 @@ MONTH_MART = marts.MartSpec(name="amount_by_month_nation", fact="fact_account",
 
 
 def _kept_mart(spark, sf, spec):
-    """Groups after all batches but the last two, then changed by the customers those two hold: no other customer is read again."""
+    """Groups after all batches but the last two, then changed by the customers those two hold: no other customer is read again.
+
+    What several steps read is materialised (reliable checkpoints), as the job reads stored tables: the state, the rows
+    of the last two batches and the versions of their customers before them.
+    """
+    ensure_checkpoint_dir(spark)
     state = scd.replay(batch_rows(spark, sf, YEARS[:-2]), ACCOUNT, run_col()).checkpoint(eager=True)
-    rows = batch_rows(spark, sf, YEARS[-2:])
-    held = rows.select("o_custkey").distinct()
-    before = state.join(held, "o_custkey", "left_semi")
-    after = scd.apply_batches(before, rows, ACCOUNT, run_col())
+    rows = batch_rows(spark, sf, YEARS[-2:]).checkpoint(eager=True)
+    parts = feeds.order_parts(spark, sf)
+    held = spread(rows.select("o_custkey"), parts, "o_custkey").distinct()
+    before = spread(state, parts, "o_custkey").join(held, "o_custkey", "left_semi").checkpoint(eager=True)
+    after = scd.apply_batches(before, rows, ACCOUNT, run_col(), parts)
     stored = marts.group_change(None, marts.pairs(state, spec), spec)
     return marts.merge_groups(stored, marts.group_change(marts.pairs(before, spec), marts.pairs(after, spec), spec), spec)
 

@@ -72,6 +72,11 @@ def test_check_replays_the_feed_once(spark):
     assert plan.count("/orders.parquet") == 1
 
 
+def test_kept_mart_reads_no_table_after_its_stored_parts(spark):
+    plan = QUERIES["mart_kept_amount_by_month_nation"](spark, SF001)._jdf.queryExecution().sparkPlan().toString()
+    assert "parquet" not in plan
+
+
 def test_parts_grow_with_the_table(spark):
     orders = feeds.table(spark, SF001, "orders")
     assert parts_for(orders) is None and spread(orders, None, "o_custkey") is orders
